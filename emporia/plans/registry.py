@@ -45,6 +45,7 @@ def on_source(name: str, source: str, op, sql: str | None = None, **kw):
 def _load_all():
     # Importing the modules fills the registry.
     from emporia.plans import queries_batch  # noqa: F401
+    from emporia.plans import queries_c360  # noqa: F401
     from emporia.plans import queries_io  # noqa: F401
     from emporia.plans import queries_stream  # noqa: F401
 
