@@ -1,0 +1,182 @@
+"""Sources, sinks and the lake, registered as round trips over whole tables.
+
+Each query writes a source or a result derived from the driver's tables to a
+fresh folder under the session's checkpoint folder, reads it back with a
+declared schema and returns it; the oracle is the same data in SQL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from emporia.operators import transactions as tx
+from emporia.operators import weblogs as wl
+from emporia.plans.queries_batch import NET
+from emporia.plans.registry import register
+from emporia.session import scratch_path
+from emporia.sources import files
+from emporia.sources.fixtures import reviews, social, transactions, weblogs, with_sources
+from emporia.sources.lake import Lake
+
+_W = with_sources("weblogs")
+_T = with_sources("transactions")
+
+
+@register("scan_json", _T + "SELECT * FROM transactions")
+def q_scan_json(spark, sf_dir):
+    src = transactions(spark, sf_dir)
+    path = scratch_path(spark, "scan_json")
+    files.save_results(src, path, "json")
+    good, _bad = files.split_quarantine(files.scan_json(spark, path, src.schema))
+    return good
+
+
+@register("scan_json_failfast", _T + "SELECT * FROM transactions")
+def q_scan_json_failfast(spark, sf_dir):
+    src = transactions(spark, sf_dir)
+    path = scratch_path(spark, "scan_json_ff")
+    files.save_results(src, path, "json")
+    return files.scan_json(spark, path, src.schema, mode="FAILFAST")
+
+
+@register("scan_csv", with_sources("reviews") + "SELECT * FROM reviews")
+def q_scan_csv(spark, sf_dir):
+    src = reviews(spark, sf_dir)
+    path = scratch_path(spark, "scan_csv")
+    files.save_results(src, path, "csv")
+    return files.scan_csv(spark, path, src.schema)
+
+
+@register("scan_parquet", _W + "SELECT * FROM weblogs")
+def q_scan_parquet(spark, sf_dir):
+    src = weblogs(spark, sf_dir)
+    path = scratch_path(spark, "scan_parquet")
+    files.save_results(src, path, "parquet")
+    return files.scan_parquet(spark, path)
+
+
+def _sink_roundtrip(spark, df, fmt):
+    path = scratch_path(spark, f"sink_{fmt}")
+    files.save_results(df, path, fmt)
+    if fmt == "parquet":
+        return files.scan_parquet(spark, path)
+    if fmt == "csv":
+        return files.scan_csv(spark, path, df.schema)
+    return files.scan_json(spark, path, df.schema, mode="FAILFAST")
+
+
+_REV_BY_CAT = _T + f"""
+SELECT category, CAST(sum(net) AS DOUBLE) AS total_revenue, count(order_id) AS orders,
+       CAST(sum(net) AS DOUBLE) / count(net) AS avg_order_value
+FROM (SELECT *, {NET} AS net FROM transactions WHERE status != 'cancelled') t
+GROUP BY category"""
+
+_PAGE_POP = _W + """
+SELECT page, count(event_id) AS total_views, count(DISTINCT session_id) AS unique_sessions,
+       CAST(sum(duration_sec) AS DOUBLE) / count(duration_sec) AS avg_duration_sec
+FROM weblogs GROUP BY page"""
+
+
+@register("sink_parquet", _W + """
+SELECT session_id, customer_id, count(event_id) AS clicks,
+       CAST(sum(duration_sec) AS BIGINT) AS total_time_sec,
+       min("timestamp") AS session_start, max("timestamp") AS session_end
+FROM weblogs GROUP BY session_id, customer_id""")
+def q_sink_parquet(spark, sf_dir):
+    return _sink_roundtrip(spark, wl.session_stats(weblogs(spark, sf_dir)), "parquet")
+
+
+@register("sink_csv", _REV_BY_CAT)
+def q_sink_csv(spark, sf_dir):
+    return _sink_roundtrip(spark, tx.revenue_by_category(transactions(spark, sf_dir)), "csv")
+
+
+@register("sink_json", _PAGE_POP)
+def q_sink_json(spark, sf_dir):
+    return _sink_roundtrip(spark, wl.page_popularity(weblogs(spark, sf_dir)), "json")
+
+
+@register("json_roundtrip", with_sources("social") + "SELECT * FROM social")
+def q_json_roundtrip(spark, sf_dir):
+    src = social(spark, sf_dir)
+    lines = src.select(files.encode_json_column(src))
+    decoded = files.decode_json_column(lines, "value", src.schema)
+    good, _ = files.split_quarantine(decoded)
+    return good
+
+
+@register("json_quarantine", """
+SELECT text AS _corrupt_record FROM conversations WHERE NOT json_valid(text)""")
+def q_json_quarantine(spark, sf_dir):
+    """Valid social records mixed with raw conversation lines; the lines that
+    are not JSON objects end up in quarantine with their raw text."""
+    src = social(spark, sf_dir)
+    good_lines = src.select(files.encode_json_column(src))
+    raw_lines = spark.read.parquet(f"{sf_dir.rstrip('/')}/conversations.parquet") \
+        .select(F.col("text").alias("value"))
+    decoded = files.decode_json_column(good_lines.unionByName(raw_lines), "value", src.schema)
+    _, bad = files.split_quarantine(decoded)
+    return bad
+
+
+def _lake_with_weblogs(spark, sf_dir):
+    src = weblogs(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.ingest_raw("weblogs", src, date=F.col("timestamp"))
+    return lake, src.schema
+
+
+_W_DATED = _W + 'SELECT *, CAST("timestamp" AS DATE) AS ingest_date FROM weblogs'
+
+
+@register("lake_ingest_raw", _W_DATED)
+def q_lake_ingest_raw(spark, sf_dir):
+    lake, schema = _lake_with_weblogs(spark, sf_dir)
+    return lake.read("raw", "weblogs", schema)
+
+
+@register("lake_read_day", _W_DATED + """
+WHERE CAST("timestamp" AS DATE) = (SELECT max(CAST("timestamp" AS DATE)) FROM weblogs)""")
+def q_lake_read_day(spark, sf_dir):
+    lake, schema = _lake_with_weblogs(spark, sf_dir)
+    last = lake.partitions("raw", "weblogs", schema).agg(F.max("ingest_date")).first()[0]
+    return lake.read("raw", "weblogs", schema, date=last)
+
+
+@register("lake_partitions", _W + """
+SELECT CAST("timestamp" AS DATE) AS ingest_date, count(*) AS "rows" FROM weblogs GROUP BY 1""")
+def q_lake_partitions(spark, sf_dir):
+    lake, schema = _lake_with_weblogs(spark, sf_dir)
+    return lake.partitions("raw", "weblogs", schema)
+
+
+@register("lake_promote", _W_DATED)
+def q_lake_promote(spark, sf_dir):
+    lake, schema = _lake_with_weblogs(spark, sf_dir)
+    lake.promote("weblogs", schema)
+    return lake.read("processed", "weblogs")
+
+
+@register("lake_promote_transactions", _T + """
+SELECT *, (SELECT max(CAST("timestamp" AS DATE)) + 1 FROM transactions) AS ingest_date
+FROM transactions
+WHERE order_id IS NOT NULL AND total_amount >= 0 AND quantity > 0
+  AND discount_pct BETWEEN 0 AND 100""")
+def q_lake_promote_transactions(spark, sf_dir):
+    """The whole order batch lands on one day (the landing date, the day after
+    the latest order), then is promoted."""
+    src = transactions(spark, sf_dir)
+    landing = src.agg(F.date_add(F.max(F.to_date("timestamp")), 1)).first()[0]
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.ingest_raw("transactions", src, date=landing)
+    lake.promote("transactions", src.schema)
+    return lake.read("processed", "transactions")
+
+
+@register("publish_views", _REV_BY_CAT)
+def q_publish_views(spark, sf_dir):
+    from emporia.plans.publish import publish_table
+
+    name = publish_table(spark, tx.revenue_by_category(transactions(spark, sf_dir)),
+                         "revenue_by_category", scratch_path(spark, "views"))
+    return spark.table(name)
