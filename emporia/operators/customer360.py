@@ -33,9 +33,9 @@ def _known(df: DataFrame) -> DataFrame:
     return df.filter(F.col("customer_id").isNotNull())
 
 
-def customer_360_core(weblogs: DataFrame, transactions: DataFrame, reviews: DataFrame,
-                      social: DataFrame) -> DataFrame:
-    """Per-customer sums and counts (mergeable partials; nulls where a source is absent)."""
+def union_rows(weblogs: DataFrame, transactions: DataFrame, reviews: DataFrame,
+               social: DataFrame) -> DataFrame:
+    """The four sources projected to one narrow schema and unioned (no shuffle)."""
     web = _known(weblogs).select(
         "customer_id", F.lit("w").alias("_src"), "event_id", "session_id", "duration_sec")
     txn = _known(transactions).filter(is_completed("status")).select(
@@ -43,13 +43,17 @@ def customer_360_core(weblogs: DataFrame, transactions: DataFrame, reviews: Data
         money("total_amount").alias("total_amount"), F.col("timestamp").alias("_purchase_ts"))
     rev = _known(reviews).select("customer_id", F.lit("r").alias("_src"), "review_id", "rating")
     soc = _known(social).select("customer_id", F.lit("s").alias("_src"), "post_id", "likes")
-    rows = (web.unionByName(txn, allowMissingColumns=True)
+    return (web.unionByName(txn, allowMissingColumns=True)
                .unionByName(rev, allowMissingColumns=True)
                .unionByName(soc, allowMissingColumns=True))
-    return rows.groupBy("customer_id").agg(
+
+
+def partial_aggs(distinct_sessions: bool = True) -> list:
+    """Per-customer aggregates over union rows. Everything except the session
+    count is a sum, count or max, hence mergeable across batches."""
+    aggs = [
         F.count_if(F.col("_src") == "w").alias("web_rows"),
         F.count("event_id").alias("web_clicks"),
-        F.count_distinct("session_id").alias("sessions"),
         F.sum("duration_sec").alias("duration_sum"),
         F.count("duration_sec").alias("duration_n"),
         F.count_if(F.col("_src") == "t").alias("order_rows"),
@@ -64,7 +68,17 @@ def customer_360_core(weblogs: DataFrame, transactions: DataFrame, reviews: Data
         F.count_if(F.col("_src") == "s").alias("social_rows"),
         F.count("post_id").alias("social_posts"),
         F.sum("likes").alias("social_likes"),
-    )
+    ]
+    if distinct_sessions:
+        aggs.insert(2, F.count_distinct("session_id").alias("sessions"))
+    return aggs
+
+
+def customer_360_core(weblogs: DataFrame, transactions: DataFrame, reviews: DataFrame,
+                      social: DataFrame) -> DataFrame:
+    """Per-customer sums and counts (nulls where a source is absent)."""
+    rows = union_rows(weblogs, transactions, reviews, social)
+    return rows.groupBy("customer_id").agg(*partial_aggs())
 
 
 def _finish(core: DataFrame, notebook: bool) -> DataFrame:

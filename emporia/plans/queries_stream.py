@@ -1,0 +1,174 @@
+"""Streaming queries, registered with SQL for the records they emit.
+
+Each query lands the whole input table into a landing folder as
+time-ordered files (the way records arrive), runs the stream with
+``availableNow`` (one file per micro-batch, so watermarks advance across
+batches), writes to a file sink under the checkpoint folder and returns the
+sink read back as a batch DataFrame.
+
+Window and session oracles keep what the watermark has closed at the end of
+the run: Spark's watermark is ``max event time (ms) - delay`` and a window or
+session is emitted once its end is at or before it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from emporia.operators import customer360 as c3
+from emporia.plans.queries_c360 import C360_SQL
+from emporia.plans.registry import register
+from emporia.session import scratch_path
+from emporia.sources.fixtures import load_sources, weblogs, with_sources
+from emporia.sources.lake import PART, Lake
+from emporia.sources.tables import read_table
+from emporia.streaming import customer360 as sc3
+from emporia.streaming import operators as so
+from emporia.streaming.sources import (
+    TOPICS,
+    decode_records,
+    event_time,
+    land_in_time_order,
+    landing_records,
+    landing_rows,
+    wall_time,
+)
+
+LANDING_FILES = 4
+DELAY = "1 hour"
+
+
+def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
+                      partition_by: list[str] | None = None, options: dict | None = None) -> None:
+    """Process everything available, in micro-batches, then stop."""
+    w = (df.writeStream.format(fmt).outputMode("append")
+           .option("path", sink).option("checkpointLocation", checkpoint)
+           .options(**(options or {})))
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.trigger(availableNow=True).start().awaitTermination()
+
+
+def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = read_table(spark, sf_dir, "events")
+    landing = scratch_path(spark, "landing-events")
+    land_in_time_order(events, landing, "ts", LANDING_FILES)
+    stream = landing_rows(spark, landing, events.schema, max_files_per_trigger=1)
+    return stream.withColumn("t", event_time("ts", spark))
+
+
+def _sink_back(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    base = scratch_path(spark, name)
+    run_available_now(df, f"{base}/out", f"{base}/checkpoint")
+    return spark.read.parquet(f"{base}/out")
+
+
+_WM = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 hour FROM events)"
+
+
+def _weblog_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+    """Weblogs as Kafka-shaped records (key = event id, JSON value) in a landing folder."""
+    from emporia.sources.files import encode_json_column
+
+    src = weblogs(spark, sf_dir)
+    records = src.select(F.col("event_id").cast("string").alias("key"),
+                         encode_json_column(src), F.lit(TOPICS["weblogs"]).alias("topic"),
+                         F.col("timestamp"))
+    landing = scratch_path(spark, "landing-weblogs")
+    land_in_time_order(records, landing, "timestamp", LANDING_FILES)
+    return src, landing
+
+
+def _decoded_weblogs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    src, landing = _weblog_records(spark, sf_dir)
+    decoded = decode_records(landing_records(spark, landing, max_files_per_trigger=1), src.schema)
+    return decoded.filter(F.col("_corrupt_record").isNull()).select(*src.columns)
+
+
+@register("stream_ingest", with_sources("weblogs") + "SELECT * FROM weblogs")
+def q_stream_ingest(spark, sf_dir):
+    return _sink_back(spark, _decoded_weblogs(spark, sf_dir), "stream-ingest")
+
+
+@register("stream_land_raw", with_sources("weblogs")
+          + 'SELECT *, CAST("timestamp" AS DATE) AS ingest_date FROM weblogs')
+def q_stream_land_raw(spark, sf_dir):
+    from emporia.sources.files import TEXT_TIME_OPTIONS
+
+    decoded = _decoded_weblogs(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "stream-lake"))
+    run_available_now(decoded.withColumn(PART, F.to_date("timestamp")),
+                      lake.path("raw", "weblogs"), scratch_path(spark, "stream-lake-ck"),
+                      fmt="json", partition_by=[PART], options=TEXT_TIME_OPTIONS)
+    return lake.read("raw", "weblogs", decoded.schema)
+
+
+@register("stream_tumbling_traffic", f"""
+WITH w AS (
+  SELECT time_bucket(INTERVAL 1 day, ts) AS window_start, event_type, count(*) AS events,
+         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+  FROM events GROUP BY 1, 2)
+SELECT window_start, window_start + INTERVAL 1 day AS window_end, event_type, events, total_value
+FROM w WHERE window_start + INTERVAL 1 day <= {_WM}""")
+def q_stream_tumbling_traffic(spark, sf_dir):
+    agg = so.tumbling_counts(_events_stream(spark, sf_dir), "t", "event_type", "1 day", DELAY,
+                             value_col="value")
+    out = agg.select(wall_time("w.start", spark).alias("window_start"),
+                     wall_time("w.end", spark).alias("window_end"), "event_type", "events",
+                     F.col("total_value").cast("double").alias("total_value"))
+    return _sink_back(spark, out, "stream-tumbling")
+
+
+@register("stream_sliding_trending", f"""
+WITH b AS (SELECT time_bucket(INTERVAL 12 hour, ts) AS b0, event_type FROM events),
+x AS (SELECT b0 AS window_start, event_type FROM b
+      UNION ALL SELECT b0 - INTERVAL 12 hour AS window_start, event_type FROM b)
+SELECT window_start, window_start + INTERVAL 1 day AS window_end, event_type, count(*) AS events
+FROM x GROUP BY window_start, event_type
+HAVING window_start + INTERVAL 1 day <= {_WM}""")
+def q_stream_sliding_trending(spark, sf_dir):
+    agg = so.sliding_counts(_events_stream(spark, sf_dir), "t", "event_type", "1 day",
+                            "12 hours", DELAY)
+    out = agg.select(wall_time("w.start", spark).alias("window_start"),
+                     wall_time("w.end", spark).alias("window_end"), "event_type", "events")
+    return _sink_back(spark, out, "stream-sliding")
+
+
+@register("stream_session_stats", f"""
+WITH o AS (SELECT user_id, ts, lag(ts) OVER (PARTITION BY user_id ORDER BY ts) AS prev FROM events),
+g AS (SELECT user_id, ts,
+             sum(CASE WHEN prev IS NULL OR ts >= prev + INTERVAL 30 minute THEN 1 ELSE 0 END)
+               OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid
+      FROM o),
+s AS (SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 minute AS session_end,
+             count(*) AS events, min(ts) AS first_event, max(ts) AS last_event
+      FROM g GROUP BY user_id, sid)
+SELECT * FROM s WHERE session_end <= {_WM}""")
+def q_stream_session_stats(spark, sf_dir):
+    agg = so.sessions(_events_stream(spark, sf_dir), "t", "user_id", "30 minutes", DELAY)
+    out = agg.select("user_id", wall_time("w.start", spark).alias("session_start"),
+                     wall_time("w.end", spark).alias("session_end"), "events",
+                     wall_time("first_event", spark).alias("first_event"),
+                     wall_time("last_event", spark).alias("last_event"))
+    return _sink_back(spark, out, "stream-sessions")
+
+
+@register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_stream_dedup(spark, sf_dir):
+    out = so.dedup_by_id(_events_stream(spark, sf_dir), "t", "event_id", DELAY)
+    return _sink_back(spark, out.drop("t"), "stream-dedup")
+
+
+@register("stream_customer_360", C360_SQL)
+def q_stream_customer_360(spark, sf_dir):
+    s = load_sources(spark, sf_dir)
+    rows = c3.union_rows(s["weblogs"], s["transactions"], s["reviews"], s["social"])
+    landing = scratch_path(spark, "landing-360")
+    rows.repartition(LANDING_FILES).write.parquet(landing)
+    stream = landing_rows(spark, landing, rows.schema, max_files_per_trigger=1)
+    state = scratch_path(spark, "stream-360-state")
+    (stream.writeStream.foreachBatch(sc3.partials_sink(state))
+           .option("checkpointLocation", scratch_path(spark, "stream-360-ck"))
+           .trigger(availableNow=True).start().awaitTermination())
+    return sc3.merged_360(spark, state)
