@@ -24,3 +24,13 @@ def with_share(df: DataFrame, count_col: str, pct_col: str = "pct", scale: int =
 def value_counts(df: DataFrame, col: str, count_name: str) -> DataFrame:
     """Rows per non-null value of ``col`` (pandas ``value_counts``)."""
     return df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias(count_name))
+
+
+def source_row_counts(sources: dict[str, DataFrame]) -> DataFrame:
+    """Rows per source: four global counts (map-side partial counts), one job."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("source"), "rows")
+             for name, df in sources.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out

@@ -12,7 +12,8 @@ from emporia.operators import reviews as rv
 from emporia.operators import social as so
 from emporia.operators import transactions as tx
 from emporia.operators import weblogs as wl
-from emporia.plans.registry import on_source
+from emporia.plans.registry import on_source, register
+from emporia.sources.fixtures import load_sources, with_sources
 
 
 def ratio_sql(num: str, den: str, scale: int, factor: int = 1) -> str:
@@ -204,3 +205,14 @@ on_source("trending_hashtags", "social", so.trending_hashtags, """
 SELECT hashtag, count(*) AS mentions
 FROM (SELECT unnest(hashtags) AS hashtag FROM social) h
 GROUP BY hashtag ORDER BY mentions DESC, hashtag ASC NULLS LAST LIMIT 20""")
+
+# ------------------------------------------------------------------ volumes
+@register("source_row_counts", with_sources("weblogs", "transactions", "reviews", "social") + """
+SELECT 'weblogs' AS source, count(*) AS "rows" FROM weblogs
+UNION ALL SELECT 'transactions', count(*) FROM transactions
+UNION ALL SELECT 'reviews', count(*) FROM reviews
+UNION ALL SELECT 'social', count(*) FROM social""")
+def q_source_row_counts(spark, sf_dir):
+    from emporia.operators.shares import source_row_counts
+
+    return source_row_counts(load_sources(spark, sf_dir))
