@@ -26,13 +26,17 @@ def with_corrupt_column(schema: T.StructType) -> T.StructType:
 def scan_json(spark: SparkSession, path: str, schema: T.StructType, mode: str = "PERMISSIVE") -> DataFrame:
     """Newline-delimited JSON with a declared schema (no inference pass).
 
-    ``PERMISSIVE`` (default) keeps malformed lines in ``_corrupt_record`` for
-    ``split_quarantine``; ``FAILFAST`` fails on the first bad line; blank lines
-    are skipped by the reader.
+    ``PERMISSIVE`` (default): lines are read as text and decoded with
+    ``from_json``; malformed lines keep their raw text in ``_corrupt_record``
+    (see ``split_quarantine``) and blank lines are skipped. Decoding as an
+    expression (rather than in the JSON reader) lets the quarantine be
+    queried on its own. ``FAILFAST`` uses the JSON reader and fails on the
+    first bad line.
     """
-    reader = spark.read.schema(with_corrupt_column(schema) if mode == "PERMISSIVE" else schema)
-    return (reader.options(**TEXT_TIME_OPTIONS).option("mode", mode)
-            .option("columnNameOfCorruptRecord", CORRUPT)
+    if mode == "PERMISSIVE":
+        lines = spark.read.text(path).filter(F.trim(F.col("value")) != "")
+        return decode_json_column(lines, "value", schema)
+    return (spark.read.schema(schema).options(**TEXT_TIME_OPTIONS).option("mode", mode)
             .json(path))
 
 
@@ -49,8 +53,6 @@ def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, bad rows with only the raw text)."""
     if CORRUPT not in df.columns:
         return df, df.limit(0)
-    # Spark refuses queries that read only the corrupt column straight from a
-    # JSON scan; referencing it alongside the data columns is allowed.
     good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
     bad = df.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
     return good, bad
