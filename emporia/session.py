@@ -38,6 +38,9 @@ def local_session(app: str = "emporia", cores: str = "*", shuffle_partitions: in
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", "8g")
     )
+    if "spark.sql.warehouse.dir" not in (extra or {}):
+        builder = builder.config("spark.sql.warehouse.dir",
+                                 tempfile.mkdtemp(prefix="run-warehouse-", dir="/tmp"))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
