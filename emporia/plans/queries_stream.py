@@ -2,7 +2,7 @@
 
 Each query lands the whole input table into a landing folder as
 time-ordered files (the way records arrive), runs the stream with
-``availableNow`` (one file per micro-batch, so watermarks advance across
+``availableNow`` (one time slice per micro-batch, so watermarks advance across
 batches), writes to a file sink under the checkpoint folder and returns the
 sink read back as a batch DataFrame.
 
@@ -53,8 +53,8 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "par
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = read_table(spark, sf_dir, "events")
     landing = scratch_path(spark, "landing-events")
-    land_in_time_order(events, landing, "ts", LANDING_FILES)
-    stream = landing_rows(spark, landing, events.schema, max_files_per_trigger=1)
+    per_slice = land_in_time_order(events, landing, "ts", LANDING_FILES)
+    stream = landing_rows(spark, landing, events.schema, max_files_per_trigger=per_slice)
     return stream.withColumn("t", event_time("ts", spark))
 
 
@@ -67,7 +67,7 @@ def _sink_back(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 _WM = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 hour FROM events)"
 
 
-def _weblog_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
+def _weblog_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, int]:
     """Weblogs as Kafka-shaped records (key = event id, JSON value) in a landing folder."""
     from emporia.sources.files import encode_json_column
 
@@ -76,13 +76,14 @@ def _weblog_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str]:
                          encode_json_column(src), F.lit(TOPICS["weblogs"]).alias("topic"),
                          F.col("timestamp"))
     landing = scratch_path(spark, "landing-weblogs")
-    land_in_time_order(records, landing, "timestamp", LANDING_FILES)
-    return src, landing
+    per_slice = land_in_time_order(records, landing, "timestamp", LANDING_FILES)
+    return src, landing, per_slice
 
 
 def _decoded_weblogs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    src, landing = _weblog_records(spark, sf_dir)
-    decoded = decode_records(landing_records(spark, landing, max_files_per_trigger=1), src.schema)
+    src, landing, per_slice = _weblog_records(spark, sf_dir)
+    decoded = decode_records(landing_records(spark, landing, max_files_per_trigger=per_slice),
+                             src.schema)
     return decoded.filter(F.col("_corrupt_record").isNull()).select(*src.columns)
 
 
@@ -165,6 +166,7 @@ def q_stream_customer_360(spark, sf_dir):
     s = load_sources(spark, sf_dir)
     rows = c3.union_rows(s["weblogs"], s["transactions"], s["reviews"], s["social"])
     landing = scratch_path(spark, "landing-360")
+    # any split works here: partials are merged by sums, counts and max
     rows.repartition(LANDING_FILES).write.parquet(landing)
     stream = landing_rows(spark, landing, rows.schema, max_files_per_trigger=1)
     state = scratch_path(spark, "stream-360-state")

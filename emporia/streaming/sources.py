@@ -80,27 +80,34 @@ def wall_time(col: str | Column, spark: SparkSession) -> Column:
     return F.from_utc_timestamp(c, tz).cast("timestamp_ntz")
 
 
-def land_in_time_order(df: DataFrame, path: str, time_col: str, files: int = 4,
-                       max_rows_per_file: int = 5_000_000) -> int:
-    """Replay helper: write ``df`` into ``path`` as consecutive time slices, one
-    file per slice, each slice its own append job, so file modification times
-    follow event time and a stream reading one file per trigger sees the
-    records in arrival order. The slice count grows with the row count
-    (at most ``max_rows_per_file`` rows per file on evenly spread data).
-    Returns the number of slices written."""
-    stats = df.agg(F.min(time_col).alias("lo"), F.max(time_col).alias("hi"),
-                   F.count(F.lit(1)).alias("n")).first()
-    lo, hi, n = stats["lo"], stats["hi"], stats["n"]
+def land_in_time_order(df: DataFrame, path: str, time_col: str, slices: int = 4,
+                       max_rows_per_file: int = 5_000_000, accuracy: int = 10_000) -> int:
+    """Replay helper: write ``df`` into ``path`` as consecutive time slices.
+
+    Slice bounds are approximate quantiles of ``time_col``, so slices hold
+    about the same number of rows even when traffic bursts. Each slice is its
+    own append job, written as ``m`` parallel files, so file modification
+    times follow event time. Returns ``m``: a stream reading the folder with
+    ``maxFilesPerTrigger = m`` takes one slice per micro-batch, in time order.
+    """
+    t = F.col(time_col)
+    probs = [i / slices for i in range(1, slices)]
+    stats = df.agg(F.count(F.lit(1)).alias("n"),
+                   F.percentile_approx(t, probs, accuracy).alias("cuts")).first()
+    n = stats["n"]
     if n == 0:
         df.write.mode("overwrite").parquet(path)
-        return 0
-    k = max(files, -(-n // max_rows_per_file))
-    step = (hi - lo) / k
-    t = F.col(time_col)
-    for i in range(k):
-        start = lo + step * i
-        cond = t >= F.lit(start) if i else F.lit(True)
-        if i < k - 1:
-            cond = cond & (t < F.lit(lo + step * (i + 1)))
-        df.filter(cond).coalesce(1).write.mode("append").parquet(path)
-    return k
+        return 1
+    files = max(1, -(-n // (slices * max_rows_per_file)))
+    cuts = sorted(set(stats["cuts"] or []))
+    bounds = [None] + cuts + [None]
+    for lo, hi in zip(bounds[:-1], bounds[1:]):
+        cond = F.lit(True)
+        if lo is not None:
+            cond = cond & (t >= F.lit(lo))
+        if hi is not None:
+            cond = cond & (t < F.lit(hi))
+        part = df.filter(cond)
+        part = part.repartition(files) if files > 1 else part.coalesce(1)
+        part.write.mode("append").parquet(path)
+    return files
