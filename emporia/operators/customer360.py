@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions.money import cents, money, ratio_half_up
+from emporia.functions.money import cents, cents_to_double, ratio_half_up
 from emporia.functions.rules import is_completed
 
 NUMERIC_360 = ("web_clicks", "sessions", "avg_session_sec", "total_orders", "total_spend",
@@ -40,7 +40,7 @@ def union_rows(weblogs: DataFrame, transactions: DataFrame, reviews: DataFrame,
         "customer_id", F.lit("w").alias("_src"), "event_id", "session_id", "duration_sec")
     txn = _known(transactions).filter(is_completed("status")).select(
         "customer_id", F.lit("t").alias("_src"), "order_id",
-        money("total_amount").alias("total_amount"), F.col("timestamp").alias("_purchase_ts"))
+        cents("total_amount").alias("amount_cents"), F.col("timestamp").alias("_purchase_ts"))
     rev = _known(reviews).select("customer_id", F.lit("r").alias("_src"), "review_id", "rating")
     soc = _known(social).select("customer_id", F.lit("s").alias("_src"), "post_id", "likes")
     return (web.unionByName(txn, allowMissingColumns=True)
@@ -58,8 +58,8 @@ def partial_aggs(distinct_sessions: bool = True) -> list:
         F.count("duration_sec").alias("duration_n"),
         F.count_if(F.col("_src") == "t").alias("order_rows"),
         F.count("order_id").alias("total_orders"),
-        F.sum("total_amount").alias("spend"),
-        F.count("total_amount").alias("spend_n"),
+        F.sum("amount_cents").alias("spend"),
+        F.count("amount_cents").alias("spend_n"),
         F.max("_purchase_ts").alias("last_purchase_date"),
         F.count_if(F.col("_src") == "r").alias("review_rows"),
         F.count("review_id").alias("reviews_written"),
@@ -84,17 +84,17 @@ def customer_360_core(weblogs: DataFrame, transactions: DataFrame, reviews: Data
 def _finish(core: DataFrame, notebook: bool) -> DataFrame:
     if notebook:
         avg_session = ratio_half_up("duration_sum", "duration_n", 1)
-        avg_order = ratio_half_up(cents("spend"), F.col("spend_n") * 100, 2)
+        avg_order = ratio_half_up("spend", F.col("spend_n") * 100, 2)
     else:
         avg_session = F.try_divide(F.col("duration_sum").cast("double"), F.col("duration_n"))
-        avg_order = F.try_divide(F.col("spend").cast("double"), F.col("spend_n"))
+        avg_order = F.try_divide(cents_to_double("spend"), F.col("spend_n"))
     cols = [
         F.col("customer_id"),
         F.col("web_clicks"),
         F.col("sessions"),
         F.coalesce(avg_session, F.lit(0.0)).alias("avg_session_sec"),
         F.col("total_orders"),
-        F.coalesce(F.col("spend").cast("double"), F.lit(0.0)).alias("total_spend"),
+        F.coalesce(cents_to_double("spend"), F.lit(0.0)).alias("total_spend"),
         F.coalesce(avg_order, F.lit(0.0)).alias("avg_order_value"),
     ]
     if not notebook:
@@ -128,8 +128,8 @@ def customer_360_join(weblogs, transactions, reviews, social) -> DataFrame:
          .alias("avg_session_sec"))
     txn = _known(transactions).filter(is_completed("status")).groupBy("customer_id").agg(
         F.count("order_id").alias("total_orders"),
-        F.sum(money("total_amount")).cast("double").alias("total_spend"),
-        F.try_divide(F.sum(money("total_amount")).cast("double"), F.count("total_amount"))
+        cents_to_double(F.sum(cents("total_amount"))).alias("total_spend"),
+        F.try_divide(cents_to_double(F.sum(cents("total_amount"))), F.count("total_amount"))
          .alias("avg_order_value"),
         F.max("timestamp").alias("last_purchase_date"))
     rev = _known(reviews).groupBy("customer_id").agg(

@@ -14,7 +14,7 @@ import datetime as _dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions.money import cents, ratio_half_up
+from emporia.functions.money import cents, cents_to_double, ratio_half_up
 from emporia.functions.quantiles import (
     approx_quantiles_row,
     exact_quantiles,
@@ -125,7 +125,7 @@ def customer_features(core: DataFrame, c360_notebook: DataFrame, c360: DataFrame
     th = spend_thresholds(c360_notebook, method)
     as_of, rc, fc, mc = rfm_cuts(c360, as_of)
     has_orders = F.col("order_rows") > 0
-    spend0 = F.coalesce(F.col("spend").cast("double"), F.lit(0.0))
+    spend0 = F.coalesce(cents_to_double("spend"), F.lit(0.0))
     feats = core.crossJoin(F.broadcast(th)).select(
         "customer_id",
         (F.col("web_rows") > 0).alias("has_web"),
@@ -136,7 +136,7 @@ def customer_features(core: DataFrame, c360_notebook: DataFrame, c360: DataFrame
         F.try_divide(F.col("duration_sum").cast("double"), F.col("duration_n")).alias("avg_session_sec"),
         "total_orders",
         F.when(has_orders, spend0).alias("total_spend"),
-        F.try_divide(F.col("spend").cast("double"), F.col("spend_n")).alias("avg_order_value"),
+        F.try_divide(cents_to_double("spend"), F.col("spend_n")).alias("avg_order_value"),
         "last_purchase_date",
         "reviews_written",
         ratio_half_up("rating_sum", "rating_n", 2).alias("avg_rating_given"),

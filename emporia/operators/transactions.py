@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from emporia.functions.money import net_amount
+from emporia.functions.money import cents, cents_to_double, net_amount, net_cents
 from emporia.functions.rules import is_completed, is_not_cancelled
 from emporia.operators.shares import value_counts, with_share
 
@@ -15,6 +15,10 @@ def with_net_amount(t: DataFrame) -> DataFrame:
     return t.withColumn("net_amount", net_amount("total_amount", "discount_pct"))
 
 
+def _with_net_cents(t: DataFrame) -> DataFrame:
+    return t.withColumn("_net", net_cents("total_amount", "discount_pct"))
+
+
 def not_cancelled(t: DataFrame) -> DataFrame:
     return t.filter(is_not_cancelled("status"))
 
@@ -23,50 +27,54 @@ def completed(t: DataFrame) -> DataFrame:
     return t.filter(is_completed("status"))
 
 
+def _money(sum_col: str):
+    return cents_to_double(F.col(sum_col))
+
+
 def _avg(sum_col: str, n_col: str):
-    return F.try_divide(F.col(sum_col).cast("double"), F.col(n_col))
+    return F.try_divide(cents_to_double(F.col(sum_col)), F.col(n_col))
 
 
 def revenue_by_category(t: DataFrame) -> DataFrame:
-    return (not_cancelled(with_net_amount(t)).groupBy("category")
-            .agg(F.sum("net_amount").alias("_rev"), F.count("order_id").alias("orders"),
-                 F.count("net_amount").alias("_n"))
-            .select("category", F.col("_rev").cast("double").alias("total_revenue"), "orders",
+    return (not_cancelled(_with_net_cents(t)).groupBy("category")
+            .agg(F.sum("_net").alias("_rev"), F.count("order_id").alias("orders"),
+                 F.count("_net").alias("_n"))
+            .select("category", _money("_rev").alias("total_revenue"), "orders",
                     _avg("_rev", "_n").alias("avg_order_value"))
             .orderBy(F.desc("total_revenue"), F.asc_nulls_last("category")))
 
 
 def top_products(t: DataFrame, n: int = 10) -> DataFrame:
-    return (not_cancelled(with_net_amount(t)).groupBy("product_id", "product_name")
-            .agg(F.sum("quantity").alias("units_sold"), F.sum("net_amount").alias("_rev"))
+    return (not_cancelled(_with_net_cents(t)).groupBy("product_id", "product_name")
+            .agg(F.sum("quantity").alias("units_sold"), F.sum("_net").alias("_rev"))
             .orderBy(F.desc_nulls_last("_rev"), F.asc_nulls_last("product_id"),
                      F.asc_nulls_last("product_name"))
             .limit(n)
             .select("product_id", "product_name", "units_sold",
-                    F.col("_rev").cast("double").alias("revenue")))
+                    _money("_rev").alias("revenue")))
 
 
 def customer_spend(t: DataFrame) -> DataFrame:
-    return (completed(with_net_amount(t)).groupBy("customer_id")
-            .agg(F.count("order_id").alias("total_orders"), F.sum("net_amount").alias("_spend"),
-                 F.count("net_amount").alias("_n"), F.max("timestamp").alias("last_order_date"))
+    return (completed(_with_net_cents(t)).groupBy("customer_id")
+            .agg(F.count("order_id").alias("total_orders"), F.sum("_net").alias("_spend"),
+                 F.count("_net").alias("_n"), F.max("timestamp").alias("last_order_date"))
             .select("customer_id", "total_orders",
-                    F.col("_spend").cast("double").alias("total_spend"),
+                    _money("_spend").alias("total_spend"),
                     _avg("_spend", "_n").alias("avg_order_value"), "last_order_date"))
 
 
 def payment_method_stats(t: DataFrame) -> DataFrame:
     """All statuses; ``total_amount`` is the net amount, as in the reference."""
-    return (with_net_amount(t).groupBy("payment_method")
+    return (_with_net_cents(t).groupBy("payment_method")
             .agg(F.count("order_id").alias("transactions"),
-                 F.sum("net_amount").cast("double").alias("total_amount"))
+                 cents_to_double(F.sum("_net")).alias("total_amount"))
             .orderBy(F.desc("transactions"), F.asc_nulls_last("payment_method")))
 
 
 def daily_revenue(t: DataFrame) -> DataFrame:
-    return (not_cancelled(with_net_amount(t))
+    return (not_cancelled(_with_net_cents(t))
             .groupBy(F.to_date("timestamp").alias("order_date"))
-            .agg(F.sum("net_amount").cast("double").alias("revenue"),
+            .agg(cents_to_double(F.sum("_net")).alias("revenue"),
                  F.count("order_id").alias("orders"))
             .orderBy("order_date"))
 
@@ -74,9 +82,9 @@ def daily_revenue(t: DataFrame) -> DataFrame:
 def revenue_by_category_completed(t: DataFrame) -> DataFrame:
     """Delivered or shipped only, stored (gross) amount."""
     return (completed(t).groupBy("category")
-            .agg(F.sum("total_amount").alias("_rev"), F.count("order_id").alias("orders"),
+            .agg(F.sum(cents("total_amount")).alias("_rev"), F.count("order_id").alias("orders"),
                  F.count("total_amount").alias("_n"))
-            .select("category", F.col("_rev").cast("double").alias("total_revenue"), "orders",
+            .select("category", _money("_rev").alias("total_revenue"), "orders",
                     _avg("_rev", "_n").alias("avg_order"))
             .orderBy(F.desc("total_revenue"), F.asc_nulls_last("category")))
 

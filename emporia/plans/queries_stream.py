@@ -117,7 +117,7 @@ def q_stream_tumbling_traffic(spark, sf_dir):
                              value_col="value")
     out = agg.select(wall_time("w.start", spark).alias("window_start"),
                      wall_time("w.end", spark).alias("window_end"), "event_type", "events",
-                     F.col("total_value").cast("double").alias("total_value"))
+                     "total_value")
     return _sink_back(spark, out, "stream-tumbling")
 
 

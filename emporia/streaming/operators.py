@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from emporia.functions.money import cents, cents_to_double
+
 DEFAULT_DELAY = "1 hour"
 
 
@@ -18,7 +20,7 @@ def tumbling_counts(df: DataFrame, time_col: str, key: str, size: str = "1 day",
     """Counts (and an exact money-like sum of ``value_col``) per tumbling window and key."""
     aggs = [F.count(F.lit(1)).alias("events")]
     if value_col:
-        aggs.append(F.sum(F.col(value_col).cast("decimal(18,2)")).alias("total_value"))
+        aggs.append(cents_to_double(F.sum(cents(value_col))).alias("total_value"))
     return (df.withWatermark(time_col, delay)
               .groupBy(F.window(time_col, size).alias("w"), key)
               .agg(*aggs))
