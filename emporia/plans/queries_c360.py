@@ -6,6 +6,7 @@ from emporia.operators import customer360 as c3
 from emporia.operators import segments as sg
 from emporia.plans.queries_batch import ratio_sql
 from emporia.plans.registry import register
+from emporia.session import ensure_checkpoint_dir
 from emporia.sources.fixtures import load_sources, with_sources
 
 _ALL = with_sources("weblogs", "transactions", "reviews", "social")
@@ -92,6 +93,7 @@ def _sources(spark, sf_dir):
 def _core_checkpointed(spark, sf_dir):
     """The 360 core, written once to the checkpoint folder: the quantile jobs
     that follow then read it instead of recomputing the four-source aggregate."""
+    ensure_checkpoint_dir(spark)
     return c3.customer_360_core(*_sources(spark, sf_dir)).checkpoint(eager=True)
 
 

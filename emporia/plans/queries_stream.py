@@ -40,14 +40,40 @@ DELAY = "1 hour"
 
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
-                      partition_by: list[str] | None = None, options: dict | None = None) -> None:
-    """Process everything available, in micro-batches, then stop."""
+                      partition_by: list[str] | None = None, options: dict | None = None,
+                      state_partitions: int | None = None) -> None:
+    """Process everything available, in micro-batches, then stop.
+
+    Stateful operators keep ``spark.sql.shuffle.partitions`` state partitions
+    for the life of the checkpoint (AQE cannot coalesce them), so the number is
+    chosen here, by default the cluster's parallelism, and recorded in the
+    checkpoint when the query first starts.
+    """
+    spark = df.sparkSession
     w = (df.writeStream.format(fmt).outputMode("append")
            .option("path", sink).option("checkpointLocation", checkpoint)
            .options(**(options or {})))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.trigger(availableNow=True).start().awaitTermination()
+    n = state_partitions or max(1, spark.sparkContext.defaultParallelism)
+    with _shuffle_partitions(spark, n):
+        q = w.trigger(availableNow=True).start()
+    q.awaitTermination()
+
+
+class _shuffle_partitions:
+    """Set ``spark.sql.shuffle.partitions`` while a streaming query starts."""
+
+    def __init__(self, spark: SparkSession, n: int):
+        self.spark, self.n = spark, n
+
+    def __enter__(self):
+        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
+        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+
+    def __exit__(self, *exc):
+        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        return False
 
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
