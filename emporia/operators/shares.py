@@ -34,3 +34,10 @@ def source_row_counts(sources: dict[str, DataFrame]) -> DataFrame:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def round_columns(df: DataFrame, digits: dict[str, int]) -> DataFrame:
+    """Round the named columns in place, half up (Spark ``round``: exact on
+    decimals, and on the decimal value of a double); other columns untouched."""
+    return df.select(*[F.round(F.col(c), digits[c]).alias(c) if c in digits else F.col(c)
+                       for c in df.columns])

@@ -216,3 +216,18 @@ def q_source_row_counts(spark, sf_dir):
     from emporia.operators.shares import source_row_counts
 
     return source_row_counts(load_sources(spark, sf_dir))
+
+
+def _round_spend(t):
+    from emporia.operators.shares import round_columns
+
+    return round_columns(tx.customer_spend(t), {"total_spend": 0})
+
+
+on_source("round_columns", "transactions", _round_spend, f"""
+SELECT customer_id, count(order_id) AS total_orders,
+       round(CAST(sum(net) AS DOUBLE), 0) AS total_spend,
+       CAST(sum(net) AS DOUBLE) / count(net) AS avg_order_value,
+       max("timestamp") AS last_order_date
+FROM (SELECT *, {NET} AS net FROM transactions WHERE status IN ('delivered', 'shipped')) t
+GROUP BY customer_id""")
