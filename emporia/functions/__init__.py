@@ -3,13 +3,11 @@
 from emporia.functions.money import (  # noqa: F401
     cents,
     cents_to_double,
-    decimal_mean,
     money,
     net_amount,
     net_cents,
     mean,
     ratio_half_up,
-    sum_money,
 )
 from emporia.functions.rules import (  # noqa: F401
     COMPLETED_STATUSES,

@@ -60,11 +60,6 @@ def net_amount(total="total_amount", discount_pct="discount_pct") -> Column:
     return cents_to_money(net_cents(total, discount_pct))
 
 
-def sum_money(col) -> Column:
-    """Exact sum of an amount column, in cents."""
-    return F.sum(cents(col))
-
-
 def ratio_half_up(num, den, scale: int, factor: int = 1) -> Column:
     """``round(factor * num / den, scale)`` for integers num >= 0, den > 0.
 
@@ -81,8 +76,3 @@ def ratio_half_up(num, den, scale: int, factor: int = 1) -> Column:
 def mean(col) -> Column:
     """Mean of an integer or double column as ``double(sum) / count``."""
     return F.sum(_c(col)).cast("double") / F.count(_c(col))
-
-
-def decimal_mean(col) -> Column:
-    """Mean of a money column as ``double(exact sum) / count``."""
-    return F.try_divide(cents_to_double(F.sum(cents(col))), F.count(_c(col)))

@@ -81,7 +81,9 @@ def customer_360_core(weblogs: DataFrame, transactions: DataFrame, reviews: Data
     return rows.groupBy("customer_id").agg(*partial_aggs())
 
 
-def _finish(core: DataFrame, notebook: bool) -> DataFrame:
+def finish_360(core: DataFrame, notebook: bool = False) -> DataFrame:
+    """Public 360 columns from the core: zero-filled counts and sums, averages
+    from sum and count (rounded to 1 and 2 decimals in the notebook variant)."""
     if notebook:
         avg_session = ratio_half_up("duration_sum", "duration_n", 1)
         avg_order = ratio_half_up("spend", F.col("spend_n") * 100, 2)
@@ -111,12 +113,12 @@ def _finish(core: DataFrame, notebook: bool) -> DataFrame:
 def customer_360(weblogs, transactions, reviews, social) -> DataFrame:
     """The unified view, union plan. Unsorted: it has one row per customer;
     use ``top_by_spend`` for a presentation slice."""
-    return _finish(customer_360_core(weblogs, transactions, reviews, social), notebook=False)
+    return finish_360(customer_360_core(weblogs, transactions, reviews, social), notebook=False)
 
 
 def customer_360_notebook(weblogs, transactions, reviews, social) -> DataFrame:
     """The notebook's variant: no purchase date, averages rounded (1 and 2 decimals)."""
-    return _finish(customer_360_core(weblogs, transactions, reviews, social), notebook=True)
+    return finish_360(customer_360_core(weblogs, transactions, reviews, social), notebook=True)
 
 
 def customer_360_join(weblogs, transactions, reviews, social) -> DataFrame:

@@ -89,8 +89,8 @@ def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out_root: s
     core.write.mode("overwrite").parquet(core_path)
     core = spark.read.parquet(core_path)
 
-    c360 = c3._finish(core, notebook=False)
-    nb = c3._finish(core, notebook=True)
+    c360 = c3.finish_360(core, notebook=False)
+    nb = c3.finish_360(core, notebook=True)
     seg = sg.customer_segments(nb, quantiles)
     derived = {
         "customer_360": c360,

@@ -120,7 +120,7 @@ def q_customer_360_top10(spark, sf_dir):
 
 @register("spend_quantiles", _NB_CTE + _TH + "\nSELECT p75, p50 FROM th")
 def q_spend_quantiles(spark, sf_dir):
-    nb = c3._finish(_core_checkpointed(spark, sf_dir), notebook=True)
+    nb = c3.finish_360(_core_checkpointed(spark, sf_dir), notebook=True)
     return sg.spend_thresholds(nb, "exact")
 
 
@@ -130,7 +130,7 @@ def q_spend_quantiles_approx(spark, sf_dir):
 
 
 def _segments(spark, sf_dir, method="exact"):
-    nb = c3._finish(_core_checkpointed(spark, sf_dir), notebook=True)
+    nb = c3.finish_360(_core_checkpointed(spark, sf_dir), notebook=True)
     return sg.customer_segments(nb, method)
 
 
@@ -180,7 +180,7 @@ SELECT customer_id, recency_days, frequency, monetary,
          || CAST(1 + ({_above('monetary', 'mq')}) AS VARCHAR) AS rfm
 FROM b, q""")
 def q_rfm_scores(spark, sf_dir):
-    c360 = c3._finish(_core_checkpointed(spark, sf_dir), notebook=False)
+    c360 = c3.finish_360(_core_checkpointed(spark, sf_dir), notebook=False)
     return sg.rfm_scores(c360)
 
 
@@ -219,7 +219,7 @@ LEFT JOIN b ON b.customer_id = j.customer_id, a, q"""
 @register("customer_features", _FEAT_SQL)
 def q_customer_features(spark, sf_dir):
     core = _core_checkpointed(spark, sf_dir)
-    nb = c3._finish(core, notebook=True)
-    full = c3._finish(core, notebook=False)
+    nb = c3.finish_360(core, notebook=True)
+    full = c3.finish_360(core, notebook=False)
     return sg.customer_features(core, nb, full, "exact")
 

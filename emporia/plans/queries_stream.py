@@ -28,6 +28,7 @@ from emporia.streaming import operators as so
 from emporia.streaming.sources import (
     TOPICS,
     decode_records,
+    encode_records,
     event_time,
     land_in_time_order,
     landing_records,
@@ -95,12 +96,8 @@ _WM = "(SELECT date_trunc('millisecond', max(ts)) - INTERVAL 1 hour FROM events)
 
 def _weblog_records(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, str, int]:
     """Weblogs as Kafka-shaped records (key = event id, JSON value) in a landing folder."""
-    from emporia.sources.files import encode_json_column
-
     src = weblogs(spark, sf_dir)
-    records = src.select(F.col("event_id").cast("string").alias("key"),
-                         encode_json_column(src), F.lit(TOPICS["weblogs"]).alias("topic"),
-                         F.col("timestamp"))
+    records = encode_records(src, "event_id", TOPICS["weblogs"], keep=("timestamp",))
     landing = scratch_path(spark, "landing-weblogs")
     per_slice = land_in_time_order(records, landing, "timestamp", LANDING_FILES)
     return src, landing, per_slice

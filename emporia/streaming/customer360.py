@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from emporia.operators.customer360 import _finish, partial_aggs
+from emporia.operators.customer360 import finish_360, partial_aggs
 
 
 def write_partials(rows: DataFrame, state_path: str, batch_id: int) -> None:
@@ -51,7 +51,7 @@ def merged_core(spark: SparkSession, state_path: str) -> DataFrame:
 
 
 def merged_360(spark: SparkSession, state_path: str) -> DataFrame:
-    return _finish(merged_core(spark, state_path), notebook=False)
+    return finish_360(merged_core(spark, state_path), notebook=False)
 
 
 def compact(spark: SparkSession, state_path: str, out_path: str) -> None:

@@ -42,6 +42,31 @@ def kafka_records(spark: SparkSession, bootstrap_servers: str, topics: list[str]
                                 F.col("value").cast("string").alias("value"), "topic")
 
 
+def encode_records(df: DataFrame, key_col: str, topic: str,
+                   keep: tuple[str, ...] = ()) -> DataFrame:
+    """Rows as Kafka records: string key, JSON value of the whole row, topic
+    (the producer side); ``keep`` columns are carried along unencoded."""
+    from emporia.sources.files import encode_json_column
+
+    return df.select(F.col(key_col).cast("string").alias("key"), encode_json_column(df),
+                     F.lit(topic).alias("topic"), *keep)
+
+
+def write_kafka(records: DataFrame, bootstrap_servers: str, checkpoint: str | None = None,
+                extra: dict | None = None):
+    """Write (key, value, topic) records to Kafka: a batch write, or a started
+    streaming query when ``records`` is a stream (then ``checkpoint`` is required).
+    Needs the Kafka connector on the classpath."""
+    opts = {"kafka.bootstrap.servers": bootstrap_servers, **(extra or {})}
+    if records.isStreaming:
+        if not checkpoint:
+            raise ValueError("a streaming Kafka write needs a checkpoint folder")
+        return (records.writeStream.format("kafka").options(**opts)
+                .option("checkpointLocation", checkpoint).start())
+    records.write.format("kafka").options(**opts).save()
+    return None
+
+
 def landing_records(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
     """A folder of Parquet files holding (key, value, topic) records: the same
     shape as ``kafka_records``, for replays and tests without a broker."""
