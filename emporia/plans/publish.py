@@ -8,12 +8,14 @@ from emporia.sources.files import save_results
 
 
 def publish_table(spark: SparkSession, df: DataFrame, name: str, root: str,
-                  database: str = "emporia") -> str:
+                  database: str | None = "emporia") -> str:
     """Write ``df`` as Parquet under ``root/name`` and register it as an
-    external table ``database.name`` in the session catalog (Hive metastore
-    when the session has one). Returns the qualified table name."""
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    qualified = f"{database}.{name}"
+    external table ``database.name`` (or ``name`` in the current database when
+    ``database`` is None) in the session catalog (Hive metastore when the
+    session has one). Returns the table name."""
+    if database:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    qualified = f"{database}.{name}" if database else name
     (df.write.mode("overwrite").format("parquet")
        .option("path", f"{root.rstrip('/')}/{name}")
        .saveAsTable(qualified))

@@ -177,6 +177,8 @@ def q_lake_promote_transactions(spark, sf_dir):
 def q_publish_views(spark, sf_dir):
     from emporia.plans.publish import publish_table
 
-    name = publish_table(spark, tx.revenue_by_category(transactions(spark, sf_dir)),
-                         "revenue_by_category", scratch_path(spark, "views"))
+    root = scratch_path(spark, "views")
+    table = "emporia_view_" + root.rsplit("-", 1)[-1]
+    name = publish_table(spark, tx.revenue_by_category(transactions(spark, sf_dir)), table, root,
+                         database=None)
     return spark.table(name)
