@@ -6,7 +6,6 @@ Library code never sets ``master``: it takes the session from the caller.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
