@@ -6,7 +6,7 @@ from emporia.operators import customer360 as c3
 from emporia.operators import segments as sg
 from emporia.plans.queries_batch import ratio_sql
 from emporia.plans.registry import register
-from emporia.session import ensure_checkpoint_dir
+from emporia.session import scratch_path
 from emporia.sources.fixtures import load_sources, with_sources
 
 _ALL = with_sources("weblogs", "transactions", "reviews", "social")
@@ -91,10 +91,13 @@ def _sources(spark, sf_dir):
 
 
 def _core_checkpointed(spark, sf_dir):
-    """The 360 core, written once to the checkpoint folder: the quantile jobs
-    that follow then read it instead of recomputing the four-source aggregate."""
-    ensure_checkpoint_dir(spark)
-    return c3.customer_360_core(*_sources(spark, sf_dir)).checkpoint(eager=True)
+    """The 360 core, written once as Parquet under the shared checkpoint folder
+    and read back: the quantile jobs that follow read only the columns they
+    need instead of recomputing the four-source aggregate, and the lineage is
+    cut (a lost executor never re-reads the sources)."""
+    path = scratch_path(spark, "c360-core")
+    c3.customer_360_core(*_sources(spark, sf_dir)).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 @register("customer_360", C360_SQL)
