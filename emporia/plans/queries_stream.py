@@ -115,17 +115,40 @@ def q_stream_ingest(spark, sf_dir):
     return _sink_back(spark, _decoded_weblogs(spark, sf_dir), "stream-ingest")
 
 
+def _landed_weblogs(spark: SparkSession, sf_dir: str) -> tuple[Lake, DataFrame]:
+    """Weblog records mixed with raw conversation lines (not JSON) on one topic,
+    landed by the two landing queries: rows to the raw zone, bad lines to quarantine."""
+    from emporia.streaming.ingest import start_landing
+
+    src, landing, per_slice = _weblog_records(spark, sf_dir)
+    junk = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "text").select(
+        (F.col("conv_id") * 100 + F.col("turn")).cast("string").alias("key"),
+        F.col("text").alias("value"), F.lit(TOPICS["weblogs"]).alias("topic"))
+    junk.write.mode("append").parquet(landing)
+    lake = Lake(spark, scratch_path(spark, "stream-lake"))
+    records = landing_records(spark, landing, max_files_per_trigger=per_slice)
+    with _shuffle_partitions(spark, max(1, spark.sparkContext.defaultParallelism)):
+        queries = start_landing(records, src.schema, lake, "weblogs",
+                                scratch_path(spark, "stream-lake-ck"), date_col="timestamp",
+                                available_now=True)
+    for q in queries:
+        q.awaitTermination()
+    return lake, src
+
+
 @register("stream_land_raw", with_sources("weblogs")
           + 'SELECT *, CAST("timestamp" AS DATE) AS ingest_date FROM weblogs')
 def q_stream_land_raw(spark, sf_dir):
-    from emporia.sources.files import TEXT_TIME_OPTIONS
+    lake, src = _landed_weblogs(spark, sf_dir)
+    return lake.read("raw", "weblogs", src.schema)
 
-    decoded = _decoded_weblogs(spark, sf_dir)
-    lake = Lake(spark, scratch_path(spark, "stream-lake"))
-    run_available_now(decoded.withColumn(PART, F.to_date("timestamp")),
-                      lake.path("raw", "weblogs"), scratch_path(spark, "stream-lake-ck"),
-                      fmt="json", partition_by=[PART], options=TEXT_TIME_OPTIONS)
-    return lake.read("raw", "weblogs", decoded.schema)
+
+@register("stream_quarantine", """
+SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS "key", text AS raw_value
+FROM conversations WHERE NOT json_valid(text)""")
+def q_stream_quarantine(spark, sf_dir):
+    lake, _ = _landed_weblogs(spark, sf_dir)
+    return lake.read("quarantine", "weblogs").drop(PART)
 
 
 @register("stream_tumbling_traffic", f"""
