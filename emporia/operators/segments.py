@@ -3,8 +3,8 @@
 Segment thresholds are quantiles of ``total_spend`` over all customers of the
 360 (zeros included). ``method="exact"`` computes them with the distributed
 selection of ``emporia.functions.quantiles`` (small jobs that return scalars);
-``method="approx"`` keeps the plan lazy with a one-row ``percentile_approx``
-table joined back by broadcast (one row: a proven size bound).
+``method="approx"`` with one ``percentile_approx`` job (bounded sketches).
+Either way they are applied as literals.
 """
 
 from __future__ import annotations
@@ -27,23 +27,40 @@ SEGMENT_PROBS = (0.75, 0.50)
 RFM_PROBS = (0.2, 0.4, 0.6, 0.8)
 
 
+def _exact_spend_thresholds(c360: DataFrame) -> tuple[float | None, float | None]:
+    p75, p50 = exact_quantiles(c360, "total_spend", list(SEGMENT_PROBS))
+    return (None if p75 is None else float(round(p75, 4)),
+            None if p50 is None else float(round(p50, 4)))
+
+
 def spend_thresholds(c360: DataFrame, method: str = "exact") -> DataFrame:
     """One row: ``p75``, ``p50`` of ``total_spend`` (4 decimals)."""
     if method == "exact":
-        p75, p50 = exact_quantiles(c360, "total_spend", list(SEGMENT_PROBS))
-        spark = c360.sparkSession
-        return spark.createDataFrame(
-            [(None if p75 is None else float(round(p75, 4)),
-              None if p50 is None else float(round(p50, 4)))], "p75 double, p50 double")
+        p75, p50 = _exact_spend_thresholds(c360)
+        return c360.sparkSession.createDataFrame([(p75, p50)], "p75 double, p50 double")
     if method == "approx":
         return approx_quantiles_row(c360, "total_spend", list(SEGMENT_PROBS), ["p75", "p50"])
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def _with_thresholds(df: DataFrame, c360: DataFrame, method: str) -> DataFrame:
+    """``df`` with literal columns ``p75``, ``p50``: the thresholds are two
+    scalars (exact: distributed selection; approx: one ``percentile_approx``
+    job), so no join is needed to apply them."""
+    if method == "exact":
+        p75, p50 = _exact_spend_thresholds(c360)
+    elif method == "approx":
+        row = spend_thresholds(c360, "approx").first()
+        p75, p50 = row["p75"], row["p50"]
+    else:
+        raise ValueError(f"unknown quantile method {method!r}")
+    return df.withColumn("p75", F.lit(p75).cast("double")).withColumn(
+        "p50", F.lit(p50).cast("double"))
+
+
 def customer_segments(c360: DataFrame, method: str = "exact") -> DataFrame:
     """The notebook 360 plus ``segment``: > p75 VIP, > p50 Regular, > 0 Occasional, else Browse-only."""
-    th = spend_thresholds(c360, method)
-    return (c360.crossJoin(F.broadcast(th))
+    return (_with_thresholds(c360, c360, method)
             .withColumn("segment", segment_of("total_spend", "p75", "p50"))
             .drop("p75", "p50"))
 
@@ -119,14 +136,13 @@ def customer_features(core: DataFrame, c360_notebook: DataFrame, c360: DataFrame
 
     Measures keep nulls where a source is absent (no zero-filling), with
     ``has_*`` flags; plus the spend segment, RFM scores (null without a
-    completed order) and ``snapshot_date`` = ``as_of``. Thresholds are scalars
-    or a one-row broadcast, so no customer-keyed join is added.
+    completed order) and ``snapshot_date`` = ``as_of``. Thresholds and cut
+    points are literals, so no join is added.
     """
-    th = spend_thresholds(c360_notebook, method)
     as_of, rc, fc, mc = rfm_cuts(c360, as_of)
     has_orders = F.col("order_rows") > 0
     spend0 = F.coalesce(cents_to_double("spend"), F.lit(0.0))
-    feats = core.crossJoin(F.broadcast(th)).select(
+    feats = _with_thresholds(core, c360_notebook, method).select(
         "customer_id",
         (F.col("web_rows") > 0).alias("has_web"),
         has_orders.alias("has_orders"),

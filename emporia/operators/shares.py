@@ -11,14 +11,13 @@ from emporia.functions.money import ratio_half_up
 def with_share(df: DataFrame, count_col: str, pct_col: str = "pct", scale: int = 2) -> DataFrame:
     """Add ``round(100 * count / total, scale)``, total taken over all rows of ``df``.
 
-    The total is a one-row global aggregate joined back as a broadcast: its
-    size is one row whatever the number of groups, so it never forces the
-    groups into one partition the way an unpartitioned window would.
+    The total is a scalar subquery (``DataFrame.scalar()``): Spark evaluates the
+    one-row aggregate once, reusing the shuffle of ``df``'s own aggregation,
+    and inlines the value. No join, and the groups are never gathered into one
+    partition the way an unpartitioned window would.
     """
-    total = df.agg(F.sum(count_col).alias("_share_total"))
-    return (df.crossJoin(F.broadcast(total))
-            .withColumn(pct_col, ratio_half_up(count_col, "_share_total", scale, factor=100))
-            .drop("_share_total"))
+    total = df.agg(F.sum(count_col)).scalar()
+    return df.withColumn(pct_col, ratio_half_up(count_col, total, scale, factor=100))
 
 
 def value_counts(df: DataFrame, col: str, count_name: str) -> DataFrame:
