@@ -100,9 +100,7 @@ def rfm_cuts(c360: DataFrame, as_of: _dt.date | None = None):
     """``as_of`` and the exact quintile cut points of recency, frequency, monetary
     over customers with a completed order (scalars from small distributed jobs)."""
     buyers = c360.filter(F.col("total_orders") > 0)
-    if as_of is None:
-        last = buyers.agg(F.max(F.to_date("last_purchase_date")).alias("d")).first()["d"]
-        as_of = (last or _dt.date(1970, 1, 1)) + _dt.timedelta(days=1)
+    as_of = _as_of(c360, as_of)
     base = buyers.select(_recency(as_of).alias("r"), F.col("total_orders").alias("f"),
                          F.col("total_spend").alias("m"))
     got = exact_quantiles_many(base, {c: list(RFM_PROBS) for c in ("r", "f", "m")})
@@ -110,6 +108,30 @@ def rfm_cuts(c360: DataFrame, as_of: _dt.date | None = None):
     return as_of, cuts[0], cuts[1], cuts[2]
 
 
+def _as_of(c360: DataFrame, as_of: _dt.date | None) -> _dt.date:
+    if as_of is not None:
+        return as_of
+    last = (c360.filter(F.col("total_orders") > 0)
+                .agg(F.max(F.to_date("last_purchase_date")).alias("d")).first()["d"])
+    return (last or _dt.date(1970, 1, 1)) + _dt.timedelta(days=1)
+
+
+def _feature_cuts(c360: DataFrame, as_of: _dt.date | None):
+    """Spend thresholds over all customers and RFM cut points over buyers, from
+    one distributed selection (non-buyers are null in the RFM columns)."""
+    as_of = _as_of(c360, as_of)
+    buyer = F.col("total_orders") > 0
+    values = c360.select(F.col("total_spend").alias("s"),
+                         F.when(buyer, _recency(as_of)).alias("r"),
+                         F.when(buyer, F.col("total_orders")).alias("f"),
+                         F.when(buyer, F.col("total_spend")).alias("m"))
+    got = exact_quantiles_many(values, {"s": list(SEGMENT_PROBS), "r": list(RFM_PROBS),
+                                        "f": list(RFM_PROBS), "m": list(RFM_PROBS)})
+    p75, p50 = [None if q is None else float(round(q, 4)) for q in got["s"]]
+    cuts = tuple([] if got[c][0] is None else got[c] for c in ("r", "f", "m"))
+    return as_of, (p75, p50), cuts
+
+
 def rfm_scores(c360: DataFrame, as_of: _dt.date | None = None) -> DataFrame:
     """Recency / frequency / monetary scores 1-5 for customers with a completed order.
 
@@ -139,10 +161,17 @@ def customer_features(core: DataFrame, c360_notebook: DataFrame, c360: DataFrame
     completed order) and ``snapshot_date`` = ``as_of``. Thresholds and cut
     points are literals, so no join is added.
     """
-    as_of, rc, fc, mc = rfm_cuts(c360, as_of)
+    if method == "exact":
+        # one selection for the spend thresholds and the three RFM cut points
+        as_of, (p75, p50), (rc, fc, mc) = _feature_cuts(c360, as_of)
+        with_th = core.withColumn("p75", F.lit(p75).cast("double")).withColumn(
+            "p50", F.lit(p50).cast("double"))
+    else:
+        as_of, rc, fc, mc = rfm_cuts(c360, as_of)
+        with_th = _with_thresholds(core, c360_notebook, method)
     has_orders = F.col("order_rows") > 0
     spend0 = F.coalesce(cents_to_double("spend"), F.lit(0.0))
-    feats = _with_thresholds(core, c360_notebook, method).select(
+    feats = with_th.select(
         "customer_id",
         (F.col("web_rows") > 0).alias("has_web"),
         has_orders.alias("has_orders"),
