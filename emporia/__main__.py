@@ -1,7 +1,7 @@
 """Command line: ``python -m emporia <command> ...``.
 
 Commands:
-  pipeline <sf_dir> <out_root>      all results of the driver tables, published
+  run-all <sf_dir> <out_root>       all results of the driver tables, published
   query <sf_dir> <name> [<out>]     one registered query (shown, or written as Parquet)
   list                              registered query names
 """
@@ -33,11 +33,11 @@ def main(argv: list[str]) -> int:
     spark = builder.getOrCreate()
     ensure_checkpoint_dir(spark)
     try:
-        if cmd == "pipeline":
-            from emporia.plans.pipeline import run_pipeline
+        if cmd == "run-all":
+            from emporia.plans.batch import run_all
             from emporia.sources.fixtures import load_sources
 
-            out = run_pipeline(spark, load_sources(spark, argv[1]), argv[2])
+            out = run_all(spark, load_sources(spark, argv[1]), argv[2])
             for name, where in sorted(out.items()):
                 print(f"{name}\t{where}")
         elif cmd == "query":

@@ -1,6 +1,6 @@
 """The batch pipeline: sources -> every named result -> published views.
 
-``run_pipeline`` is the library's end-to-end entry point.
+``run_all`` is the library's end-to-end entry point.
 
 1. Each source is written once as Parquet (``materialize=True``) and read
    back, so the many results of one source scan a narrow columnar table
@@ -74,7 +74,7 @@ def materialize_sources(spark: SparkSession, sources: dict[str, DataFrame],
     return out
 
 
-def run_pipeline(spark: SparkSession, sources: dict[str, DataFrame], out_root: str,
+def run_all(spark: SparkSession, sources: dict[str, DataFrame], out_root: str,
                  database: str | None = "emporia", quantiles: str = "exact",
                  as_of: _dt.date | None = None, materialize: bool = True) -> dict[str, str]:
     """Compute and publish every result. Returns result name -> table or path."""

@@ -1,14 +1,14 @@
 """End-to-end pipeline: every result published once, equal to the registry queries."""
 
-from emporia.plans.pipeline import run_pipeline
+from emporia.plans.batch import run_all
 from emporia.sources.fixtures import load_sources
 from tests.conftest import SF_SMALL
 
 
-def test_pipeline_publishes_all_results(spark, tmp_path):
+def test_run_all_publishes_all_results(spark, tmp_path):
     import __spark_entry__ as entry
 
-    out = run_pipeline(spark, load_sources(spark, SF_SMALL), str(tmp_path / "views"),
+    out = run_all(spark, load_sources(spark, SF_SMALL), str(tmp_path / "views"),
                        database="emporia_test")
     assert len(out) == 32
     for name in ("revenue_by_category", "customer_360", "customer_segments", "customer_features"):
