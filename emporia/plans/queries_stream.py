@@ -14,6 +14,7 @@ session is emitted once its end is at or before it.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql import functions as F
 
 from emporia.operators import customer360 as c3
@@ -25,6 +26,7 @@ from emporia.sources.lake import PART, Lake
 from emporia.sources.tables import read_table
 from emporia.streaming import customer360 as sc3
 from emporia.streaming import operators as so
+from emporia.streaming.operators import STREAM_CONF
 from emporia.streaming.sources import (
     TOPICS,
     decode_records,
@@ -42,13 +44,15 @@ DELAY = "1 hour"
 
 def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "parquet",
                       partition_by: list[str] | None = None, options: dict | None = None,
-                      state_partitions: int | None = None) -> None:
-    """Process everything available, in micro-batches, then stop.
+                      state_partitions: int | None = None) -> StreamingQuery:
+    """Process everything available, in micro-batches, then stop; return the query.
 
     Stateful operators keep ``spark.sql.shuffle.partitions`` state partitions
     for the life of the checkpoint (AQE cannot coalesce them), so the number is
     chosen here, by default the cluster's parallelism, and recorded in the
-    checkpoint when the query first starts.
+    checkpoint when the query first starts. Session windows are merged inside
+    each task before the shuffle (``STREAM_CONF``), so a key holding a third of
+    the events sends one row per local session, not its raw events.
     """
     spark = df.sparkSession
     w = (df.writeStream.format(fmt).outputMode("append")
@@ -57,23 +61,29 @@ def run_available_now(df: DataFrame, sink: str, checkpoint: str, fmt: str = "par
     if partition_by:
         w = w.partitionBy(*partition_by)
     n = state_partitions or max(1, spark.sparkContext.defaultParallelism)
-    with _shuffle_partitions(spark, n):
+    with session_conf(spark, {**STREAM_CONF, "spark.sql.shuffle.partitions": str(n)}):
         q = w.trigger(availableNow=True).start()
     q.awaitTermination()
+    return q
 
 
-class _shuffle_partitions:
-    """Set ``spark.sql.shuffle.partitions`` while a streaming query starts."""
+class session_conf:
+    """Set session settings while a streaming query starts (it keeps a copy)."""
 
-    def __init__(self, spark: SparkSession, n: int):
-        self.spark, self.n = spark, n
+    def __init__(self, spark: SparkSession, conf: dict[str, str]):
+        self.spark, self.conf = spark, conf
 
     def __enter__(self):
-        self.old = self.spark.conf.get("spark.sql.shuffle.partitions")
-        self.spark.conf.set("spark.sql.shuffle.partitions", str(self.n))
+        self.old = {k: self.spark.conf.get(k, None) for k in self.conf}
+        for k, v in self.conf.items():
+            self.spark.conf.set(k, v)
 
     def __exit__(self, *exc):
-        self.spark.conf.set("spark.sql.shuffle.partitions", self.old)
+        for k, v in self.old.items():
+            if v is None:
+                self.spark.conf.unset(k)
+            else:
+                self.spark.conf.set(k, v)
         return False
 
 
@@ -127,7 +137,8 @@ def _landed_weblogs(spark: SparkSession, sf_dir: str) -> tuple[Lake, DataFrame]:
     junk.write.mode("append").parquet(landing)
     lake = Lake(spark, scratch_path(spark, "stream-lake"))
     records = landing_records(spark, landing, max_files_per_trigger=per_slice)
-    with _shuffle_partitions(spark, max(1, spark.sparkContext.defaultParallelism)):
+    with session_conf(spark, {**STREAM_CONF, "spark.sql.shuffle.partitions":
+                              str(max(1, spark.sparkContext.defaultParallelism))}):
         queries = start_landing(records, src.schema, lake, "weblogs",
                                 scratch_path(spark, "stream-lake-ck"), date_col="timestamp",
                                 available_now=True)

@@ -14,6 +14,13 @@ from emporia.functions.money import cents, cents_to_double
 
 DEFAULT_DELAY = "1 hour"
 
+# Settings a streaming query should start with. Session windows are then merged
+# inside each task before the shuffle into state (batch plans always do this),
+# so a hot key ships one row per local session instead of its raw events.
+STREAM_CONF = {
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
 
 def tumbling_counts(df: DataFrame, time_col: str, key: str, size: str = "1 day",
                     delay: str = DEFAULT_DELAY, value_col: str | None = None) -> DataFrame:
@@ -36,7 +43,10 @@ def sliding_counts(df: DataFrame, time_col: str, key: str, size: str = "1 day",
 
 def sessions(df: DataFrame, time_col: str, key: str, gap: str = "30 minutes",
              delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Activity sessions per key: a session ends after ``gap`` without events."""
+    """Activity sessions per key: a session ends after ``gap`` without events.
+
+    Start the stream with ``STREAM_CONF`` so sessions are merged map-side.
+    """
     return (df.withWatermark(time_col, delay)
               .groupBy(F.session_window(time_col, gap).alias("w"), key)
               .agg(F.count(F.lit(1)).alias("events"),

@@ -74,3 +74,35 @@ def test_dedup_hot_record_id_uses_aggregation_not_window(spark):
     got = out.filter(F.col("event_id") == "dup").collect()
     assert len(got) == 1 and got[0].timestamp == TS + dt.timedelta(seconds=2997)
     assert out.count() == 2001
+
+
+def test_stream_sessions_merge_a_hot_user_before_the_shuffle(spark, capsys):
+    from emporia.plans.queries_stream import run_available_now
+    from emporia.session import scratch_path
+    from emporia.streaming.operators import sessions
+
+    # user 0 owns a third of the events (one per second for 1000 s); 2000 others
+    # are spread over 97 users and 20000 s, so the watermark closes user 0's session
+    ids = spark.range(3000)
+    hot = F.col("id") < 1000
+    events = ids.select(
+        F.when(hot, F.lit(0)).otherwise(F.col("id") % 97 + 1).alias("user_id"),
+        (F.lit(TS).cast("timestamp")
+         + F.make_interval(secs=F.when(hot, F.col("id")).otherwise(F.col("id") * 10)))
+        .alias("t"))
+    landing = scratch_path(spark, "hot-sessions-landing")
+    events.write.parquet(landing)
+    stream = spark.readStream.schema(events.schema).parquet(landing)
+    out = sessions(stream, "t", "user_id", "30 minutes", "1 hour").select(
+        "user_id", "events", "first_event", "last_event")
+    base = scratch_path(spark, "hot-sessions")
+    q = run_available_now(out, f"{base}/out", f"{base}/checkpoint")
+
+    got = spark.read.parquet(f"{base}/out").filter("user_id = 0").collect()
+    assert [(r.events, r.first_event, r.last_event) for r in got] == [
+        (1000, TS, TS + dt.timedelta(seconds=999))]
+
+    q.explain()
+    plan = capsys.readouterr().out
+    exchange = plan.index("Exchange hashpartitioning")
+    assert "MergingSessions" in plan[exchange:], plan
