@@ -14,10 +14,13 @@ def with_share(df: DataFrame, count_col: str, pct_col: str = "pct", scale: int =
     The total is a scalar subquery (``DataFrame.scalar()``): Spark evaluates the
     one-row aggregate once, reusing the shuffle of ``df``'s own aggregation,
     and inlines the value. No join, and the groups are never gathered into one
-    partition the way an unpartitioned window would.
+    partition the way an unpartitioned window would. The total is projected
+    once, so the plan holds one subquery whatever ``reuseSubquery`` says.
     """
     total = df.agg(F.sum(count_col)).scalar()
-    return df.withColumn(pct_col, ratio_half_up(count_col, total, scale, factor=100))
+    return (df.withColumn("_share_total", total)
+              .withColumn(pct_col, ratio_half_up(count_col, "_share_total", scale, factor=100))
+              .drop("_share_total"))
 
 
 def value_counts(df: DataFrame, col: str, count_name: str) -> DataFrame:

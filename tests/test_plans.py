@@ -70,3 +70,12 @@ def test_day_read_prunes_partitions(spark, tmp_path):
         day._sc._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted"))
     assert "PartitionFilters: [isnotnull(ingest_date" in formatted
     assert day.count() == src.filter(F.to_date("timestamp") == "2024-01-05").count()
+
+
+@pytest.mark.parametrize("name", ["device_breakdown", "status_distribution", "sentiment_share",
+                                  "segment_share"])
+def test_share_total_is_one_scalar_subquery(spark, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    optimized = df._jdf.queryExecution().optimizedPlan().toString()
+    assert optimized.count("scalar-subquery#") == 1, optimized
+    assert "Window" not in plan_of(df)
