@@ -106,3 +106,40 @@ def test_stream_sessions_merge_a_hot_user_before_the_shuffle(spark, capsys):
     plan = capsys.readouterr().out
     exchange = plan.index("Exchange hashpartitioning")
     assert "MergingSessions" in plan[exchange:], plan
+
+
+def test_hot_customer_join_is_split_under_an_aggregate_on_the_same_key(spark):
+    # the join and the aggregate above it share the key, so the aggregate reuses
+    # the join's partitioning; the hot key must still be split across tasks
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        ev = spark.range(60000).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 997).alias("user_id"),
+            (F.col("id") % 7).alias("d"))
+        cust = spark.range(997).select(F.col("id").alias("c_custkey"))
+        out = (ev.join(cust, ev.user_id == cust.c_custkey)
+                 .groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.sum("d").alias("s")))
+        got = {r.user_id: (r.n, r.s) for r in out.collect()}
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+    assert got[0] == (20040, sum(i % 7 for i in range(0, 60000, 3)) + sum(
+        i % 7 for i in range(60000) if i % 3 and i % 997 == 0))
+    assert len(got) == 997
+    assert "SortMergeJoin(skew=true)" in plan, plan
+    # the pieces of the hot key are collapsed before the added shuffle
+    assert re.search(r"Exchange hashpartitioning\(user_id[^\n]*\n[^\n]*partial_count", plan), plan
