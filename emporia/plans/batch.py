@@ -20,6 +20,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from emporia.operators import customer360 as c3
 from emporia.operators import reviews as rv
@@ -58,11 +59,25 @@ SOURCE_RESULTS = {
 }
 
 
+# Large results are published partitioned by day: result -> (partition column,
+# the timestamp column it is the UTC date of). The partition column is added.
+DAY_PARTITIONED = {"session_stats": ("session_date", "session_start")}
+
+
 def source_results(sources: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """All per-source results as lazy plans."""
     return {name: fn(sources[src]) for name, (src, fn) in SOURCE_RESULTS.items()}
 
 
+def with_day_partitions(results: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Add the day column of every result listed in ``DAY_PARTITIONED``."""
+    out = dict(results)
+    for name, (part, ts) in DAY_PARTITIONED.items():
+        if name in out:
+            out[name] = out[name].withColumn(part, F.to_date(ts))
+    return out
+
+
 def materialize_sources(spark: SparkSession, sources: dict[str, DataFrame],
                         root: str) -> dict[str, DataFrame]:
     """Write each source once as Parquet under ``root`` and read it back."""
@@ -81,7 +96,9 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], out_root: str,
     out_root = out_root.rstrip("/")
     if materialize:
         sources = materialize_sources(spark, sources, f"{out_root}/_sources")
-    published = publish_views(spark, source_results(sources), out_root, database=database)
+    published = publish_views(spark, with_day_partitions(source_results(sources)), out_root,
+                              database=database,
+                              partitions={n: p for n, (p, _) in DAY_PARTITIONED.items()})
 
     core_path = f"{out_root}/_customer_360_core"
     core = c3.customer_360_core(sources["weblogs"], sources["transactions"],

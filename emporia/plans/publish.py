@@ -8,27 +8,39 @@ from emporia.sources.files import save_results
 
 
 def publish_table(spark: SparkSession, df: DataFrame, name: str, root: str,
-                  database: str | None = "emporia") -> str:
+                  database: str | None = "emporia", partition_by: str | None = None) -> str:
     """Write ``df`` as Parquet under ``root/name`` and register it as an
     external table ``database.name`` (or ``name`` in the current database when
     ``database`` is None) in the session catalog (Hive metastore when the
-    session has one). Returns the table name."""
+    session has one). Returns the table name.
+
+    With ``partition_by`` the table is partitioned on that column; ``rebalance``
+    on it lets AQE give small partitions one file and split a hot one.
+    """
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     qualified = f"{database}.{name}" if database else name
-    (df.write.mode("overwrite").format("parquet")
-       .option("path", f"{root.rstrip('/')}/{name}")
-       .saveAsTable(qualified))
+    if partition_by:
+        df = df.hint("rebalance", partition_by)
+    w = df.write.mode("overwrite").format("parquet").option("path", f"{root.rstrip('/')}/{name}")
+    if partition_by:
+        w = w.partitionBy(partition_by)
+    w.saveAsTable(qualified)
     return qualified
 
 
 def publish_views(spark: SparkSession, results: dict[str, DataFrame], root: str,
-                  fmt: str = "parquet", database: str | None = "emporia") -> dict[str, str]:
-    """Write every result (Parquet by default); with ``database`` also register tables."""
+                  fmt: str = "parquet", database: str | None = "emporia",
+                  partitions: dict[str, str] | None = None) -> dict[str, str]:
+    """Write every result (Parquet by default); with ``database`` also register tables.
+
+    ``partitions`` maps a result name to the column its table is partitioned on.
+    """
     out = {}
     for name, df in results.items():
         if database and fmt == "parquet":
-            out[name] = publish_table(spark, df, name, root, database)
+            out[name] = publish_table(spark, df, name, root, database,
+                                      (partitions or {}).get(name))
         else:
             path = f"{root.rstrip('/')}/{name}"
             save_results(df, path, fmt)

@@ -15,3 +15,11 @@ def test_run_all_publishes_all_results(spark, tmp_path):
         published = spark.table(out[name])
         direct = entry.queries()[name](spark, SF_SMALL)
         assert sorted(map(tuple, published.collect())) == sorted(map(tuple, direct.collect())), name
+    # the largest result is partitioned by day and otherwise equal to the query
+    sessions = spark.table(out["session_stats"])
+    parts = spark.sql(f"SHOW PARTITIONS {out['session_stats']}").collect()
+    assert len(parts) > 1 and all(r[0].startswith("session_date=") for r in parts)
+    direct = entry.queries()["session_stats"](spark, SF_SMALL)
+    assert sessions.filter("session_date <> to_date(session_start)").count() == 0
+    assert (sorted(map(tuple, sessions.select(*direct.columns).collect()))
+            == sorted(map(tuple, direct.collect())))
