@@ -132,7 +132,7 @@ def land_in_time_order(df: DataFrame, path: str, time_col: str, slices: int = 4,
             cond = cond & (t >= F.lit(lo))
         if hi is not None:
             cond = cond & (t < F.lit(hi))
-        part = df.filter(cond)
-        part = part.repartition(files) if files > 1 else part.coalesce(1)
-        part.write.mode("append").parquet(path)
+        # ``repartition`` (not ``coalesce``) keeps the scan and filter parallel;
+        # only the slice's rows move to its ``files`` writers
+        df.filter(cond).repartition(files).write.mode("append").parquet(path)
     return files
