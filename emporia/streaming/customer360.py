@@ -27,9 +27,18 @@ def write_partials(rows: DataFrame, state_path: str, batch_id: int) -> None:
 
 
 def partials_sink(state_path: str):
-    """A ``foreachBatch`` function writing the partials of each micro-batch."""
+    """A ``foreachBatch`` function writing the partials of each micro-batch.
+
+    The batch feeds two writes, so it is persisted (memory and disk) while they
+    run: the source (a Kafka offset range) is read once, and a lost executor
+    recomputes its blocks from that fixed range.
+    """
     def sink(batch: DataFrame, batch_id: int) -> None:
-        write_partials(batch, state_path, batch_id)
+        batch = batch.persist()
+        try:
+            write_partials(batch, state_path, batch_id)
+        finally:
+            batch.unpersist()
     return sink
 
 
