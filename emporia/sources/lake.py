@@ -177,12 +177,20 @@ class Lake:
     def promote(self, source: str, schema: T.StructType | None = None, date=None,
                 order: list[str] | None = None) -> None:
         """Raw -> processed: trim, validate (rejects to quarantine) and keep the
-        latest version of each record id. ``date`` limits the run to one day."""
-        raw = clean(self.read("raw", source, schema, date))
-        good, bad = validate(source, raw)
-        key = RECORD_KEY[source]
-        if key is not None and key in good.columns:
-            order = order or [c for c in ("timestamp",) if c in good.columns]
-            good = dedup_latest(good, key, [PART] + order)
-        self._write(good, "processed", source)
-        self._write(bad, "quarantine", source)
+        latest version of each record id. ``date`` limits the run to one day.
+
+        The cleaned rows feed both writes, so they are persisted (memory and
+        disk) while those run: the raw text is parsed once, and lost blocks are
+        recomputed from the raw files.
+        """
+        raw = clean(self.read("raw", source, schema, date)).persist()
+        try:
+            good, bad = validate(source, raw)
+            key = RECORD_KEY[source]
+            if key is not None and key in good.columns:
+                order = order or [c for c in ("timestamp",) if c in good.columns]
+                good = dedup_latest(good, key, [PART] + order)
+            self._write(good, "processed", source)
+            self._write(bad, "quarantine", source)
+        finally:
+            raw.unpersist()
