@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.llm import quality as _quality
+from emporia.llm import simhash as _simhash
 from emporia.llm.common import bucket, prepare
 from emporia.sources.tables import read_table
 
@@ -35,3 +36,12 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _quality.fit_quality(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality"))
     held_out = F.coalesce(bucket("doc_id", 3) == 1, F.lit(False)).alias("held_out")
     return _quality.score_quality(docs, model).select("doc_id", held_out, "score", "predicted")
+
+
+@register("op6_simhash")
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document (3-word shingles, at most 3 bits)."""
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    found = _simhash.simhash_components(docs, radius=3, words=3)
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
+                        "component_id")
