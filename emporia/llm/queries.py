@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.llm import decontam as _decontam
 from emporia.llm import quality as _quality
 from emporia.llm import simhash as _simhash
 from emporia.llm.common import bucket, prepare
@@ -45,3 +46,11 @@ def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = _simhash.simhash_components(docs, radius=3, words=3)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
                         "component_id")
+
+
+@register("op9_decontam")
+def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item whose question and answer it contains."""
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    found = _decontam.find_leaks(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
+    return found.select("doc_id", F.explode("items").alias("item_id"))
