@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.llm import bpe as _bpe
 from emporia.llm import decontam as _decontam
 from emporia.llm import quality as _quality
 from emporia.llm import simhash as _simhash
@@ -54,3 +55,18 @@ def op9_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
     found = _decontam.find_leaks(docs, read_table(spark, sf_dir, "benchmark", "item_id", "text"))
     return found.select("doc_id", F.explode("items").alias("item_id"))
+
+
+def word_bpe_path() -> str:
+    """Where the public word-level BPE tokenizer lies on the driver."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@register("op10_bpe")
+def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token count and digests of the ids and the decoded text of every document."""
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    found = _bpe.encode_digests(docs, word_bpe_path())
+    return found.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256")
