@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,9 +24,20 @@ BATCH_BYTES = 16 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Bound the Arrow batches of this session; called by every query and stage."""
+    """Bound the session's Arrow batches and ship this package to the workers.
+
+    Called by every query and stage.
+    """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    sc = spark.sparkContext
+    if not any(f.endswith("/emporia.zip") for f in sc.listFiles):
+        package = Path(__file__).resolve().parent.parent
+        archive = Path(tempfile.mkdtemp(prefix="run-", dir=tempfile.gettempdir())) / "emporia.zip"
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        sc.addPyFile(str(archive))
     return spark
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from emporia.llm import bpe as _bpe
 from emporia.llm import decontam as _decontam
+from emporia.llm import pii as _pii
 from emporia.llm import quality as _quality
 from emporia.llm import simhash as _simhash
 from emporia.llm.common import bucket, prepare
@@ -70,3 +71,14 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
     found = _bpe.encode_digests(docs, word_bpe_path())
     return found.select("doc_id", F.col("n_tokens").cast("long").alias("n_tokens"), "ids_sha256", "decoded_sha256")
+
+
+#: Key of the registered query; a real run brings its own secret.
+PII_KEY = b"emporia surrogate key"
+
+
+@register("op3_pii")
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its entities replaced by surrogates, and how many there were."""
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    return _pii.pseudonymise(docs, PII_KEY, count="n_entities")
