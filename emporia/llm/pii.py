@@ -173,12 +173,16 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ssn":
         return permute_text(key, tweak, value)
     gender = kind[-1] if kind[-2:] in ("-f", "-m") else ""
-    names = NAMES[gender, script_of(value)]
+    script = script_of(value)
+    names = NAMES[gender, script]
+    # a Cyrillic family name in -a is the feminine form of the name without it
+    feminine = "а" if kind == "family" and script == "cyrillic" and value.endswith("а") else ""
+    value = value.removesuffix("а") if feminine else value
     at = int.from_bytes(hashlib.shake_256(key + tweak.encode() + value.casefold().encode()).digest(16), "big")
     parts = []
     for _ in range(attempt + 1):
         at, k = divmod(at, len(names))
-        parts.append(names[k])
+        parts.append(names[k] + feminine)
     return "-".join(parts)
 
 
@@ -205,9 +209,9 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
             if kind != "name":
                 yield m.start(kind), m.end(kind), kind, canonical(kind, m[kind])
                 continue
-            gender, first, place = _GENDER[m["title"][:-1]], m["name"].split(" "), m.start("name")
-            for k, word in enumerate(first):
-                given = len(first) == 2 and k == 0
+            gender, parts, place = _GENDER[m["title"][:-1]], m["name"].split(" "), m.start("name")
+            for k, word in enumerate(parts):
+                given = len(parts) == 2 and k == 0
                 yield place, place + len(word), f"given-{gender}" if given else "family", word.casefold()
                 place += len(word) + 1
         at = stop + 1

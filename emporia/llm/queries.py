@@ -82,3 +82,11 @@ def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its entities replaced by surrogates, and how many there were."""
     docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
     return _pii.pseudonymise(docs, PII_KEY, count="n_entities")
+
+
+@register("pipeline")
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline over the documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -208,3 +208,17 @@ def components_of(marked: DataFrame, radius: int = 3) -> DataFrame:
     named = staged(named.join(least, "root").select(F.col("fp").alias("fingerprint"), "root", "component_id"),
                    "components")
     return marked.join(named, "fingerprint")
+
+
+def keep_one(docs: DataFrame, radius: int = 3, words: int = 3, doc_id: str = "doc_id",
+             text: str = "text") -> DataFrame:
+    """``docs`` with one row of each component: the smallest id, of repeated rows any one."""
+    columns = [F.col(f"`{c}`") for c in docs.columns]
+    rows = staged(with_fingerprint(docs.withColumn("__row", F.monotonically_increasing_id()), words, text,
+                                   "__fingerprint"), "marked")
+    found = components_of(rows.select(F.col(doc_id).alias("doc_id"), F.col("__fingerprint").alias("fingerprint"),
+                                      "__row"), radius)
+    # a row without id is last
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")
+    kept = staged(found.groupBy("root").agg(first).select(F.col("first.__row").alias("__row")), "kept")
+    return rows.join(kept, "__row", "left_semi").select(*columns)
