@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from emporia.llm import bpe as _bpe
 from emporia.llm import decontam as _decontam
+from emporia.llm import language as _language
 from emporia.llm import pii as _pii
 from emporia.llm import quality as _quality
 from emporia.llm import simhash as _simhash
@@ -90,3 +91,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+@register("op1_language")
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; rows with crc32(doc_id) mod 4 = 2 are held out."""
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text", "lang")
+    model = _language.fit_language(docs)
+    held_out = F.coalesce(bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out")
+    found = _language.predict_language(docs.drop("lang"), model)
+    return found.select("doc_id", held_out, "lang_pred", "score")
