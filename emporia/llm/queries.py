@@ -17,6 +17,7 @@ from emporia.llm import language as _language
 from emporia.llm import pii as _pii
 from emporia.llm import quality as _quality
 from emporia.llm import simhash as _simhash
+from emporia.llm import toxicity as _toxicity
 from emporia.llm.common import bucket, prepare
 from emporia.sources.tables import read_table
 
@@ -101,3 +102,12 @@ def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out")
     found = _language.predict_language(docs.drop("lang"), model)
     return found.select("doc_id", held_out, "lang_pred", "score")
+
+
+@register("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document; labels with crc32(doc_id) mod 5 = 0 are held out."""
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    model = _toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
+    held_out = F.coalesce(bucket("doc_id", 5) == 0, F.lit(False)).alias("held_out")
+    return _toxicity.score_toxicity(docs, model).select("doc_id", held_out, "severity", "grade", "toxic")
