@@ -22,6 +22,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import struct
 import unicodedata
 
 import pyarrow as pa
@@ -31,7 +32,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, St
 
 from emporia.llm.common import strings, with_columns
 
-CACHE = 400_000
+CACHE = 600_000
 _END = "</w>"
 _NEVER = 1 << 60
 _BLANKS = re.compile(r"[^\S\x1c-\x1f]+")  # Python counts four separators as white space, Unicode doesn't
@@ -82,14 +83,12 @@ class SuffixAutomaton:
                     link[new] = q if size[p] + 1 == size[q] else clone(p, q, c)
                 last = new
             ends[last] = token
-        self.link, self.size = link, size
-        self.token = [ends.get(s, -1) for s in range(len(size))]
-        #: nearest state up the suffix links that is a whole token (0: none)
-        self.up = [0] * len(size)
+        self.link, self.size, self.edges = link, size, edges
+        #: state -> (token, length) of all tokens that end where the state's longest text ends, longest first
+        self.ending: list[tuple] = [()] * len(size)
         for s in sorted(range(1, len(size)), key=size.__getitem__):
-            above = link[s]
-            self.up[s] = above if self.token[above] >= 0 else self.up[above] if above > 0 else 0
-        self.next = {s << 9 | c: t for s, out in enumerate(edges) for c, t in out.items()}
+            own = ((ends[s], size[s]),) if s in ends else ()
+            self.ending[s] = own + self.ending[link[s]]
 
 
 class Encoder:
@@ -170,26 +169,29 @@ class Encoder:
     def encode_word(self, word: bytes) -> list[int]:
         """Ids of one word's bytes."""
         sam = self._automaton
-        step, link, size, token, up = sam.next, sam.link, sam.size, sam.token, sam.up
-        compatible = self.compatible
+        edges, link, size, ending = sam.edges, sam.link, sam.size, sam.ending
+        compatible, known = self.compatible, self._fits.get
         n = len(word)
         last, back = [0] * (n + 1), [0] * (n + 1)
         state = length = 0
-        for i in range(1, n + 1):
-            c = word[i - 1] + (256 if i == n else 0)
-            to = step.get(state << 9 | c)
+        for i, c in enumerate(word, 1):
+            if i == n:
+                c += 256
+            to = edges[state].get(c)
             while to is None and state:
                 state = link[state]
                 length = size[state]
-                to = step.get(state << 9 | c)
+                to = edges[state].get(c)
             state, length = (to, length + 1) if to is not None else (0, 0)
-            v = state if token[state] >= 0 and length == size[state] else up[state]
-            while v:
-                t, j = token[v], i - size[v]
-                if j == 0 or compatible(last[j], t):
-                    last[i], back[i] = t, j
-                    break
-                v = up[v]
+            # a match shorter than the state's longest text ends in the tokens of the states above
+            for t, z in ending[state] if length == size[state] else ending[link[state]]:
+                j = i - z
+                if j:
+                    fits = known(last[j] << 20 | t)
+                    if not (compatible(last[j], t) if fits is None else fits):
+                        continue
+                last[i], back[i] = t, j
+                break
         ids = []
         i = n
         while i > 0:
@@ -207,7 +209,8 @@ class Encoder:
                 continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-            for word in self._words.findall(part.lower()):
+            part = part.lower()
+            for word in (part,) if part.isalpha() else self._words.findall(part):
                 ids += self._known[word]
         return ids
 
@@ -249,7 +252,7 @@ def _chunk_rows(encoder: Encoder) -> _Recent:
     """Chunk -> (ids as little-endian 32-bit numbers, decoded text)."""
     def make(chunk: str) -> tuple[bytes, str]:
         ids = encoder.encode_chunk(chunk)
-        return b"".join([i.to_bytes(4, "little") for i in ids]), encoder.decode(ids)
+        return struct.pack(f"<{len(ids)}I", *ids), encoder.decode(ids)
     return _Recent(make)
 
 

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from emporia.llm import bpe as _bpe
 from emporia.llm import decontam as _decontam
 from emporia.llm import language as _language
+from emporia.llm import licenses as _licenses
 from emporia.llm import pii as _pii
 from emporia.llm import quality as _quality
 from emporia.llm import simhash as _simhash
@@ -111,3 +112,9 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = _toxicity.fit_toxicity(docs, read_table(spark, sf_dir, "labels", "doc_id", "toxic"))
     held_out = F.coalesce(bucket("doc_id", 5) == 0, F.lit(False)).alias("held_out")
     return _toxicity.score_toxicity(docs, model).select("doc_id", held_out, "severity", "grade", "toxic")
+
+
+@register("op4_licenses", _licenses.scan_sql())
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences that each document's lines or paragraphs state, by Dice over word bigrams."""
+    return _licenses.scan_licenses(read_table(spark, sf_dir, "documents", "doc_id", "text"))
