@@ -73,9 +73,17 @@ def segments(text: Column) -> Column:
     return F.concat(F.split(text, "\n"), paragraphs)
 
 
-def words(segment: Column) -> Column:
-    """The normalised words of a segment."""
-    return F.filter(F.split(F.regexp_replace(F.lower(segment), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+def bigrams(segment: Column) -> Column:
+    """The distinct word bigrams of a normalised segment; of one word that word."""
+    words = F.filter(F.split(F.regexp_replace(F.lower(segment), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+
+    def pairs(w: Column) -> Column:
+        n = F.size(w)
+        both = F.zip_with(F.slice(w, 1, n - 1), F.slice(w, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+        return F.when(n > 1, F.array_distinct(both)).otherwise(w)
+
+    # the one-element array binds the words, so that they are computed once however often they are used
+    return F.transform(F.array(words), pairs)[0]
 
 
 def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=None, doc_id: str = "doc_id",
@@ -85,14 +93,11 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=None,
     rows = [(n, name, own) for name, t in templates if (own := template_items(t))
             for n in size_bounds(len(own), threshold)]
     known = docs.sparkSession.createDataFrame(rows, "n int, license string, own array<string>")
-    pairs = F.expr("case when size(words) > 1 then "
-                   "transform(slice(words, 2, size(words) - 1), (w, i) -> concat(words[i], ' ', w)) else words end")
     largest = max((r[0] for r in rows), default=0)
-    lines = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(segments(F.col(text))).alias("segment"))
-             .select("doc_id", words(F.col("segment")).alias("words")))
-    # a repeated bigram counts once, so a segment can be longer than its set, but never shorter
-    sets = (lines.where("size(words) > 0").select("doc_id", F.array_distinct(pairs).alias("grams"))
-            .select("doc_id", "grams", F.size("grams").alias("n")).where(F.col("n") <= largest))
+    # bigrams and their size bound stand within the generator: no filter above it computes them again
+    grams = F.filter(F.transform(segments(F.col(text)), bigrams), lambda g: F.size(g).between(1, largest))
+    sets = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(grams).alias("grams"))
+            .withColumn("n", F.size("grams")))
     shared = F.size(F.array_intersect("grams", "own"))
     found = (sets.join(F.broadcast(known), "n")
              .select("doc_id", "license", (shared * 2.0 / (F.col("n") + F.size("own"))).alias("dice"))
