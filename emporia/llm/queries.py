@@ -17,6 +17,7 @@ from emporia.llm import language as _language
 from emporia.llm import licenses as _licenses
 from emporia.llm import pii as _pii
 from emporia.llm import quality as _quality
+from emporia.llm import shards as _shards
 from emporia.llm import simhash as _simhash
 from emporia.llm import toxicity as _toxicity
 from emporia.llm.common import bucket, prepare
@@ -118,3 +119,15 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences that each document's lines or paragraphs state, by Dice over word bigrams."""
     return _licenses.scan_licenses(read_table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op5_shards")
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training-order shards of all documents; one row for each sequence with its slot and digest."""
+    import public_tokenizers
+
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text")
+    _, found = _shards.materialise(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+                                   end=50256, key=b"emporia training order")
+    return found.select("slot", "shard", "byte_offset", "n_tokens", "sha256",
+                        F.expr("transform(docs, d -> d.doc_id)").alias("doc_ids"))
