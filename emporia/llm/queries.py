@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from emporia.llm import bpe as _bpe
 from emporia.llm import decontam as _decontam
+from emporia.llm import hnsw as _hnsw
 from emporia.llm import language as _language
 from emporia.llm import licenses as _licenses
 from emporia.llm import pii as _pii
@@ -131,3 +132,10 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                                    end=50256, key=b"emporia training order")
     return found.select("slot", "shard", "byte_offset", "n_tokens", "sha256",
                         F.expr("transform(docs, d -> d.doc_id)").alias("doc_ids"))
+
+
+@register("op7_hnsw")
+def op7_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every embedding (cosine 0.95 or more)."""
+    found = _hnsw.link_embeddings(read_table(prepare(spark), sf_dir, "embeddings", "vec_id", "embedding"))
+    return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
