@@ -38,6 +38,26 @@ _NEVER = 1 << 60
 _BLANKS = re.compile(r"[^\S\x1c-\x1f]+")  # Python counts four separators as white space, Unicode doesn't
 _CONTROL = re.compile(r"[\x1c-\x1f]")
 
+# Code points that the regex module counts as letters or numbers and the tokenizers
+# library, whose tables end with Unicode 16, doesn't.
+_LATER = [
+    (0x558, 0x558), (0x58B, 0x58C), (0x88F, 0x88F), (0xC5C, 0xC5C), (0xCDC, 0xCDC), (0x208F, 0x208F), (0x209D, 0x209F),
+    (0xA7CE, 0xA7CF), (0xA7D2, 0xA7D2), (0xA7D4, 0xA7D4), (0xA7DD, 0xA7DD), (0xA7E2, 0xA7E2), (0xA7F1, 0xA7F1),
+    (0xAB6C, 0xAB6D), (0x107BB, 0x107BF), (0x10940, 0x10959), (0x10EC5, 0x10EC7), (0x10ED9, 0x10EEE),
+    (0x11B0A, 0x11B0A), (0x11DB0, 0x11DDB), (0x11DE0, 0x11DE9), (0x11DF1, 0x11DF1), (0x1246F, 0x1246F),
+    (0x12475, 0x1247F), (0x12550, 0x12686), (0x16EA0, 0x16EB8), (0x16EBB, 0x16ED3), (0x16FF2, 0x16FF6),
+    (0x187F8, 0x187FF), (0x18CD6, 0x18CDA), (0x18D09, 0x18D20), (0x18D80, 0x18DF2), (0x18E00, 0x19191),
+    (0x191A0, 0x191D2), (0x1B123, 0x1B128), (0x1B168, 0x1B168), (0x1D6A6, 0x1D6A6), (0x1DF1F, 0x1DF24),
+    (0x1DF2B, 0x1DF81), (0x1DF90, 0x1DF96), (0x1DFCD, 0x1DFFF), (0x1E6C0, 0x1E6DE), (0x1E6E0, 0x1E6E2),
+    (0x1E6E4, 0x1E6E5), (0x1E6E7, 0x1E6ED), (0x1E6F0, 0x1E6F4), (0x1E6FE, 0x1E6FF), (0x2B73A, 0x2B73F),
+    (0x2B81E, 0x2B81E), (0x2CEA2, 0x2CEAD), (0x323B0, 0x33479), (0x3D000, 0x3FC3F)]
+_LATER = re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in _LATER) + "]")
+# Lower case of letters newer than Python's own tables, and of the capital sigma, which
+# the library maps alike at a word's end.
+_LOWER = {0x3A3: 0x3C3, 0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+          0xA7DA: 0xA7DB, 0xA7DC: 0x19B} | {c: c + 0x20 for c in range(0x10D50, 0x10D66)} | {
+              c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
+
 
 def byte_symbols() -> dict[str, int]:
     """The byte-level alphabet: printable bytes stand for themselves, the rest for U+0100 on."""
@@ -200,6 +220,12 @@ class Encoder:
         ids.reverse()
         return ids
 
+    def _split(self, part: str) -> list[str]:
+        if part.isascii() or not _LATER.search(part):
+            return self._words.findall(part)
+        shown = _LATER.sub("\ufffd", part)  # a character that is neither letter nor number, in the same places
+        return [part[m.start():m.end()] for m in self._words.finditer(shown)]
+
     def encode_chunk(self, chunk: str) -> list[int]:
         """Ids of a text without white space."""
         ids: list[int] = []
@@ -208,9 +234,9 @@ class Encoder:
                 ids.append(self.special[part])
                 continue
             if not part.isascii():
-                part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
+                part = unicodedata.normalize("NFC", part).translate(_LOWER)
             part = part.lower()
-            for word in (part,) if part.isalpha() else self._words.findall(part):
+            for word in (part,) if part.isalpha() else self._split(part):
                 ids += self._known[word]
         return ids
 

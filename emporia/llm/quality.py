@@ -96,7 +96,9 @@ def encode_passages(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     x = np.zeros((passages, N_FEATURES), np.float32)
     if len(raw) > 1:
         pair = cls[:-1].astype(np.int64) * 8 + cls[1:]
-        counts = np.bincount(byte_passage[:-1] * N_PAIRS + pair, minlength=passages * N_PAIRS)
+        inside = np.ones(len(raw), bool)
+        inside[at[1:][at[1:] > 0] - 1] = False  # a text's last byte has no next one
+        counts = np.bincount((byte_passage[:-1] * N_PAIRS + pair)[inside[:-1]], minlength=passages * N_PAIRS)
         x[:, :N_PAIRS] = np.sqrt(counts.reshape(passages, N_PAIRS) / np.maximum(1, size)[:, None])
     n = np.bincount(word_passage, minlength=passages).astype(np.float64)
     if len(starts):
