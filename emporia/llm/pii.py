@@ -225,8 +225,10 @@ def _fit(original: str, out: str, kind: str) -> str:
     if kind == "iban":
         chars = iter(out)
         return "".join(" " if c == " " else next(chars) for c in original)
+    if kind == "email":
+        return "".join(n.upper() if o.isupper() else n for o, n in zip(original.ljust(len(out)), out, strict=True))
     letters = [c for c in original if c.isalpha()]
-    if kind in ("email", "family") or kind[:5] == "given" or re.fullmatch(r"[0-9a-fA-F]+", original):
+    if kind == "family" or kind[:5] == "given" or re.fullmatch(r"[0-9a-fA-F]+", original):
         if letters and all(c.isupper() for c in letters):
             return out.upper()
     return out

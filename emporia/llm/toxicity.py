@@ -147,7 +147,8 @@ class SeverityModel:
     def exceed(self, text: str) -> np.ndarray:
         """P(grade > k) for k = 0, 1, 2 of a whole text."""
         cols, values = self.vector(text)
-        return 1 / (1 + np.exp(np.clip(self.thresholds - values @ self.weights[cols], -30, 700)))
+        with np.errstate(over="ignore"):
+            return 1 / (1 + np.exp(self.thresholds - values @ self.weights[cols]))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", graded: bool = False,
