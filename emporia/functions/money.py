@@ -61,15 +61,15 @@ def net_amount(total="total_amount", discount_pct="discount_pct") -> Column:
 
 
 def ratio_half_up(num, den, scale: int, factor: int = 1) -> Column:
-    """``round(factor * num / den, scale)`` for integers num >= 0, den > 0.
+    """``round(factor * num / den, scale)`` for integers, den > 0, halves away from zero.
 
-    Computed as ``(2 * num * factor * 10^scale + den) div (2 * den)`` and then
-    scaled back; null when ``den`` is zero or null.
+    Computed as ``(2 * |num| * factor * 10^scale + den) div (2 * den)`` with the
+    sign of ``num`` and then scaled back; null when ``den`` is zero or null.
     """
     mult = factor * (10 ** scale)
     n = _c(num).cast("bigint")
     d = _c(den).cast("bigint")
-    q = int_div(n * F.lit(2 * mult) + d, d * F.lit(2))
+    q = F.signum(n).cast("bigint") * int_div(F.abs(n) * F.lit(2 * mult) + d, d * F.lit(2))
     return F.when(d > 0, q.cast("double") / F.lit(float(10 ** scale)))
 
 

@@ -5,17 +5,16 @@ interpolation between the order statistics at ``floor`` and ``ceil`` of
 ``p * (n - 1)``), computed by distributed selection:
 
 1. ``n`` = non-null count (one global aggregate with map-side partials).
-2. For each needed rank ``k`` keep a value window ``[lo, hi]`` that holds it,
-   with ``below`` = number of values under ``lo``. A window starts as the
+2. For each needed rank ``k`` keep an open value window ``(lo, hi)`` that holds
+   it, with ``below`` = number of values up to ``lo``. A window starts as the
    whole column.
-3. While a window holds more than ``small`` values, ask
-   ``percentile_approx`` (a bounded-size sketch per task) for the values just
-   under and over the rank inside the window, then count exactly how many
-   values fall under and inside the new bracket. Each round shrinks a window by
-   about ``accuracy / 4``; a window whose bounds are equal is answered at once
-   (a single hot value holding a third of the rows costs nothing extra).
-4. Windows of at most ``small`` values are sorted in one aggregate and the
-   rank is read off.
+3. ``percentile_approx`` (a bounded-size sketch per task) gives two values of
+   the window near the rank; four exact counts (below and up to each of them)
+   say whether one of them *is* the value at the rank, or which side of them it
+   lies on. Either way both leave the window, so every round answers or shrinks
+   it: by about ``accuracy / 4``, or past a value that many rows hold.
+
+The same steps run at every size, and end for every column.
 
 Only scalars reach the driver. Interpolation is done in exact decimal
 arithmetic on the shortest repr of the selected values.
@@ -32,90 +31,60 @@ from pyspark.sql import functions as F
 def _in_window(x: Column, lo, hi) -> Column:
     cond = F.lit(True)
     if lo is not None:
-        cond = cond & (x >= F.lit(lo))
+        cond = cond & (x > F.lit(lo))
     if hi is not None:
-        cond = cond & (x <= F.lit(hi))
+        cond = cond & (x < F.lit(hi))
     return cond
 
 
 def select_ranks(values: DataFrame, counts: dict[str, int], wanted: dict[str, list[int]],
-                 small: int = 100_000, accuracy: int = 10_000,
-                 max_rounds: int = 16) -> dict[tuple[str, int], float]:
+                 accuracy: int = 10_000) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks of the sorted non-null values of each column.
 
-    All columns and ranks share the same jobs: per round one
-    ``percentile_approx`` aggregate and one counting aggregate, and one final
-    sorting aggregate over windows of at most ``small`` values.
+    All columns and ranks share the same jobs: one ``percentile_approx``
+    aggregate and one counting aggregate per round.
     """
-    state = {(c, k): [None, None, 0, counts[c]] for c, ks in wanted.items() for k in set(ks)}
+    # (column, rank) -> lower bound, upper bound, values up to the lower bound, values between
+    state = {(c, k): (None, None, 0, counts[c]) for c, ks in wanted.items() for k in set(ks)}
     answer: dict[tuple[str, int], float] = {}
-
-    def key_name(prefix, c, k):
-        return f"{prefix}_{c}_{k}"
-
-    for _ in range(max_rounds):
-        for key, (lo, hi, _b, _s) in state.items():
-            if key not in answer and lo is not None and lo == hi:
-                answer[key] = lo
-        pending = [key for key in state if key not in answer]
-        if not pending:
-            return answer
-        big = [key for key in pending if state[key][3] > small]
-        if not big:
-            exprs = []
-            for c, k in pending:
-                lo, hi, below, _ = state[(c, k)]
-                x = F.col(c)
-                picked = F.element_at(
-                    F.sort_array(F.collect_list(F.when(_in_window(x, lo, hi), x))),
-                    F.lit(k - below + 1))
-                exprs.append(picked.alias(key_name("r", c, k)))
-            row = values.agg(*exprs).first()
-            for c, k in pending:
-                answer[(c, k)] = row[key_name("r", c, k)]
-            return answer
-        eps = 2.0 / accuracy
-        approx_exprs = []
-        for c, k in big:
+    eps = 2.0 / accuracy
+    while pending := [key for key in state if key not in answer]:
+        sketches = []
+        for i, (c, k) in enumerate(pending):
             lo, hi, below, size = state[(c, k)]
-            x = F.col(c)
             local = (k - below) / max(size - 1, 1)
-            pl, ph = max(0.0, local - eps), min(1.0, local + eps)
-            approx_exprs.append(F.percentile_approx(
-                F.when(_in_window(x, lo, hi), x), [pl, ph], accuracy).alias(key_name("a", c, k)))
-        arow = values.agg(*approx_exprs).first()
-        count_exprs = []
-        bounds = {}
-        for c, k in big:
+            probs = [max(0.0, local - eps), min(1.0, local + eps)]
+            sketches.append(F.percentile_approx(F.when(_in_window(F.col(c), lo, hi), F.col(c)), probs, accuracy)
+                            .alias(f"a{i}"))
+        near = values.agg(*sketches).first()
+        exact = []
+        for i, (c, _) in enumerate(pending):
             x = F.col(c)
-            new_lo, new_hi = arow[key_name("a", c, k)]
-            bounds[(c, k)] = (new_lo, new_hi)
-            count_exprs += [
-                F.count_if(x < F.lit(new_lo)).alias(key_name("ltlo", c, k)),
-                F.count_if(x <= F.lit(new_lo)).alias(key_name("lelo", c, k)),
-                F.count_if(x < F.lit(new_hi)).alias(key_name("lthi", c, k)),
-                F.count_if(x <= F.lit(new_hi)).alias(key_name("lehi", c, k)),
-            ]
-        crow = values.agg(*count_exprs).first()
-        for c, k in big:
+            for j, v in enumerate(near[f"a{i}"]):
+                exact += [F.count_if(x < F.lit(v)).alias(f"lt{j}_{i}"), F.count_if(x <= F.lit(v)).alias(f"le{j}_{i}")]
+        n = values.agg(*exact).first()
+        for i, (c, k) in enumerate(pending):
             lo, hi, below, size = state[(c, k)]
-            new_lo, new_hi = bounds[(c, k)]
-            lt_lo, le_lo = crow[key_name("ltlo", c, k)], crow[key_name("lelo", c, k)]
-            lt_hi, le_hi = crow[key_name("lthi", c, k)], crow[key_name("lehi", c, k)]
-            if lt_lo <= k < le_hi:
-                state[(c, k)] = [new_lo, new_hi, lt_lo, le_hi - lt_lo]
-            elif k < lt_lo:
-                state[(c, k)] = [lo, new_lo, below, le_lo - below]
-            else:
-                state[(c, k)] = [new_hi, hi, lt_hi, below + size - lt_hi]
-    raise RuntimeError("exact quantile selection did not converge")
+            end = below + size
+            for j, v in enumerate(near[f"a{i}"]):
+                lt, le = n[f"lt{j}_{i}"], n[f"le{j}_{i}"]
+                if lt <= k < le:
+                    answer[(c, k)] = v
+                    break
+                if le <= k:
+                    lo, below = v, le
+                else:
+                    hi, end = v, lt
+                    break
+            state[(c, k)] = (lo, hi, below, end - below)
+    return answer
 
 
 def _dec(v) -> Decimal:
     return Decimal(repr(v)) if isinstance(v, float) else Decimal(v)
 
 
-def exact_quantiles_many(df: DataFrame, spec: dict[str, list[float]], small: int = 100_000,
+def exact_quantiles_many(df: DataFrame, spec: dict[str, list[float]],
                          accuracy: int = 10_000) -> dict[str, list[Decimal | None]]:
     """``percentile_cont(p)`` for several columns at once, as exact decimals."""
     cols = list(spec)
@@ -134,7 +103,7 @@ def exact_quantiles_many(df: DataFrame, spec: dict[str, list[float]], small: int
             frac = pos - lo
             plans[c].append((lo, lo + 1 if frac > 0 else lo, frac))
         wanted[c] = sorted({r for lo, hi, _ in plans[c] for r in (lo, hi)})
-    got = select_ranks(values, counts, wanted, small=small, accuracy=accuracy) if wanted else {}
+    got = select_ranks(values, counts, wanted, accuracy=accuracy) if wanted else {}
     out = {}
     for c in cols:
         if counts[c] == 0:
@@ -148,10 +117,10 @@ def exact_quantiles_many(df: DataFrame, spec: dict[str, list[float]], small: int
     return out
 
 
-def exact_quantiles(df: DataFrame, col: str, probs: list[float], small: int = 100_000,
+def exact_quantiles(df: DataFrame, col: str, probs: list[float],
                     accuracy: int = 10_000) -> list[Decimal | None]:
     """``percentile_cont(p)`` of ``df[col]`` for each ``p``, as exact decimals."""
-    return exact_quantiles_many(df, {col: list(probs)}, small=small, accuracy=accuracy)[col]
+    return exact_quantiles_many(df, {col: list(probs)}, accuracy=accuracy)[col]
 
 
 def approx_quantiles_row(df: DataFrame, col: str, probs: list[float], names: list[str],

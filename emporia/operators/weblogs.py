@@ -47,7 +47,8 @@ def session_stats(w: DataFrame) -> DataFrame:
 
 
 def _sessions(w: DataFrame) -> DataFrame:
-    return (w.groupBy("session_id")
+    # events without a session id belong to no session
+    return (w.filter(F.col("session_id").isNotNull()).groupBy("session_id")
             .agg(F.count(F.lit(1)).alias("events"),
                  F.min_by("page", F.struct("timestamp", "event_id")).alias("entry_page")))
 

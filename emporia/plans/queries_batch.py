@@ -60,7 +60,7 @@ _SESSIONS_SQL = """
 sess AS (
   SELECT session_id, count(*) AS events,
          arg_min(page, {'ts': "timestamp", 'id': event_id}) AS entry_page
-  FROM weblogs GROUP BY session_id)"""
+  FROM weblogs WHERE session_id IS NOT NULL GROUP BY session_id)"""
 
 on_source("bounce_rate", "weblogs", wl.bounce_rate, f"""
 , {_SESSIONS_SQL}

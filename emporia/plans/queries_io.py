@@ -44,7 +44,8 @@ def q_scan_csv(spark, sf_dir):
     src = reviews(spark, sf_dir)
     path = scratch_path(spark, "scan_csv")
     files.save_results(src, path, "csv")
-    return files.scan_csv(spark, path, src.schema)
+    good, _bad = files.split_quarantine(files.scan_csv(spark, path, src.schema))
+    return good
 
 
 @register("scan_parquet", _W + "SELECT * FROM weblogs")
@@ -61,7 +62,7 @@ def _sink_roundtrip(spark, df, fmt):
     if fmt == "parquet":
         return files.scan_parquet(spark, path)
     if fmt == "csv":
-        return files.scan_csv(spark, path, df.schema)
+        return files.split_quarantine(files.scan_csv(spark, path, df.schema))[0]
     return files.scan_json(spark, path, df.schema, mode="FAILFAST")
 
 

@@ -223,9 +223,11 @@ def q_stream_customer_360(spark, sf_dir):
     s = load_sources(spark, sf_dir)
     rows = c3.union_rows(s["weblogs"], s["transactions"], s["reviews"], s["social"])
     landing = scratch_path(spark, "landing-360")
-    # any split works here: partials are merged by sums, counts and max
-    rows.repartition(LANDING_FILES).write.parquet(landing)
-    stream = landing_rows(spark, landing, rows.schema, max_files_per_trigger=1)
+    # any split works here: partials are merged by sums, counts and max; the
+    # files are those of the input's own partitions
+    rows.write.parquet(landing)
+    files = len(spark.read.parquet(landing).inputFiles())
+    stream = landing_rows(spark, landing, rows.schema, max_files_per_trigger=-(-files // LANDING_FILES))
     state = scratch_path(spark, "stream-360-state")
     (stream.writeStream.foreachBatch(sc3.partials_sink(state))
            .option("checkpointLocation", scratch_path(spark, "stream-360-ck"))

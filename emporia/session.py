@@ -57,8 +57,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3A,
-    ...), and it is used as is. Only when nothing is set (tests, a laptop) a
-    fresh local folder is created and registered.
+    ...), and it is used as is. Only in local mode, where all tasks share one
+    machine, a missing setting is replaced by a fresh local folder; elsewhere
+    it is an error, since executors would each write to a disk of their own.
     """
     jsc = spark.sparkContext._jsc.sc()
     current = jsc.getCheckpointDir()
@@ -66,6 +67,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current.get()
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     spark.sparkContext.setCheckpointDir(configured)
     return spark.sparkContext._jsc.sc().getCheckpointDir().get()

@@ -17,6 +17,11 @@ TEXT_TIME_OPTIONS = {
 }
 
 
+# Quoted texts may hold line ends, quotes and backslashes.
+CSV_OPTIONS = {"multiLine": "true", "escape": '"', "quote": '"', "lineSep": "\n",
+               "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+
+
 def with_corrupt_column(schema: T.StructType) -> T.StructType:
     if CORRUPT in schema.fieldNames():
         return schema
@@ -41,8 +46,13 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType, mode: str =
 
 
 def scan_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return (spark.read.schema(schema).options(**TEXT_TIME_OPTIONS).option("header", True)
-            .option("mode", "PERMISSIVE").csv(path))
+    """CSV with header and a declared schema; texts may hold line ends within quotes.
+
+    Rows with a malformed field keep their text in ``_corrupt_record`` (see ``split_quarantine``).
+    """
+    return (spark.read.schema(with_corrupt_column(schema)).options(**TEXT_TIME_OPTIONS, **CSV_OPTIONS)
+            .option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
 def scan_parquet(spark: SparkSession, path: str) -> DataFrame:
@@ -95,5 +105,5 @@ def save_results(df: DataFrame, path: str, fmt: str = "parquet",
     if fmt != "parquet":
         w = w.options(**TEXT_TIME_OPTIONS)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(**CSV_OPTIONS).option("header", True)
     getattr(w, fmt)(path)

@@ -5,7 +5,8 @@ FIXTURES.md (Part 2). ``SOURCE_SQL`` holds the same mapping as SQL for the
 DuckDB oracle, so every oracle query starts from the same raw tables.
 
 Join strategy: the fact side (events, lineitem, documents) is joined to
-dimension tables with plain equi-joins and no hints. Spark's size estimate
+dimension tables with plain left equi-joins and no hints: a fact without its
+dimension stays, with nulls. Spark's size estimate
 (``autoBroadcastJoinThreshold``) and AQE's runtime statistics decide whether a
 side is small enough to broadcast; otherwise both sides are shuffled on the
 join key. Small dimension pairs (customer + nation) are joined first so that
@@ -27,10 +28,10 @@ def weblogs(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "value", "props")
     cust = read_table(spark, sf_dir, "customer", "c_custkey", "c_nationkey")
     nat = read_table(spark, sf_dir, "nation", "n_nationkey", "n_name")
-    geo = cust.join(nat, cust.c_nationkey == nat.n_nationkey).select("c_custkey", "n_name")
-    k = F.get_json_object("props", "$.k").cast("bigint") % 3
+    geo = cust.join(nat, cust.c_nationkey == nat.n_nationkey, "left").select("c_custkey", "n_name")
+    k = F.get_json_object("props", "$.k").try_cast("bigint") % 3
     return (
-        ev.join(geo, ev.user_id == geo.c_custkey)
+        ev.join(geo, ev.user_id == geo.c_custkey, "left")
         .select(
             F.col("event_id"),
             F.col("ts").alias("timestamp"),
@@ -57,8 +58,8 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
               .when(F.col("o_orderstatus") == "F", "delivered")
               .when(F.col("o_orderstatus") == "O", "shipped"))
     return (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .join(p, li.l_partkey == p.p_partkey)
+        li.join(o, li.l_orderkey == o.o_orderkey, "left")
+        .join(p, li.l_partkey == p.p_partkey, "left")
         .select(
             F.col("l_orderkey").alias("order_id"),
             F.col("o_orderdate").alias("timestamp"),
@@ -81,10 +82,10 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = read_table(spark, sf_dir, "part", "p_partkey", "p_name")
     rating = (F.when(F.col("toxic") == 1, F.lit(1) + F.col("n_chars") % 2)
               .when(F.col("quality") == 1, F.lit(4) + F.col("n_chars") % 2)
-              .otherwise(F.lit(3))).cast("bigint")
-    joined = (d.join(lb, "doc_id")
+              .when(F.col("quality").isNotNull() | F.col("toxic").isNotNull(), F.lit(3))).cast("bigint")
+    joined = (d.join(lb, "doc_id", "left")
               .withColumn("product_id", F.col("doc_id") % 50)
-              .join(p, F.col("product_id") == p.p_partkey))
+              .join(p, F.col("product_id") == p.p_partkey, "left"))
     return joined.select(
         F.col("doc_id").alias("review_id"),
         int_div(F.col("doc_id"), F.lit(4)).alias("customer_id"),
@@ -99,7 +100,7 @@ def social(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = read_table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text")
     n = F.length("text").cast("bigint")
     s = n % 3
-    words = F.slice(F.split(F.col("text"), " "), 1, (F.col("turn") % 5).cast("int"))
+    words = F.split(F.col("text"), " ")
     return c.select(
         (F.col("conv_id") * 100 + F.col("turn")).alias("post_id"),
         F.when(F.col("conv_id") % 10 < 3, F.lit(None).cast("bigint"))
@@ -133,13 +134,13 @@ SOURCE_SQL = {
          CAST(e.user_id AS VARCHAR) || '-' || strftime(e.ts, '%Y-%m-%d') AS session_id,
          e.user_id AS customer_id,
          '/' || e.event_type AS page,
-         CASE CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 3
+         CASE TRY_CAST(json_extract_string(e.props, '$.k') AS BIGINT) % 3
               WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' WHEN 2 THEN 'tablet' END AS device,
          n.n_name AS country,
          CAST(floor(e.value) AS BIGINT) AS duration_sec
   FROM events e
-  JOIN customer c ON e.user_id = c.c_custkey
-  JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+  LEFT JOIN customer c ON e.user_id = c.c_custkey
+  LEFT JOIN nation n ON c.c_nationkey = n.n_nationkey""",
     "transactions": """
   SELECT l.l_orderkey AS order_id, o.o_orderdate AS "timestamp", o.o_custkey AS customer_id,
          l.l_partkey AS product_id, p.p_name AS product_name, p.p_type AS category,
@@ -152,8 +153,8 @@ SOURCE_SQL = {
               WHEN o.o_orderstatus = 'F' THEN 'delivered'
               WHEN o.o_orderstatus = 'O' THEN 'shipped' END AS status
   FROM lineitem l
-  JOIN orders o ON l.l_orderkey = o.o_orderkey
-  JOIN part p ON l.l_partkey = p.p_partkey""",
+  LEFT JOIN orders o ON l.l_orderkey = o.o_orderkey
+  LEFT JOIN part p ON l.l_partkey = p.p_partkey""",
     "reviews": """
   SELECT review_id, customer_id, product_id, product_name, rating,
          CASE WHEN rating >= 4 THEN 'positive' WHEN rating <= 2 THEN 'negative'
@@ -163,16 +164,16 @@ SOURCE_SQL = {
            p.p_name AS product_name,
            CAST(CASE WHEN lb.toxic = 1 THEN 1 + d.n_chars % 2
                      WHEN lb.quality = 1 THEN 4 + d.n_chars % 2
-                     ELSE 3 END AS BIGINT) AS rating
+                     WHEN lb.quality IS NOT NULL OR lb.toxic IS NOT NULL THEN 3 END AS BIGINT) AS rating
     FROM documents d
-    JOIN labels lb ON d.doc_id = lb.doc_id
-    JOIN part p ON p.p_partkey = d.doc_id % 50
+    LEFT JOIN labels lb ON d.doc_id = lb.doc_id
+    LEFT JOIN part p ON p.p_partkey = d.doc_id % 50
   ) r""",
     "social": """
   SELECT conv_id * 100 + turn AS post_id,
          CASE WHEN conv_id % 10 < 3 THEN NULL ELSE conv_id END AS customer_id,
          role AS platform,
-         list_transform(string_split(text, ' ')[1:(turn % 5)], lambda w: '#' || w) AS hashtags,
+         list_transform(string_split(text, ' '), lambda w: '#' || w) AS hashtags,
          CASE length(text) % 3 WHEN 0 THEN 'positive' WHEN 1 THEN 'neutral'
               WHEN 2 THEN 'negative' END AS sentiment,
          CAST((length(text) * 37) % 10001 AS BIGINT) AS likes,

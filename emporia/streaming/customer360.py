@@ -4,8 +4,11 @@
 sums, max) and the distinct (customer, session) pairs, written into
 ``batch_id=N`` partitions with dynamic overwrite: a batch replayed after a
 failure replaces its own output, so the state is exactly-once. The read side
-merges partials with one aggregation; ``compact`` folds many batches into one
-to bound the number of files. Averages are kept as sum + count until the end.
+merges partials with one aggregation. ``compact`` folds the batches up to a
+switch-over number into a base folder ``base/upto=N`` of its own, written whole
+under that name; reads take the latest finished base and the batches after it,
+so later batches of the stream, whatever their number, never meet the base.
+Averages are kept as sum + count until the end.
 """
 
 from __future__ import annotations
@@ -42,10 +45,44 @@ def partials_sink(state_path: str):
     return sink
 
 
+def _folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder that hold a finished write or partitions."""
+    jvm = spark.sparkContext._jvm
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [s.getPath().getName() for s in fs.listStatus(root) if s.isDirectory()] if fs.exists(root) else []
+
+
+def _bases(spark: SparkSession, state_path: str) -> list[int]:
+    """Switch-over numbers of the finished bases: the last table of a base is its sessions."""
+    return sorted(int(n.partition("=")[2]) for n in _folders(spark, f"{state_path}/base")
+                  if n.startswith("upto=") and "sessions" in _folders(spark, f"{state_path}/base/{n}")
+                  and _finished(spark, f"{state_path}/base/{n}/sessions"))
+
+
+def _finished(spark: SparkSession, path: str) -> bool:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path, "_SUCCESS")
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def _state(spark: SparkSession, state_path: str, name: str, base: int | None) -> DataFrame:
+    """The base's table of this name and the tail of batches after it."""
+    parts = []
+    if base is not None:
+        parts.append(spark.read.parquet(f"{state_path}/base/upto={base}/{name}"))
+    if _folders(spark, f"{state_path}/{name}"):
+        tail = spark.read.parquet(f"{state_path}/{name}")
+        parts.append((tail if base is None else tail.filter(F.col("batch_id") > base)).drop("batch_id"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def merged_core(spark: SparkSession, state_path: str) -> DataFrame:
-    """Merge all partials (and session pairs) into the 360 core, in one aggregate."""
-    p = spark.read.parquet(f"{state_path}/partials").drop("batch_id")
-    s = spark.read.parquet(f"{state_path}/sessions").drop("batch_id")
+    """Merge base and tail (partials and session pairs) into the 360 core, in one aggregate."""
+    bases = _bases(spark, state_path)
+    base = bases[-1] if bases else None
+    p = _state(spark, state_path, "partials", base)
+    s = _state(spark, state_path, "sessions", base)
     rows = p.unionByName(s, allowMissingColumns=True)
     sums = ["web_rows", "web_clicks", "duration_sum", "duration_n", "order_rows", "total_orders",
             "spend", "spend_n", "review_rows", "reviews_written", "rating_sum", "rating_n",
@@ -63,12 +100,23 @@ def merged_360(spark: SparkSession, state_path: str) -> DataFrame:
     return finish_360(merged_core(spark, state_path), notebook=False)
 
 
-def compact(spark: SparkSession, state_path: str, out_path: str) -> None:
-    """Fold all batches into a single batch under ``out_path`` (a new folder)."""
+def compact(spark: SparkSession, state_path: str, out_path: str | None = None) -> None:
+    """Fold all batches so far into a base.
+
+    In place the base is recorded as holding every batch up to the latest one.
+    In a new folder ``out_path``, where a stream with a fresh checkpoint numbers
+    its batches from 0, it is recorded as coming before all of them.
+    """
     core = merged_core(spark, state_path)
-    partial_cols = [c for c in core.columns if c != "sessions"]
-    core.select(*partial_cols).withColumn("batch_id", F.lit(0)) \
-        .write.mode("overwrite").partitionBy("batch_id").parquet(f"{out_path}/partials")
-    (spark.read.parquet(f"{state_path}/sessions").select("customer_id", "session_id").distinct()
-          .withColumn("batch_id", F.lit(0))
-          .write.mode("overwrite").partitionBy("batch_id").parquet(f"{out_path}/sessions"))
+    bases = _bases(spark, state_path)
+    base = bases[-1] if bases else None
+    upto = -1
+    if out_path is None:
+        batches = [int(n.partition("=")[2]) for n in _folders(spark, f"{state_path}/partials") if "=" in n]
+        upto = max(batches, default=-1)
+        if upto == base:
+            return
+    target = f"{out_path or state_path}/base/upto={upto}"
+    core.select(*[c for c in core.columns if c != "sessions"]).write.mode("overwrite").parquet(f"{target}/partials")
+    (_state(spark, state_path, "sessions", base).select("customer_id", "session_id").distinct()
+     .write.mode("overwrite").parquet(f"{target}/sessions"))

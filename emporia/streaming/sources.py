@@ -95,7 +95,8 @@ def event_time(col: str | Column, spark: SparkSession) -> Column:
     whatever the session time zone; ``timestamp`` columns pass through."""
     c = F.col(col) if isinstance(col, str) else col
     tz = spark.conf.get("spark.sql.session.timeZone")
-    return F.to_utc_timestamp(c.cast("timestamp"), tz)
+    shifted = F.to_utc_timestamp(c.cast("timestamp"), tz)
+    return F.when(F.typeof(c) == "timestamp", c.cast("timestamp")).otherwise(shifted)
 
 
 def wall_time(col: str | Column, spark: SparkSession) -> Column:
@@ -114,7 +115,11 @@ def land_in_time_order(df: DataFrame, path: str, time_col: str, slices: int = 4,
     own append job, written as ``m`` parallel files, so file modification
     times follow event time. Returns ``m``: a stream reading the folder with
     ``maxFilesPerTrigger = m`` takes one slice per micro-batch, in time order.
+    Rows without a time go with the first slice. ``df`` is evaluated once, into
+    a work table that the cuts and the slices read.
     """
+    df.write.parquet(f"{path}.rows")
+    df = df.sparkSession.read.schema(df.schema).parquet(f"{path}.rows")
     t = F.col(time_col)
     probs = [i / slices for i in range(1, slices)]
     stats = df.agg(F.count(F.lit(1)).alias("n"),
@@ -132,6 +137,7 @@ def land_in_time_order(df: DataFrame, path: str, time_col: str, slices: int = 4,
             cond = cond & (t >= F.lit(lo))
         if hi is not None:
             cond = cond & (t < F.lit(hi))
+            cond = (cond | t.isNull()) if lo is None else cond
         # ``repartition`` (not ``coalesce``) keeps the scan and filter parallel;
         # only the slice's rows move to its ``files`` writers
         df.filter(cond).repartition(files).write.mode("append").parquet(path)
