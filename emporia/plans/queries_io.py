@@ -140,8 +140,7 @@ def q_lake_ingest_raw(spark, sf_dir):
 WHERE CAST("timestamp" AS DATE) = (SELECT max(CAST("timestamp" AS DATE)) FROM weblogs)""")
 def q_lake_read_day(spark, sf_dir):
     lake, schema = _lake_with_weblogs(spark, sf_dir)
-    last = lake.partitions("raw", "weblogs", schema).agg(F.max("ingest_date")).first()[0]
-    return lake.read("raw", "weblogs", schema, date=last)
+    return lake.read("raw", "weblogs", schema, date=lake.dates("raw", "weblogs")[-1])
 
 
 @register("lake_partitions", _W + """
@@ -174,6 +173,40 @@ def q_lake_promote_transactions(spark, sf_dir):
     return lake.read("processed", "transactions")
 
 
+@register("lake_promote_replaced", _W + """
+SELECT event_id, "timestamp", session_id, customer_id, page, device, country, duration_sec,
+       CASE WHEN event_id % 3 = 0 THEN DATE '2031-01-02' ELSE DATE '2031-01-01' END AS ingest_date
+FROM weblogs WHERE event_id % 5 <> 0""")
+def q_lake_promote_replaced(spark, sf_dir):
+    """Day 1 lands all events (each twice), is promoted, lands again without every fifth and is promoted
+    again; day 2 replays every third, of which the fifths are broken, and day 1 gives those up."""
+    src = weblogs(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    kept = src.where("event_id % 5 <> 0")
+    lake.ingest_raw("weblogs", src.unionByName(src), date="2031-01-01")
+    lake.promote("weblogs", src.schema, date="2031-01-01")
+    lake.ingest_raw("weblogs", kept.unionByName(kept), date="2031-01-01")
+    lake.promote("weblogs", src.schema, date="2031-01-01")
+    broken = src.withColumn("duration_sec", F.when(F.col("event_id") % 5 == 0, F.lit(-1).cast("bigint"))
+                            .otherwise(F.col("duration_sec")))
+    lake.ingest_raw("weblogs", broken.where("event_id % 3 = 0"), date="2031-01-02")
+    lake.promote("weblogs", src.schema, date="2031-01-02")
+    return lake.read("processed", "weblogs").select(*src.columns, "ingest_date")
+
+
+@register("lake_promote_replays", _T + """
+SELECT *, DATE '2031-01-02' AS ingest_date FROM transactions
+WHERE order_id IS NOT NULL AND total_amount >= 0 AND quantity > 0 AND discount_pct BETWEEN 0 AND 100""")
+def q_lake_promote_replays(spark, sf_dir):
+    """All order lines land on two days; the whole zone is promoted and holds each line once."""
+    src = transactions(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.ingest_raw("transactions", src, date="2031-01-01")
+    lake.ingest_raw("transactions", src, date="2031-01-02")
+    lake.promote("transactions", src.schema)
+    return lake.read("processed", "transactions").select(*src.columns, "ingest_date")
+
+
 @register("publish_views", _REV_BY_CAT)
 def q_publish_views(spark, sf_dir):
     from emporia.plans.publish import publish_table

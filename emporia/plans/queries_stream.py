@@ -22,7 +22,7 @@ from emporia.plans.queries_c360 import C360_SQL
 from emporia.plans.registry import register
 from emporia.session import scratch_path
 from emporia.sources.fixtures import load_sources, weblogs, with_sources
-from emporia.sources.lake import PART, Lake
+from emporia.sources.lake import Lake
 from emporia.sources.tables import read_table
 from emporia.streaming import customer360 as sc3
 from emporia.streaming import operators as so
@@ -87,8 +87,8 @@ class session_conf:
         return False
 
 
-def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = read_table(spark, sf_dir, "events")
+def _events_stream(spark: SparkSession, sf_dir: str, events: DataFrame | None = None) -> DataFrame:
+    events = read_table(spark, sf_dir, "events") if events is None else events
     landing = scratch_path(spark, "landing-events")
     per_slice = land_in_time_order(events, landing, "ts", LANDING_FILES)
     stream = landing_rows(spark, landing, events.schema, max_files_per_trigger=per_slice)
@@ -159,7 +159,39 @@ SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS "key", text AS raw_value
 FROM conversations WHERE NOT json_valid(text)""")
 def q_stream_quarantine(spark, sf_dir):
     lake, _ = _landed_weblogs(spark, sf_dir)
-    return lake.read("quarantine", "weblogs").drop(PART)
+    return lake.read("quarantine", "weblogs").select("key", "raw_value")
+
+
+_DAY = "(SELECT max(CAST(\"timestamp\" AS DATE)) + 1 FROM weblogs)"
+
+
+@register("lake_stream_and_batch", with_sources("weblogs") + f"""
+SELECT *, CAST("timestamp" AS DATE) AS ingest_date FROM weblogs
+UNION ALL SELECT *, {_DAY} AS ingest_date FROM weblogs""")
+def q_lake_stream_and_batch(spark, sf_dir):
+    """A stream lands all weblogs by day, then a batch lands them again on the day after the last one."""
+    lake, src = _landed_weblogs(spark, sf_dir)
+    day = src.agg(F.date_add(F.max(F.to_date("timestamp")), 1)).first()[0]
+    lake.ingest_raw("weblogs", src, date=day)
+    return lake.read("raw", "weblogs", src.schema)
+
+
+@register("lake_quarantine_both", with_sources("weblogs") + """
+SELECT CAST(conv_id * 100 + turn AS VARCHAR) AS "key", text AS raw_value, 'unreadable record' AS reject_reason
+FROM conversations WHERE NOT json_valid(text)
+UNION ALL
+SELECT CAST(event_id AS VARCHAR), NULL, 'negative duration' FROM weblogs WHERE duration_sec % 7 = 1""")
+def q_lake_quarantine_both(spark, sf_dir):
+    """Undecodable records of a stream and rule breakers of a batch day, in one quarantine zone."""
+    lake, src = _landed_weblogs(spark, sf_dir)
+    day = src.agg(F.date_add(F.max(F.to_date("timestamp")), 1)).first()[0]
+    broken = src.withColumn("duration_sec", F.when(F.col("duration_sec") % 7 == 1, -F.col("duration_sec"))
+                            .otherwise(F.col("duration_sec")))
+    lake.ingest_raw("weblogs", broken, date=day)
+    lake.promote("weblogs", src.schema, date=day)
+    out = lake.read("quarantine", "weblogs")
+    text = F.when(F.col("reject_reason") == "unreadable record", F.col("raw_value"))
+    return out.select("key", text.alias("raw_value"), "reject_reason")
 
 
 @register("stream_tumbling_traffic", f"""
@@ -214,7 +246,10 @@ def q_stream_session_stats(spark, sf_dir):
 
 @register("stream_dedup", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def q_stream_dedup(spark, sf_dir):
-    out = so.dedup_by_id(_events_stream(spark, sf_dir), "t", "event_id", DELAY)
+    """Every event of a third of the users arrives twice; each event comes out once."""
+    events = read_table(spark, sf_dir, "events")
+    replayed = events.unionByName(events.where("user_id % 3 = 0"))
+    out = so.dedup_by_id(_events_stream(spark, sf_dir, replayed), "t", "event_id", DELAY)
     return _sink_back(spark, out.drop("t"), "stream-dedup")
 
 

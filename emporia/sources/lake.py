@@ -1,14 +1,18 @@
-"""Two-zone, date-partitioned data lake.
+"""Date-partitioned data lake.
 
 Layout: ``<root>/<zone>/<source>/ingest_date=YYYY-MM-DD/part-*``. Hive-style
 folders let Spark discover the ``ingest_date`` column and prune partitions
-when a day is read. Writes use dynamic partition overwrite, so re-ingesting a
-day replaces that day only and is idempotent.
+when a day is read. Re-ingesting a day replaces that day and nothing else.
 
 * raw zone: records as landed, JSON lines (the wire format);
-* processed zone: cleaned records (trimmed, validated, de-duplicated by record
-  id keeping the latest version), Parquet;
-* quarantine zone: rejected records with the reason, Parquet.
+* processed zone: cleaned records (trimmed, validated, one version per record
+  id: the one that landed last), Parquet;
+* quarantine zone: rejected records, Parquet, with one schema for batch and
+  stream: ``key``, ``raw_value`` (the text as landed), ``reject_reason``.
+
+Streams land in ``<root>/stream/<zone>/<source>``: the streaming file sink keeps
+a log of its own there, which batch writers must not touch and readers of a
+shared folder would take for the whole truth. ``read`` unites both folders.
 
 ``root`` is any Hadoop-compatible URI (``hdfs://``, ``s3a://``, ``file:``).
 """
@@ -23,7 +27,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.schemas import RECORD_KEY, check_source
-from emporia.sources.files import TEXT_TIME_OPTIONS
+from emporia.session import scratch_path
+from emporia.sources.files import CORRUPT, TEXT_TIME_OPTIONS, encode_json_column, with_corrupt_column
 
 ZONES = ("raw", "processed", "quarantine")
 PART = "ingest_date"
@@ -48,8 +53,8 @@ def _validity(source: str, cols: list[str]) -> list[tuple[str, Column]]:
         "transactions": [("missing order_id", c("order_id").isNull()),
                          ("missing amount", c("total_amount").isNull()),
                          ("negative amount", c("total_amount") < 0),
-                         ("bad quantity", c("quantity") <= 0),
-                         ("bad discount", ~c("discount_pct").between(0, 100))],
+                         ("bad quantity", c("quantity").isNull() | (c("quantity") <= 0)),
+                         ("bad discount", c("discount_pct").isNull() | ~c("discount_pct").between(0, 100))],
         "reviews": [("missing review_id", c("review_id").isNull()),
                     ("bad rating", ~c("rating").between(1, 5))],
         "social": [("missing post_id", c("post_id").isNull()),
@@ -67,11 +72,11 @@ def _validity(source: str, cols: list[str]) -> list[tuple[str, Column]]:
     return [(r, cond) for r, cond in rules if needed[r] in cols]
 
 
-def clean(df: DataFrame) -> DataFrame:
-    """Trim every string column; empty strings become null."""
+def clean(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Trim every string column but those in ``keep``; empty strings become null."""
     out = []
     for f in df.schema.fields:
-        if isinstance(f.dataType, T.StringType):
+        if f.name not in keep and isinstance(f.dataType, T.StringType):
             t = F.trim(F.col(f.name))
             out.append(F.when(t != "", t).alias(f.name))
         else:
@@ -117,80 +122,155 @@ class Lake:
     def path(self, zone: str, source: str) -> str:
         if zone not in ZONES:
             raise ValueError(f"unknown zone {zone!r}")
-        check_source(source)
-        return f"{self.root}/{zone}/{source}"
+        return f"{self.root}/{zone}/{check_source(source)}"
+
+    def stream_path(self, zone: str, source: str) -> str:
+        """Where the landing streams of a source write."""
+        return f"{self.root}/stream/{self.path(zone, source)[len(self.root) + 1:]}"
 
     def _fmt(self, zone: str) -> str:
         return self.raw_format if zone == "raw" else "parquet"
 
-    def _write(self, df: DataFrame, zone: str, source: str) -> None:
+    def _write(self, df: DataFrame, zone: str, source: str, whole: bool = False) -> None:
+        """Replace the days of ``df``, or with ``whole`` the zone."""
         # ``rebalance`` on the day: small days get one file, a hot day is split
         # across tasks by AQE (no single task writes a 2 TB day).
         w = (df.hint("rebalance", PART).write.mode("overwrite")
-               .option("partitionOverwriteMode", "dynamic")
+               .option("partitionOverwriteMode", "static" if whole else "dynamic")
                .partitionBy(PART)
                .format(self._fmt(zone)))
         if self._fmt(zone) != "parquet":
             w = w.options(**TEXT_TIME_OPTIONS)
         w.save(self.path(zone, source))
 
+    def _write_day(self, df: DataFrame, zone: str, source: str, day: str) -> None:
+        """Replace one day, also by nothing."""
+        w = df.drop(PART).hint("rebalance").write.mode("overwrite").format(self._fmt(zone))
+        if self._fmt(zone) != "parquet":
+            w = w.options(**TEXT_TIME_OPTIONS)
+        w.save(f"{self.path(zone, source)}/{PART}={day}")
+
     def ingest_raw(self, source: str, df: DataFrame, date=None) -> None:
         """Land records of one source. ``date``: a day (str/date), a column
         giving each record's day (e.g. ``F.col("timestamp")``), or None for today."""
         check_source(source)
         self._write(df.withColumn(PART, _as_date_col(date)), "raw", source)
 
-    def exists(self, zone: str, source: str) -> bool:
+    def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path(zone, source))
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), p
+
+    def _present(self, path: str) -> bool:
+        fs, p = self._fs(path)
         return fs.exists(p)
 
+    def exists(self, zone: str, source: str) -> bool:
+        return self._present(self.path(zone, source)) or self._present(self.stream_path(zone, source))
+
+    def dates(self, zone: str, source: str) -> list[str]:
+        """Days present, from the folders' names (no row is read)."""
+        found = set()
+        for path in (self.path(zone, source), self.stream_path(zone, source)):
+            fs, p = self._fs(path)
+            if fs.exists(p):
+                found |= {s.getPath().getName().partition("=")[2] for s in fs.listStatus(p)
+                          if s.isDirectory() and s.getPath().getName().startswith(f"{PART}=")}
+        return sorted(found)
+
     def read(self, zone: str, source: str, schema: T.StructType | None = None,
              date=None) -> DataFrame:
-        """A zone of one source, optionally one day (a partition filter that
-        prunes folders). A missing zone gives an empty DataFrame with the schema."""
+        """A zone of one source, batch and stream landings together, optionally
+        one day (a partition filter that prunes folders). A missing zone gives
+        an empty DataFrame with the schema."""
         fmt = self._fmt(zone)
         full = None
         if schema is not None:
             full = T.StructType([f for f in schema.fields if f.name != PART]
                                 + [T.StructField(PART, T.DateType())])
-        if not self.exists(zone, source):
+        paths = [p for p in (self.path(zone, source), self.stream_path(zone, source)) if self._present(p)]
+        if not paths:
             if full is None:
                 raise FileNotFoundError(self.path(zone, source))
             return self.spark.createDataFrame([], full)
-        reader = self.spark.read.format(fmt)
-        if fmt != "parquet":
-            reader = reader.options(**TEXT_TIME_OPTIONS)
-        if full is not None and fmt != "parquet":
-            reader = reader.schema(full)
-        df = reader.load(self.path(zone, source))
+        parts = []
+        for path in paths:
+            reader = self.spark.read.format(fmt)
+            if fmt != "parquet":
+                reader = reader.options(**TEXT_TIME_OPTIONS)
+                if full is not None:
+                    reader = reader.schema(full).option("columnNameOfCorruptRecord", CORRUPT)
+            parts.append(reader.load(path))
+        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
         if date is not None:
             df = df.filter(F.col(PART) == _as_date_col(date))
         return df
 
     def partitions(self, zone: str, source: str, schema: T.StructType | None = None) -> DataFrame:
-        """Days present with their row counts."""
+        """Days present with their row counts (reads the rows; ``dates`` doesn't)."""
         return (self.read(zone, source, schema).groupBy(PART)
                 .agg(F.count(F.lit(1)).alias("rows")).orderBy(PART))
 
     def promote(self, source: str, schema: T.StructType | None = None, date=None,
                 order: list[str] | None = None) -> None:
-        """Raw -> processed: trim, validate (rejects to quarantine) and keep the
-        latest version of each record id. ``date`` limits the run to one day.
+        """Raw -> processed: trim, validate and keep one version of each record.
+
+        Rejects go to quarantine with the text as landed: lines that don't
+        parse, lines with a field that doesn't fit the schema, and rows that
+        break a rule. Of several versions of a record the one that landed on the
+        last day stays, of one day's the last by ``order`` and then by all
+        columns. Transactions have no line id: a row that landed on several
+        days is a replay and counts for the last of them, equal rows of one day
+        are separate lines.
 
-        The cleaned rows feed both writes, so they are persisted (memory and
-        disk) while those run: the raw text is parsed once, and lost blocks are
-        recomputed from the raw files.
+        Without ``date`` the whole zone is replaced; with it that day, and the
+        earlier days' records that it supersedes are taken out. Either way a day
+        that has become empty is emptied. The raw text is parsed once, into a
+        work table in the shared scratch folder.
         """
-        raw = clean(self.read("raw", source, schema, date)).persist()
-        try:
-            good, bad = validate(source, raw)
-            key = RECORD_KEY[source]
-            if key is not None and key in good.columns:
-                order = order or [c for c in ("timestamp",) if c in good.columns]
-                good = dedup_latest(good, key, [PART] + order)
-            self._write(good, "processed", source)
-            self._write(bad, "quarantine", source)
-        finally:
-            raw.unpersist()
+        raw = self.read("raw", source, None if schema is None else with_corrupt_column(schema), date)
+        bad_line = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
+        cols = [c for c in raw.columns if c != CORRUPT]
+        text = F.coalesce(bad_line, encode_json_column(raw, [c for c in cols if c != PART]))
+        tagged = raw.withColumn("__raw", text).withColumn("__bad", bad_line.isNotNull())
+        path = scratch_path(self.spark, f"promote-{source}")
+        clean(tagged, keep=("__raw",)).select(*cols, "__raw", "__bad").write.parquet(path)
+        rows = self.spark.read.parquet(path)
+        good, broken = validate(source, rows.filter(~F.col("__bad")))
+        key = RECORD_KEY[source] if RECORD_KEY[source] in rows.columns else None
+        key_text = F.col(key).cast("string") if key else F.lit(None).cast("string")
+        rejected = broken.select(key_text.alias("key"), F.col("__raw").alias("raw_value"), "reject_reason", PART)
+        unread = rows.filter("__bad").select(F.lit(None).cast("string").alias("key"),
+                                             F.col("__raw").alias("raw_value"),
+                                             F.lit("unreadable record").alias("reject_reason"), PART)
+        bad = rejected.unionByName(unread)
+        good = good.drop("__raw", "__bad")
+        ident = F.col(key) if key else F.sha2(encode_json_column(good, [c for c in good.columns if c != PART]), 256)
+        good = good.withColumn("__id", ident)
+        if date is None:
+            last = good.groupBy("__id").agg(F.max(PART).alias(PART))
+            good = good.join(last, ["__id", PART], "left_semi")
+        if key:
+            by = order or [c for c in ("timestamp",) if c in good.columns]
+            good = dedup_latest(good.drop("__id"), key, [PART] + by).withColumn("__id", F.col(key))
+        if date is None:
+            self._write(good.drop("__id").select(*cols), "processed", source, whole=True)
+            self._write(bad, "quarantine", source, whole=True)
+            return
+        day = self.spark.range(1).select(_as_date_col(date).alias("d")).first().d.isoformat()
+        if self._present(self.path("processed", source)) and any(
+                d != day for d in self.dates("processed", source)):
+            done = self.spark.read.parquet(self.path("processed", source)).select(*cols)
+            done = done.withColumn("__id", F.col(key) if key else F.sha2(
+                encode_json_column(done, [c for c in cols if c != PART]), 256))
+            later = done.filter(F.col(PART) > F.lit(day).cast("date")).select("__id")
+            good = good.join(later, "__id", "left_anti")
+            ids = good.select("__id").distinct()
+            hit = done.filter(F.col(PART) < F.lit(day).cast("date")).join(ids, "__id", "left_semi")
+            for r in hit.select(PART).distinct().collect():  # days that hold a superseded record
+                kept = scratch_path(self.spark, f"kept-{source}")
+                (done.filter(F.col(PART) == F.lit(r[0])).join(ids, "__id", "left_anti").drop("__id")
+                 .write.parquet(kept))
+                self._write_day(self.spark.read.parquet(kept), "processed", source, r[0].isoformat())
+        self._write_day(good.drop("__id").select(*cols), "processed", source, day)
+        self._write_day(bad, "quarantine", source, day)

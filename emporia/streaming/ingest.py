@@ -2,9 +2,8 @@
 
 Both outputs use Spark's file sink in append mode: it commits each micro-batch
 in its ``_spark_metadata`` log, so a batch replayed after a failure is written
-once (readers of the zone folder only see committed files). Dynamic partition
-overwrite is not used here: a micro-batch would replace the earlier batches of
-the same day.
+once (readers of the folder only see committed files). They write to the lake's
+stream folders, beside the batch folders; ``Lake.read`` unites them.
 """
 
 from __future__ import annotations
@@ -30,7 +29,8 @@ def split_records(records: DataFrame, schema: T.StructType,
     good = decoded.filter(F.col(CORRUPT).isNull()).select(*schema.fieldNames())
     good = good.withColumn(PART, F.to_date(date_col) if date_col else F.current_date())
     bad = (decoded.filter(F.col(CORRUPT).isNotNull())
-                  .select("key", F.col(CORRUPT).alias("raw_value"))
+                  .select("key", F.col(CORRUPT).alias("raw_value"),
+                          F.lit("unreadable record").alias("reject_reason"))
                   .withColumn(PART, F.current_date()))
     return good, bad
 
@@ -46,7 +46,7 @@ def start_landing(records: DataFrame, schema: T.StructType, lake: Lake, source:
                                 (bad, "quarantine", "parquet", {})):
         w = (df.writeStream.format(fmt).outputMode("append").options(**opts)
                .partitionBy(PART)
-               .option("path", lake.path(zone, source))
+               .option("path", lake.stream_path(zone, source))
                .option("checkpointLocation", f"{root}/{zone}-{source}"))
         if available_now:
             w = w.trigger(availableNow=True)
