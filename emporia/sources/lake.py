@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from emporia.schemas import RECORD_KEY, check_source
+from emporia.schemas import RECORD_KEY, SOURCES, check_source
 from emporia.session import scratch_path
 from emporia.sources.files import CORRUPT, TEXT_TIME_OPTIONS, encode_json_column, with_corrupt_column
 
@@ -193,9 +193,15 @@ class Lake:
             if full is None:
                 raise FileNotFoundError(self.path(zone, source))
             return self.spark.createDataFrame([], full)
+        if full is None and zone == "quarantine":
+            full = T.StructType.fromDDL(f"key string, raw_value string, reject_reason string, {PART} date")
+        elif full is None and not self.dates(zone, source):
+            full = T.StructType(SOURCES[check_source(source)].fields + [T.StructField(PART, T.DateType())])
         parts = []
         for path in paths:
             reader = self.spark.read.format(fmt)
+            if fmt == "parquet" and full is not None:
+                reader = reader.schema(full)
             if fmt != "parquet":
                 reader = reader.options(**TEXT_TIME_OPTIONS)
                 if full is not None:

@@ -94,16 +94,18 @@ def event_time(col: str | Column, spark: SparkSession) -> Column:
     """A ``timestamp_ntz`` wall-clock column as a UTC instant (``timestamp``),
     whatever the session time zone; ``timestamp`` columns pass through."""
     c = F.col(col) if isinstance(col, str) else col
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    shifted = F.to_utc_timestamp(c.cast("timestamp"), tz)
-    return F.when(F.typeof(c) == "timestamp", c.cast("timestamp")).otherwise(shifted)
+    since = c.cast("timestamp_ntz") - F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'")
+    instant = F.expr("TIMESTAMP'1970-01-01 00:00:00Z'") + since
+    return F.when(F.typeof(c) == "timestamp", c.cast("timestamp")).otherwise(instant)
 
 
 def wall_time(col: str | Column, spark: SparkSession) -> Column:
     """Inverse of ``event_time``: a UTC instant as ``timestamp_ntz`` wall time."""
     c = F.col(col) if isinstance(col, str) else col
-    tz = spark.conf.get("spark.sql.session.timeZone")
-    return F.from_utc_timestamp(c, tz).cast("timestamp_ntz")
+    zero = F.lit(0)
+    since = F.make_dt_interval(zero, zero, zero, (F.unix_micros(c) / F.lit(1_000_000).cast("decimal(7,0)"))
+                               .cast("decimal(18,6)"))
+    return F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'") + since
 
 
 def land_in_time_order(df: DataFrame, path: str, time_col: str, slices: int = 4,
