@@ -19,9 +19,11 @@ tokens; words of any length are encoded whole.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
+import string
 import struct
 import unicodedata
 
@@ -32,7 +34,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, St
 
 from emporia.llm.common import strings, with_columns
 
-CACHE = 600_000
+CACHE = 1_000_000
 _END = "</w>"
 _NEVER = 1 << 60
 _BLANKS = re.compile(r"[^\S\x1c-\x1f]+")  # Python counts four separators as white space, Unicode doesn't
@@ -143,7 +145,7 @@ class Encoder:
         self._right: dict[int, tuple] = {}
         self._left: dict[int, tuple] = {}
         self._fits: dict[int, bool] = {}
-        self._known = _Recent(lambda word: self.encode_word(word.encode()))
+        self._known = _Recent(lambda word: _packed(self.encode_word(word.encode())))
 
     def _spine(self, token: int, side: int, known: dict) -> tuple:
         """Pieces that stand at one edge of a token while it is merged, with the rank that uses each up."""
@@ -221,31 +223,43 @@ class Encoder:
         return ids
 
     def _split(self, part: str) -> list[str]:
+        """The words of a lower-cased chunk."""
+        if part.isalpha():
+            return [part]
+        word = part.rstrip(string.punctuation)
+        if word.isalpha():  # marks after a word's letters are one word
+            return [word, part[len(word):]]
         if part.isascii() or not _LATER.search(part):
             return self._words.findall(part)
         shown = _LATER.sub("\ufffd", part)  # a character that is neither letter nor number, in the same places
         return [part[m.start():m.end()] for m in self._words.finditer(shown)]
 
-    def encode_chunk(self, chunk: str) -> list[int]:
-        """Ids of a text without white space."""
-        ids: list[int] = []
+    def encode_chunk(self, chunk: str) -> bytes:
+        """Ids of a text without white space, as little-endian 32-bit numbers."""
+        out = []
         for part in self._cut.split(chunk) if self._cut and "<" in chunk else (chunk,):
             if part in self.special:
-                ids.append(self.special[part])
+                out.append(_packed([self.special[part]]))
                 continue
             if not part.isascii():
                 part = unicodedata.normalize("NFC", part).translate(_LOWER)
-            part = part.lower()
-            for word in (part,) if part.isalpha() else self._split(part):
-                ids += self._known[word]
-        return ids
+            out += [self._known[word] for word in self._split(part.lower())]
+        return b"".join(out)
 
     def encode(self, text: str) -> list[int]:
-        return [i for chunk in chunks(text) for i in self.encode_chunk(chunk)]
+        return _unpacked(b"".join([self.encode_chunk(chunk) for chunk in chunks(text)]))
 
     def decode(self, ids) -> str:
         """Text of ids; special tokens are kept."""
-        return " ".join([self.strings[i] for i in ids])
+        return " ".join(map(self.strings.__getitem__, ids))
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
+def _unpacked(raw: bytes) -> list[int]:
+    return list(struct.unpack(f"<{len(raw) // 4}I", raw))
 
 
 def chunks(text: str) -> list[str]:
@@ -274,23 +288,17 @@ class _Recent(dict):
         return found
 
 
-def _chunk_rows(encoder: Encoder) -> _Recent:
-    """Chunk -> (ids as little-endian 32-bit numbers, decoded text)."""
-    def make(chunk: str) -> tuple[bytes, str]:
-        ids = encoder.encode_chunk(chunk)
-        return struct.pack(f"<{len(ids)}I", *ids), encoder.decode(ids)
-    return _Recent(make)
-
-
-_LOADED: dict[str, _Recent] = {}
+_LOADED: dict[str, tuple[Encoder, _Recent]] = {}
 
 
-def _loaded(text: str) -> _Recent:
-    """A worker's encoder, kept between tasks."""
+def _loaded(text: str) -> tuple[Encoder, _Recent]:
+    """A worker's encoder and its ids of recent chunks, kept between tasks."""
     key = hashlib.sha256(text.encode()).hexdigest()
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = _chunk_rows(Encoder(text))
+        encoder = Encoder(text)
+        gc.freeze()  # the automaton never becomes garbage
+        _LOADED[key] = encoder, _Recent(encoder.encode_chunk)
     return _LOADED[key]
 
 
@@ -304,13 +312,13 @@ def _apply(docs: DataFrame, tokenizer: str, fields: list[StructField], row, text
     shared = docs.sparkSession.sparkContext.broadcast(read_tokenizer(tokenizer))
 
     def make():
-        cache = _loaded(shared.value)
+        encoder, cache = _loaded(shared.value)
 
         def apply(texts):
             rows = []
             for t in strings(texts):
-                found = [cache[c] for c in chunks(t)]
-                rows.append(row(b"".join([f[0] for f in found]), " ".join([f[1] for f in found])))
+                raw = b"".join([cache[c] for c in chunks(t)])
+                rows.append(row(raw, encoder.decode(_unpacked(raw))))
             return [pa.array(col, f.dataType) for col, f in zip(
                 list(zip(*rows, strict=True)) or [()] * len(fields), arrow, strict=True)]
         return apply
@@ -325,7 +333,7 @@ def encode(docs: DataFrame, tokenizer: str, ids: str = "ids", decoded: str = "de
            text: str = "text") -> DataFrame:
     """``docs`` with the ids of every whole text (array<int>) and the text they decode to."""
     def row(raw: bytes, out: str):
-        return list(memoryview(raw).cast("I")) if raw else [], out
+        return _unpacked(raw), out
 
     return _apply(docs, tokenizer, [StructField(ids, ArrayType(IntegerType())), StructField(decoded, StringType())],
                   row, text)
