@@ -43,6 +43,35 @@ def spend_thresholds(c360: DataFrame, method: str = "exact") -> DataFrame:
     raise ValueError(f"unknown quantile method {method!r}")
 
 
+def spend_quantiles_checked(c360: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """``(prob, customers, within_bound)``: is the rank of each approximate threshold
+    within ``1 / accuracy`` (and one row) of the wanted one?"""
+    row = spend_thresholds(c360, "approx").first()
+    x = F.col("total_spend")
+    pairs = list(zip(SEGMENT_PROBS, (row["p75"], row["p50"])))
+    counts = [F.count(x).alias("n")]
+    for i, (_, v) in enumerate(pairs):
+        counts += [F.count_if(x < F.lit(v)).alias(f"lt{i}"), F.count_if(x <= F.lit(v)).alias(f"le{i}")]
+    n = c360.agg(*counts).first()
+    slack = n["n"] / accuracy + 1
+    rows = [(p, n["n"], n[f"lt{i}"] - slack <= p * n["n"] <= n[f"le{i}"] + slack) for i, (p, _) in enumerate(pairs)]
+    return c360.sparkSession.createDataFrame(rows, "prob double, customers long, within_bound boolean")
+
+
+def segments_checked(c360: DataFrame) -> DataFrame:
+    """Exact segments, and whether the approximate one agrees or the spend lies
+    between the exact and the approximate threshold (ends included)."""
+    exact, rough = spend_thresholds(c360, "exact").first(), spend_thresholds(c360, "approx").first()
+    x = F.col("total_spend")
+    near = F.lit(False)
+    for p in ("p75", "p50"):
+        if exact[p] is not None:
+            near = near | x.between(min(exact[p], rough[p]), max(exact[p], rough[p]))
+    own, other = (segment_of(x, F.lit(t["p75"]).cast("double"), F.lit(t["p50"]).cast("double"))
+                  for t in (exact, rough))
+    return c360.select("customer_id", "total_spend", own.alias("segment"), ((own == other) | near).alias("within_bound"))
+
+
 def _with_thresholds(df: DataFrame, c360: DataFrame, method: str) -> DataFrame:
     """``df`` with literal columns ``p75``, ``p50``: the thresholds are two
     scalars (exact: distributed selection; approx: one ``percentile_approx``

@@ -37,6 +37,15 @@ def country_traffic_approx(w: DataFrame, rsd: float = 0.01) -> DataFrame:
             .orderBy(F.desc("events"), F.asc_nulls_last("country")))
 
 
+def country_traffic_checked(w: DataFrame, rsd: float = 0.01) -> DataFrame:
+    """``country_traffic`` and whether the approximate distinct counts are within ``5 * rsd`` of it."""
+    rough = country_traffic_approx(w, rsd).select(F.col("country").alias("_c"), F.col("unique_customers").alias("_u"))
+    off = F.abs(F.col("_u") - F.col("unique_customers"))
+    return (country_traffic(w).join(rough, F.col("country").eqNullSafe(F.col("_c")))
+            .select("country", "events", "unique_customers",
+                    (off <= 5 * rsd * F.col("unique_customers")).alias("within_bound")))
+
+
 def session_stats(w: DataFrame) -> DataFrame:
     """One row per session; the largest web result, so it is left unsorted."""
     return (w.groupBy("session_id", "customer_id")

@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from emporia.operators import customer360 as c3
 from emporia.operators import reviews as rv
 from emporia.operators import segments as sg
+from emporia.operators import shares as sh
 from emporia.operators import social as so
 from emporia.operators import transactions as tx
 from emporia.operators import weblogs as wl
@@ -36,6 +37,9 @@ SOURCE_RESULTS = {
     "device_breakdown": ("weblogs", wl.device_breakdown),
     "country_traffic": ("weblogs", wl.country_traffic),
     "session_stats": ("weblogs", wl.session_stats),
+    "page_counts": ("weblogs", wl.page_counts),
+    "country_top7": ("weblogs", wl.country_top7),
+    "device_counts": ("weblogs", wl.device_counts),
     "bounce_rate": ("weblogs", wl.bounce_rate),
     "bounce_rate_by_page": ("weblogs", wl.bounce_rate_by_page),
     "revenue_by_category": ("transactions", tx.revenue_by_category),
@@ -51,7 +55,9 @@ SOURCE_RESULTS = {
     "sentiment_share": ("reviews", rv.sentiment_share),
     "product_avg_rating": ("reviews", rv.product_avg_rating),
     "overall_rating": ("reviews", rv.overall_rating),
+    "rating_counts": ("reviews", rv.rating_counts),
     "platform_stats": ("social", so.platform_stats),
+    "platform_posts_likes": ("social", so.platform_posts_likes),
     "brand_sentiment": ("social", so.brand_sentiment),
     "top_customers_social": ("social", so.top_customers_social),
     "brand_sentiment_pivot": ("social", so.brand_sentiment_pivot),
@@ -119,5 +125,9 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], out_root: str,
         "rfm_scores": sg.rfm_scores(c360, as_of),
         "customer_features": sg.customer_features(core, nb, c360, quantiles, as_of),
     }
-    published.update(publish_views(spark, derived, out_root, database=database))
+    derived["source_row_counts"] = sh.source_row_counts(sources)
+    # one snapshot a day: a run replaces its own day and keeps the others
+    published.update(publish_views(spark, derived, out_root, database=database,
+                                   partitions={"customer_features": "snapshot_date"},
+                                   snapshots=("customer_features",)))
     return published

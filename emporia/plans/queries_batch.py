@@ -48,7 +48,11 @@ on_source("country_traffic", "weblogs", wl.country_traffic, """
 SELECT country, count(event_id) AS events, count(DISTINCT customer_id) AS unique_customers
 FROM weblogs GROUP BY country""")
 
-on_source("country_traffic_approx", "weblogs", wl.country_traffic_approx)
+# the exact rows, and whether the approximate count is within five standard errors of them
+on_source("country_traffic_approx", "weblogs", wl.country_traffic_checked, """
+SELECT country, count(event_id) AS events, count(DISTINCT customer_id) AS unique_customers,
+       TRUE AS within_bound
+FROM weblogs GROUP BY country""")
 
 on_source("session_stats", "weblogs", wl.session_stats, """
 SELECT session_id, customer_id, count(event_id) AS clicks,

@@ -127,9 +127,13 @@ def q_spend_quantiles(spark, sf_dir):
     return sg.spend_thresholds(nb, "exact")
 
 
-@register("spend_quantiles_approx")
+@register("spend_quantiles_approx", _NB_CTE + """
+SELECT p.prob, (SELECT count(total_spend) FROM c) AS customers, TRUE AS within_bound
+FROM (VALUES (0.75::DOUBLE), (0.5::DOUBLE)) p(prob)""")
 def q_spend_quantiles_approx(spark, sf_dir):
-    return sg.spend_thresholds(c3.customer_360_notebook(*_sources(spark, sf_dir)), "approx")
+    """Whether each approximate threshold's rank is within the sketch's bound of the wanted rank."""
+    nb = c3.finish_360(_core_checkpointed(spark, sf_dir), notebook=True)
+    return sg.spend_quantiles_checked(nb)
 
 
 def _segments(spark, sf_dir, method="exact"):
@@ -142,9 +146,13 @@ def q_customer_segments(spark, sf_dir):
     return _segments(spark, sf_dir)
 
 
-@register("customer_segments_approx")
+@register("customer_segments_approx", SEG_CTE + """
+SELECT customer_id, total_spend, segment, TRUE AS within_bound FROM seg""")
 def q_customer_segments_approx(spark, sf_dir):
-    return sg.customer_segments(c3.customer_360_notebook(*_sources(spark, sf_dir)), "approx")
+    """The exact segments, and whether the approximate one agrees or the spend lies between the
+    exact and the approximate threshold."""
+    nb = c3.finish_360(_core_checkpointed(spark, sf_dir), notebook=True)
+    return sg.segments_checked(nb)
 
 
 @register("segment_share", SEG_CTE + f"""
