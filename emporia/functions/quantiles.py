@@ -37,26 +37,35 @@ def _in_window(x: Column, lo, hi) -> Column:
     return cond
 
 
+def _around(p: float, eps: float) -> list[float]:
+    return [max(0.0, p - eps), min(1.0, p + eps)]
+
+
 def select_ranks(values: DataFrame, counts: dict[str, int], wanted: dict[str, list[int]],
-                 accuracy: int = 10_000) -> dict[tuple[str, int], float]:
+                 accuracy: int = 10_000, hints: dict | None = None) -> dict[tuple[str, int], float]:
     """Values at 0-based ranks of the sorted non-null values of each column.
 
     All columns and ranks share the same jobs: one ``percentile_approx``
-    aggregate and one counting aggregate per round.
+    aggregate and one counting aggregate per round. ``hints`` gives two values
+    of the column near each rank for the first round, which then needs no
+    sketch of its own.
     """
     # (column, rank) -> lower bound, upper bound, values up to the lower bound, values between
     state = {(c, k): (None, None, 0, counts[c]) for c, ks in wanted.items() for k in set(ks)}
     answer: dict[tuple[str, int], float] = {}
     eps = 2.0 / accuracy
     while pending := [key for key in state if key not in answer]:
-        sketches = []
-        for i, (c, k) in enumerate(pending):
-            lo, hi, below, size = state[(c, k)]
-            local = (k - below) / max(size - 1, 1)
-            probs = [max(0.0, local - eps), min(1.0, local + eps)]
-            sketches.append(F.percentile_approx(F.when(_in_window(F.col(c), lo, hi), F.col(c)), probs, accuracy)
-                            .alias(f"a{i}"))
-        near = values.agg(*sketches).first()
+        if hints:
+            near = {f"a{i}": hints[key] for i, key in enumerate(pending)}
+            hints = None
+        else:
+            sketches = []
+            for i, (c, k) in enumerate(pending):
+                lo, hi, below, size = state[(c, k)]
+                local = (k - below) / max(size - 1, 1)
+                sketches.append(F.percentile_approx(F.when(_in_window(F.col(c), lo, hi), F.col(c)),
+                                                    _around(local, eps), accuracy).alias(f"a{i}"))
+            near = values.agg(*sketches).first()
         exact = []
         for i, (c, _) in enumerate(pending):
             x = F.col(c)
@@ -89,9 +98,13 @@ def exact_quantiles_many(df: DataFrame, spec: dict[str, list[float]],
     """``percentile_cont(p)`` for several columns at once, as exact decimals."""
     cols = list(spec)
     values = df.select(*[F.col(c).cast("double").alias(c) for c in cols])
-    crow = values.agg(*[F.count(c).alias(c) for c in cols]).first()
-    counts = {c: crow[c] for c in cols}
-    plans, wanted = {}, {}
+    # the counts and, as the probabilities are known before the ranks are, the first sketch: one job
+    eps = 2.0 / accuracy
+    near = [F.percentile_approx(c, [x for p in spec[c] for x in _around(float(p), eps)], accuracy).alias(f"near_{i}")
+            for i, c in enumerate(cols)]
+    crow = values.agg(*[F.count(c).alias(f"n_{i}") for i, c in enumerate(cols)], *near).first()
+    counts = {c: crow[f"n_{i}"] for i, c in enumerate(cols)}
+    plans, wanted, hints = {}, {}, {}
     for c in cols:
         n = counts[c]
         plans[c] = []
@@ -102,8 +115,11 @@ def exact_quantiles_many(df: DataFrame, spec: dict[str, list[float]],
             lo = int(pos)
             frac = pos - lo
             plans[c].append((lo, lo + 1 if frac > 0 else lo, frac))
+        for j, (lo, hi, _) in enumerate(plans[c]):
+            pair = crow[f"near_{cols.index(c)}"][2 * j:2 * j + 2]
+            hints[(c, lo)], hints[(c, hi)] = pair, pair
         wanted[c] = sorted({r for lo, hi, _ in plans[c] for r in (lo, hi)})
-    got = select_ranks(values, counts, wanted, accuracy=accuracy) if wanted else {}
+    got = select_ranks(values, counts, wanted, accuracy, hints) if wanted else {}
     out = {}
     for c in cols:
         if counts[c] == 0:
