@@ -216,9 +216,11 @@ def keep_one(docs: DataFrame, radius: int = 3, words: int = 3, doc_id: str = "do
     columns = [F.col(f"`{c}`") for c in docs.columns]
     rows = staged(with_fingerprint(docs.withColumn("__row", F.monotonically_increasing_id()), words, text,
                                    "__fingerprint"), "marked")
-    found = components_of(rows.select(F.col(doc_id).alias("doc_id"), F.col("__fingerprint").alias("fingerprint"),
-                                      "__row"), radius)
+    found = staged(components_of(rows.select(F.col(doc_id).alias("doc_id"), F.col("__fingerprint").alias("fingerprint"),
+                                             "__row"), radius), "found")
     # a row without id is last
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__row")).alias("first")
-    kept = staged(found.groupBy("root").agg(first).select(F.col("first.__row").alias("__row")), "kept")
-    return rows.join(kept, "__row", "left_semi").select(*columns)
+    kept = found.groupBy("root").agg(first).select(F.col("first.__row").alias("__row"))
+    # the rows that go are fewer than those that stay: where Spark finds them small enough to broadcast, no text moves
+    gone = staged(found.select("__row").join(kept, "__row", "left_anti"), "gone")
+    return rows.join(gone, "__row", "left_anti").select(*columns)
