@@ -3,28 +3,24 @@
 import pytest
 
 import __spark_entry__ as entry
+from emporia.plans import registry
 from emporia.plans.oracle_check import compare
 from tests.conftest import SF_SMALL
 
-ORACLE = entry.oracle_sql()
-NO_ORACLE = sorted(set(entry.queries()) - set(ORACLE))
+QUERIES = registry.queries()
+ORACLE = registry.oracle_sql()
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_matches_oracle(spark, duck, name):
-    df = entry.queries()[name](spark, SF_SMALL)
+    df = QUERIES[name](spark, SF_SMALL)
     res = compare(df, duck, ORACLE[name])
     assert res["ok"], res
 
 
-@pytest.mark.parametrize("name", NO_ORACLE)
-def test_runs_without_oracle(spark, name):
-    df = entry.queries()[name](spark, SF_SMALL)
-    assert df.count() > 0
-
-
-def test_only_approximate_keys_lack_an_oracle():
-    assert all(n.endswith("_approx") for n in NO_ORACLE)
+def test_every_query_has_an_oracle():
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_smoke(spark):
