@@ -106,9 +106,11 @@ class _Packing:
         return self.order[np.ascontiguousarray(planes.T).view(np.uint16)[:, 0]]
 
 
-def _packing(docs: DataFrame, encoding, end: int, text: str) -> _Packing:
-    sample = (docs.select(F.substring(text, 1, 2000).alias("t")).where("t is not null")
-              .orderBy(F.xxhash64("t")).limit(SAMPLE).collect())
+def _packing(docs: DataFrame, encoding, end: int, doc_id: str = "doc_id", text: str = "text") -> _Packing:
+    # a few more rows than wanted by a hash, so that what each task sends doesn't add up
+    share = min(1.0, 4 * SAMPLE / max(1, docs.count()))
+    head = docs.select(F.xxhash64(doc_id, text).alias("h"), F.substring(text, 1, 2000).alias("t")).where("t is not null")
+    sample = head.where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30)).orderBy("h").limit(SAMPLE).collect()
     counts = np.zeros(1 << 16, np.int64)
     counts[end] = 1
     for r in sample:
@@ -252,6 +254,6 @@ def materialise(docs: DataFrame, ranks_path: str, pattern: str, end: int, key: b
     """Tokenise, permute and write ``docs``; returns the shards' folder and the table of sequences."""
     root = root or scratch_path(docs.sparkSession, "shards")
     ranks = read_ranks(ranks_path)
-    packing = _packing(docs, _encoding(ranks, pattern), end, "text")
+    packing = _packing(docs, _encoding(ranks, pattern), end)
     sequences = staged(pack_sequences(docs, ranks, pattern, end, packing, length), "sequences")
     return root, staged(write_shards(sequences, packing, root, key, length, shard_rows), "slots")

@@ -52,3 +52,11 @@ def test_defined_cases(spark, odd_docs, no_docs):
     assert L.scan_licenses(odd_docs).count() == 0
     assert L.scan_licenses(no_docs).count() == 0
     assert L.scan_licenses(odd_docs, templates=[("none", "..."), ("one", "A")]).first().doc_id == 5
+
+
+def test_query_against_its_sql(spark, duck):
+    from emporia.llm.queries import ORACLE, QUERIES
+    from emporia.plans.oracle_check import compare
+
+    result = compare(QUERIES["op4_licenses"](spark, "/root/testdata/sf0.001"), duck, ORACLE["op4_licenses"])
+    assert result["ok"] and result["spark_rows"] > 0, result

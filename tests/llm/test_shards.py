@@ -47,7 +47,7 @@ def test_round_trip(spark):
 def test_a_repeated_task_writes_the_same_bytes(spark, tmp_path):
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
     ranks = S.read_ranks(RANKS)
-    packing = S._packing(df, S._encoding(ranks, P.PATTERN), END, "text")
+    packing = S._packing(df, S._encoding(ranks, P.PATTERN), END)
     from emporia.llm.common import staged
     seq = staged(S.pack_sequences(df, ranks, P.PATTERN, END, packing, 256), "seq")
     table = S.write_shards(seq, packing, str(tmp_path), b"k", 256, 64)
