@@ -34,7 +34,7 @@ from pyspark.sql.types import ArrayType, BinaryType, IntegerType, StringType, St
 
 from emporia.llm.common import strings, with_columns
 
-CACHE = 1_000_000
+CACHE = 600_000
 _END = "</w>"
 _NEVER = 1 << 60
 _BLANKS = re.compile(r"[^\S\x1c-\x1f]+")  # Python counts four separators as white space, Unicode doesn't

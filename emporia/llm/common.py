@@ -17,7 +17,7 @@ from pyspark.sql.types import StructField, StructType
 from emporia.session import scratch_path
 
 #: Bytes of text that one Python step works on; a longer single text is a step of its own.
-STEP_BYTES = 4 << 20
+STEP_BYTES = 2 << 20
 #: Rows in an Arrow batch: documents are long, so the default of 10,000 would be hundreds of MB.
 BATCH_ROWS = 512
 BATCH_BYTES = 16 << 20
