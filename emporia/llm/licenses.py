@@ -1,25 +1,45 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
 Each line of a text, and each paragraph of several lines, is normalised (lower
-case, runs of letters and digits) and compared with the templates by
+case, runs of letters and digits) and compared with the notices (``TEMPLATES``) by
 ``2 |A n B| / (|A| + |B|)`` over their sets of word bigrams. Two sets can only
 reach the threshold t if neither is larger than (2 - t) / t times the other, so a
 segment meets the templates of its size only: an equality join on the size with
 a fixed table of (size, template) pairs, which is small by construction.
 
+A licence that no line or paragraph of a document states by a notice is looked
+for in its passages, by the notices, further ones (``NOTICES``) and the full texts
+in ``license_texts``: the whole text, its lines, paragraphs (lines without a letter or
+digit are blank), sentences, and every window of a template's number of words
+(the whole text if that is shorter); for a template of one sentence the windows
+within each sentence, since the end of a notice and the begin of its repetition
+can look like another one. ``dice`` is then the best passage's, and
+``n_segments`` the most matching segments, or runs of windows that begin at
+neighbouring words, of one template.
+
+To reach t a set must hold t / (2 - t) of the template's bigrams, so it holds one
+of any larger share of them: only texts that hold one of a template's rarest
+bigrams (``anchors``) are cut into segments, only those with enough bigrams of one
+template into windows. No match is lost by this. The windows' sets are counted by a
+running sum: a bigram counts in the windows that begin after its occurrence before.
+
 Built-in functions only. Defined cases: null and empty texts match nothing; a
-segment or template of one word has that word as its only item; ties keep all
-licences; repeated rows count as further segments of their document; a null id
-is an id like any other.
+segment or template of one word has that word as its only item, and no windows;
+ties keep all licences; repeated rows count as further segments of their document;
+a null id is an id like any other.
 """
 
 from __future__ import annotations
 
 import re
+from functools import cache
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emporia.llm.common import staged
+
 THRESHOLD = 0.8
 
 # Licence notices by SPDX name.
@@ -54,6 +74,42 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
+# Notices looked for in passages only.
+GNU = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General "
+       "Public License as published by the Free Software Foundation; either version {} of the License, or (at your "
+       "option) any later version.")
+NOTICES = [
+    ("GPL-2.0", GNU.format("", "2")),
+    ("LGPL-2.1", GNU.format("Lesser ", "2.1").replace("This program", "This library")),
+    ("LGPL-3.0", GNU.format("Lesser ", "3")),
+    ("AGPL-3.0", GNU.format("Affero ", "3")),
+    ("AGPL-3.0", "Notwithstanding any other provision of this License, if you modify the Program, your modified version "
+                 "must prominently offer all users interacting with it remotely through a computer network (if your "
+                 "version supports such interaction) an opportunity to receive the Corresponding Source of your version "
+                 "by providing access to the Corresponding Source from a network server at no charge, through some "
+                 "standard or customary means of facilitating copying of software."),
+    ("MIT", "Licensed under the MIT License."),
+    ("BSD-2-Clause", "Licensed under the BSD 2-Clause License."),
+    ("BSD-3-Clause", "Licensed under the BSD 3-Clause License."),
+    ("ISC", "Licensed under the ISC License."),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public "
+                "License 2.0 which is available at"),
+    ("EPL-2.0", "Licensed under the Eclipse Public License, Version 2.0."),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("MPL-2.0", "Licensed under the Mozilla Public License, Version 2.0."),
+]
+
+# The commonest words of English: bigrams of them are no anchors if there are others.
+COMMON = frozenset("a all an and any are as at be by for from in is it its must not of on or such that the this to under "
+                   "which with you your".split())
+
+
+@cache
+def passage_templates() -> tuple[tuple[str, str], ...]:
+    """All templates for passages: the notices and the full texts by SPDX name."""
+    texts = sorted((Path(__file__).parent / "license_texts").glob("*.txt"))
+    return (*TEMPLATES, *NOTICES, *((p.stem, p.read_text(encoding="utf-8")) for p in texts))
+
 
 def template_items(text: str) -> list[str]:
     """The distinct word bigrams of a normalised text, in order; of one word that word."""
@@ -67,42 +123,157 @@ def size_bounds(size: int, threshold: float) -> list[int]:
     return [k for k in range(1, int(size * 2 / threshold) + 2) if 2 * min(k, size) >= threshold * (k + size)]
 
 
+def anchors(own: list[str], threshold: float) -> list[str]:
+    """So many of a template's items, the rarest, that every set which reaches the threshold holds one."""
+    least = size_bounds(len(own), threshold)[0]
+    return sorted(own, key=lambda p: (sum(w in COMMON for w in p.split()), -len(p)))[:len(own) - least + 1]
+
+
 def segments(text: Column) -> Column:
     """All lines, and the paragraphs that have more than one line."""
     paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda p: F.contains(p, F.lit("\n")))
     return F.concat(F.split(text, "\n"), paragraphs)
 
 
+# Ends of paragraphs (lines without a letter or digit are blank) and of sentences.
+BLANK = r"\n[^\p{L}\p{N}]*\n"
+SENTENCE = BLANK + r"|(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f])"
+
+
+def passages(text: Column) -> Column:
+    """The whole text, its lines, its paragraphs and their sentences."""
+    return F.concat(F.array(text), F.split(text, "\n"), F.split(text, BLANK), F.split(text, SENTENCE))
+
+
+def words(segment: Column) -> Column:
+    """The words of a normalised segment."""
+    return F.filter(F.split(F.regexp_replace(F.lower(segment), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+
+
+def pairs(w: Column) -> Column:
+    """The bigrams of an array of words, in order and with repeats; of one word that word."""
+    n = F.size(w)
+    both = F.zip_with(F.slice(w, 1, n - 1), F.slice(w, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
+    return F.when(n > 1, both).otherwise(w)
+
+
 def bigrams(segment: Column) -> Column:
     """The distinct word bigrams of a normalised segment; of one word that word."""
-    words = F.filter(F.split(F.regexp_replace(F.lower(segment), r"[^\p{L}\p{N}]+", " "), " "), lambda w: w != "")
+    # the one-element array binds the words, so that they are computed once however often they are used
+    return F.transform(F.array(words(segment)), lambda w: F.array_distinct(pairs(w)))[0]
 
-    def pairs(w: Column) -> Column:
-        n = F.size(w)
-        both = F.zip_with(F.slice(w, 1, n - 1), F.slice(w, 2, n - 1), lambda a, b: F.concat(a, F.lit(" "), b))
-        return F.when(n > 1, F.array_distinct(both)).otherwise(w)
 
-    # the one-element array binds the words, so that they are computed once however often they are used
-    return F.transform(F.array(words), pairs)[0]
+def _constant(items: list[str]) -> Column:
+    """A constant array of normalised items."""
+    return F.split(F.lit("\n".join(items)), "\n")
 
 
-def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=None, doc_id: str = "doc_id",
-                  text: str = "text") -> DataFrame:
-    """``(doc_id, license, dice, n_segments)``: the best match and the number of matching segments."""
-    templates = TEMPLATES if templates is None else templates
+def _stated(hot: DataFrame, templates, threshold: float) -> DataFrame:
+    """``(doc_id, license, dice)`` of every line and paragraph of several lines that matches."""
     rows = [(n, name, own) for name, t in templates if (own := template_items(t))
             for n in size_bounds(len(own), threshold)]
-    known = docs.sparkSession.createDataFrame(rows, "n int, license string, own array<string>")
+    known = hot.sparkSession.createDataFrame(rows, "n int, license string, own array<string>")
     largest = max((r[0] for r in rows), default=0)
     # bigrams and their size bound stand within the generator: no filter above it computes them again
-    grams = F.filter(F.transform(segments(F.col(text)), bigrams), lambda g: F.size(g).between(1, largest))
-    sets = (docs.select(F.col(doc_id).alias("doc_id"), F.explode(grams).alias("grams"))
-            .withColumn("n", F.size("grams")))
+    grams = F.filter(F.transform(segments(F.col("text")), bigrams), lambda g: F.size(g).between(1, largest))
+    sets = hot.select("doc_id", F.explode(grams).alias("grams")).withColumn("n", F.size("grams"))
     shared = F.size(F.array_intersect("grams", "own"))
-    found = (sets.join(F.broadcast(known), "n")
-             .select("doc_id", "license", (shared * 2.0 / (F.col("n") + F.size("own"))).alias("dice"))
-             .where(F.col("dice") >= threshold))
-    return found.groupBy("doc_id", "license").agg(F.max("dice").alias("dice"), F.count(F.lit(1)).alias("n_segments"))
+    return (sets.join(F.broadcast(known), "n")
+            .select("doc_id", "license", (shared * 2.0 / (F.col("n") + F.size("own"))).alias("dice"))
+            .where(F.col("dice") >= threshold))
+
+
+def _passages(hot: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
+    """``(doc_id, license, dice, n)``: the best passage and the number of passages of a template."""
+    items = known.select("t", F.explode("own").alias("gram"), F.lit(1).alias("own"))
+    known = known.withColumn("n_own", F.size("own"))
+    here = hot.join(F.broadcast(known), (F.size("held") >= F.col("least"))
+                    & (F.size(F.array_intersect("held", "own")) >= F.col("least")))
+
+    def dice(shared, size):
+        return shared * 2.0 / (size + F.col("n_own"))
+
+    sets = F.transform(passages(F.col("text")), bigrams)
+    near = F.filter(sets, lambda g: F.size(g).between(F.col("least"), F.col("most")))
+    scores = F.filter(F.transform(near, lambda g: dice(F.size(F.array_intersect(g, F.col("own"))), F.size(g))),
+                      lambda d: d >= threshold)
+    whole = (here.select("row", "doc_id", "license", F.explode(F.array(scores)).alias("scores"))
+             .where(F.size("scores") > 0)
+             .select("row", "doc_id", "license", F.array_max("scores").alias("dice"), F.size("scores").alias("n")))
+
+    # bigram i counts in the windows that begin after its occurrence before and hold i
+    units = F.when(F.col("several"), F.array("text")).otherwise(F.split("text", SENTENCE))
+    grams = F.filter(F.transform(units, lambda u: F.transform(F.array(words(u)), pairs)[0]),
+                     lambda g: F.size(F.array_intersect(g, "own")) >= F.col("least"))
+    unit, keys = ["row", "t", "unit"], ["row", "t", "unit", "doc_id", "license", "n_own", "last"]
+    at = Window.partitionBy(*unit, "gram").orderBy("i")
+    held = (here.where(F.col("n_words") > 1)
+            .select("row", "t", "doc_id", "license", "n_own", "n_words", F.posexplode(grams).alias("unit", "grams"))
+            .withColumn("wide", F.least(F.col("n_words") - 1, F.size("grams")))
+            .withColumn("last", F.size("grams") - F.col("wide"))
+            .select(*keys, "wide", F.posexplode("grams").alias("i", "gram"))
+            .join(F.broadcast(items), ["t", "gram"], "left")
+            .repartition("row", "t")
+            .withColumn("before", F.coalesce(F.lag("i").over(at), F.lit(-1)))
+            .withColumn("low", F.greatest(F.col("before") + 1, F.col("i") - F.col("wide") + 1))
+            .withColumn("high", F.least("i", "last")).where("low <= high"))
+    own = F.coalesce("own", F.lit(0))
+    steps = (held.select(*keys, F.explode(F.array(
+        F.struct(F.col("low").alias("at"), F.lit(1).alias("size"), own.alias("shared")),
+        F.struct((F.col("high") + 1).alias("at"), F.lit(-1).alias("size"), (-own).alias("shared")))).alias("s"))
+        .groupBy(*keys, F.col("s.at").alias("at"))
+        .agg(F.sum("s.size").alias("size"), F.sum("s.shared").alias("shared")))
+    run = Window.partitionBy(*unit).orderBy("at")
+    so_far = run.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    windows = (steps.withColumn("dice", dice(F.sum("shared").over(so_far), F.sum("size").over(so_far)))
+               .where("at <= last")
+               .withColumn("first", ~F.coalesce(F.lag("dice").over(run) >= threshold, F.lit(False)))
+               .where(F.col("dice") >= threshold)
+               .groupBy("row", "t", "doc_id", "license")
+               .agg(F.max("dice").alias("dice"), F.sum(F.col("first").cast("int")).alias("n")))
+    return (whole.withColumn("n", F.col("n").cast("bigint"))
+            .unionByName(windows.select("row", "doc_id", "license", "dice", "n"))
+            .groupBy("row", "doc_id", "license").agg(F.max("dice").alias("dice"), F.max("n").alias("n")).drop("row"))
+
+
+def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=None, doc_id: str = "doc_id",
+                  text: str = "text") -> DataFrame:
+    """``(doc_id, license, dice, n_segments)``: the best match and the number of matching segments.
+
+    ``templates`` replaces the notices and the full texts.
+    """
+    notices = TEMPLATES if templates is None else templates
+    rows = []
+    for t, (name, body) in enumerate(passage_templates() if templates is None else templates):
+        if own := template_items(body):
+            sizes = size_bounds(len(own), threshold)
+            n_words = len(re.findall(r"[^\W_]+", body))
+            several = bool(re.search(r"[.!?]\s+\w|\n\W*\n", body.strip()))
+            rows.append((t, name, own, n_words, several, sizes[0], sizes[-1]))
+    known = docs.sparkSession.createDataFrame(
+        rows, "t int, license string, own array<string>, n_words int, several boolean, least int, most int")
+    every = sorted({p for r in rows for p in r[2]})
+    some = sorted({p for r in rows for p in anchors(r[2], threshold)})
+    one_word = any(r[3] == 1 for r in rows)
+
+    def items(w):
+        return F.concat(w, pairs(w)) if one_word else pairs(w)
+
+    # texts without an anchor leave within the generator, so that their items are computed once
+    held = F.transform(F.array(words(F.col(text))), lambda w: F.array_distinct(items(w)))
+    held = F.filter(held, lambda g: F.arrays_overlap(g, _constant(some)))
+    hot = (docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.explode(held).alias("held"))
+           .withColumn("held", F.array_intersect("held", _constant(every)))
+           .withColumn("row", F.monotonically_increasing_id()))
+    hot = staged(hot, "licenses")
+    stated = _stated(hot, notices, threshold).withColumn("stated", F.lit(True)).withColumn("n", F.lit(1).cast("bigint"))
+    found = stated.unionByName(_passages(hot, known, threshold).withColumn("stated", F.lit(False)))
+
+    def best(of, column):
+        return F.coalesce(of(F.when(F.col("stated"), F.col(column))), of(F.col(column)))
+
+    return (found.groupBy("doc_id", "license")
+            .agg(best(F.max, "dice").alias("dice"), best(F.sum, "n").alias("n_segments")))
 
 
 def scan_sql(threshold: float = THRESHOLD) -> str:

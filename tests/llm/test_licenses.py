@@ -60,3 +60,66 @@ def test_query_against_its_sql(spark, duck):
 
     result = compare(QUERIES["op4_licenses"](spark, "/root/testdata/sf0.001"), duck, ORACLE["op4_licenses"])
     assert result["ok"] and result["spark_rows"] > 0, result
+
+
+def brute_windows(text, template):
+    """Best Dice over every window of the template's words, and the runs of neighbouring windows that match."""
+    import re
+    w, k = re.findall(r"[^\W_]+", text.lower()), len(re.findall(r"[^\W_]+", template))
+    own = set(L.template_items(template))
+    dices = []
+    for i in range(max(1, len(w) - k + 1)):
+        g = {f"{a} {b}" for a, b in zip(w[i:i + k], w[i + 1:i + k], strict=False)}
+        dices.append(2 * len(g & own) / (len(g) + len(own)))
+    ok = [d >= L.THRESHOLD for d in dices]
+    return max(dices), sum(a and not b for a, b in zip(ok, [False, *ok], strict=False))
+
+
+def _body(name):
+    return next(t for n, t in reversed(L.passage_templates()) if n == name)
+
+
+def test_notices_within_other_words(spark):
+    gpl = next(t for n, t in L.TEMPLATES if n == "GPL-3.0" and "redistribute" in t).split()
+    block = "\n".join(["# Copyright 2020 A. Person and others, all of them", "#", "# " + " ".join(gpl[:18]),
+                       "# " + " ".join(gpl[18:36]), "# " + " ".join(gpl[36:]), "#", "# Some more words on this program: " + "it does this and that, " * 8,
+                       "import os"])
+    rows = [(1, "Released under the MIT License. See LICENSE for details."), (2, " ".join(_body("MIT").split())), (3, block),
+            (4, "A tool. This project is licensed under the MIT license. It does many things and more."),
+            (5, "We, the authors,\nreleased this, not\nunder a license of MIT."), (6, _body("BSD-2-Clause")),
+            (7, _body("ISC")), (8, "Words before it.\n" + _body("EPL-2.0") + "\nand after it"),
+            (9, _body("GPL-3.0")), (10, _body("Apache-2.0") + "Something else. " * 800 + _body("Apache-2.0")),
+            (1, "Released under the MIT License. See LICENSE for details.")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {(r.doc_id, r.license): (r.dice, r.n_segments) for r in L.scan_licenses(df).collect()}
+    assert got[1, "MIT"] == (1.0, 2) and got[2, "MIT"][0] == 1.0 and got[3, "GPL-3.0"][0] == 1.0
+    assert got[4, "MIT"][0] >= 0.8 and 5 not in {k for k, _ in got}
+    assert got[6, "BSD-2-Clause"][0] == got[7, "ISC"][0] == got[8, "EPL-2.0"][0] == 1.0
+    assert got[9, "GPL-3.0"][0] == 1.0 and got[10, "Apache-2.0"] == (1.0, 2)
+
+
+def test_windows_against_brute_force(spark):
+    import random
+    rng = random.Random(3)
+    template = "a b c d e a b f g h i j k l m n o p"
+    rows = []
+    for i in range(150):
+        w = [rng.choice("abcdefxyz") for _ in range(rng.randrange(5, 60))]
+        for _ in range(rng.randrange(3)):
+            own = template.split()
+            for _ in range(rng.randrange(4)):
+                own[rng.randrange(len(own))] = rng.choice("abcxyz")
+            at = rng.randrange(len(w))
+            w[at:at] = own
+        rows.append((i, "x " + " ".join(w) + " y"))
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: (r.dice, r.n_segments) for r in L.scan_licenses(df, templates=[("T", template)]).collect()}
+    want = {i: brute_windows(text, template) for i, text in rows}
+    whole = {i for (i, _) in _lines(rows, template)}
+    assert {i for i in got if i not in whole} == {i for i, (d, _) in want.items() if d >= L.THRESHOLD and i not in whole}
+    assert all(got[i] == want[i] for i in got if i not in whole) and len(set(got) - whole) > 20
+
+
+def _lines(rows, template):
+    own = set(L.template_items(template))
+    return [(i, t) for i, t in rows if 2 * len(own & (g := set(L.template_items(t)))) / (len(own) + len(g)) >= L.THRESHOLD]
