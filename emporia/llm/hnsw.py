@@ -5,11 +5,16 @@ hash to shards of at most ``SHARD_ROWS``; each shard grows an HNSW graph in one
 task. Every class then searches every shard: the shards are broadcast one after
 another (their size is bounded), and blocks of queries walk each graph together.
 A query whose beam is full of links widens its own beam until it isn't. All hits
-are verified by cosine in double precision. Then an audit counts the links of a
-sample of classes by brute force over all rows; while the searches have found
-less than ``RECALL`` of them, the beam is doubled and every shard searched again
-(a beam as wide as a shard finds everything). Links join into components; a task
-sends a spanning forest of its links and one count for each query, never pairs.
+are verified by cosine in double precision. Then an audit counts the links of
+classes by brute force over all rows: blocks of a random sample, until enough classes
+with few links are among them or ``AUDIT_BLOCKS`` are drawn, then also classes that the
+searches have linked. Each audited class with links weighs the same: while their
+searches have found less than ``RECALL`` of a class's links on average, or so much
+for less than that share of the classes, among all or among those with few links,
+every shard is compared with all queries by matrix products, which finds everything
+and costs less than wider beams, as shards are bounded. An audit that meets no links says so in the log. Links join into
+components; a task sends a spanning forest of its links and one count for each
+query, never pairs.
 
 Defined cases: vectors that are null, empty, zero or hold null or non-finite
 components link with nothing, vectors of different lengths neither; a row without
@@ -19,6 +24,7 @@ other; repeated ids are rows of their own.
 
 from __future__ import annotations
 
+import logging
 import pickle
 
 import numpy as np
@@ -34,7 +40,11 @@ SHARD_ROWS = 50_000
 MIN_SHARDS = 4
 M, EF_BUILD, EF = 12, 48, 32
 BLOCK = 512
-AUDIT, RECALL = 2048, 0.99
+AUDIT, AUDIT_BLOCKS, RECALL = 2048, 16, 0.99
+#: Classes with at most FEW linked classes have few links; so many of them are enough for the audit.
+FEW, ENOUGH = 8, 256
+
+log = logging.getLogger(__name__)
 
 
 def unit(vectors: np.ndarray) -> np.ndarray:
@@ -197,6 +207,8 @@ class HNSW:
         """
         if self.entry < 0 or not len(q):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        if ef >= len(self.x):
+            return self.all_within(q, threshold)
         q32 = q.astype(np.float32)
         start = np.full((len(q), 1), self.entry, np.int64)
         for k in range(len(self.links) - 1, 0, -1):
@@ -214,11 +226,28 @@ class HNSW:
             found_n.append(ids[r, c])
             rows, start, ef = rows[full], ids[full], 2 * ef
         rows, nodes = np.concatenate(found_q), np.concatenate(found_n)
+        sure = self._sure(q, rows, nodes, threshold)
+        return rows[sure], nodes[sure]
+
+    def all_within(self, q: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+        """All ``(query rows, nodes)`` with a cosine of at least the threshold, by matrix products."""
+        q32, found_q, found_n = q.astype(np.float32), [], []
+        for lo in range(0, len(q), BLOCK // 4):
+            sims = q32[lo:lo + BLOCK // 4] @ self.x.T
+            r, c = np.nonzero(sims >= threshold - 1e-4)
+            near = np.flatnonzero(sims[r, c] < threshold + 1e-4)  # single precision can't tell
+            keep = np.ones(len(r), bool)
+            keep[near] = self._sure(q, r[near] + lo, c[near], threshold)
+            found_q.append(r[keep] + lo)
+            found_n.append(c[keep])
+        return np.concatenate(found_q), np.concatenate(found_n)
+
+    def _sure(self, q: np.ndarray, rows: np.ndarray, nodes: np.ndarray, threshold: float) -> np.ndarray:
         sure = np.zeros(len(rows), bool)
         for lo in range(0, len(rows), 1 << 16):
             part = slice(lo, lo + (1 << 16))
             sure[part] = (q[rows[part]] * self.exact[nodes[part]]).sum(1) >= threshold
-        return rows[sure], nodes[sure]
+        return sure
 
 
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -310,11 +339,10 @@ def search_shards(classes: DataFrame, graphs: DataFrame, threshold: float, ef: i
     return spark.read.schema(schema).parquet(path)
 
 
-def audit_counts(classes: DataFrame, threshold: float, sample: int = AUDIT) -> DataFrame:
-    """``(class, exact)``: linked copies of a bounded sample of classes, by brute force over all rows."""
-    few = classes.orderBy(F.xxhash64("class", F.lit("audit"))).limit(sample).select("class", "dim", "v").collect()
+def exact_links(classes: DataFrame, queries: list, threshold: float) -> dict[int, tuple[int, int]]:
+    """``class: (linked copies, linked classes)`` of the bounded queries that have any, by brute force over all rows."""
     by_dim: dict = {}
-    for r in few:
+    for r in queries:
         by_dim.setdefault(r.dim, ([], []))[0].append(r["class"])
         by_dim[r.dim][1].append(r.v)
     shared = classes.sparkSession.sparkContext.broadcast(
@@ -331,14 +359,62 @@ def audit_counts(classes: DataFrame, threshold: float, sample: int = AUDIT) -> D
                 rows = np.flatnonzero(dims == d)
                 x = _vectors(batch.take(pa.array(rows)))
                 linked = (q @ x.T >= threshold) & (ids[:, None] != key[rows][None, :])
-                n = linked @ copies[rows]
-                for i in np.flatnonzero(n):
-                    total[int(ids[i])] = total.get(int(ids[i]), 0) + int(n[i])
+                n, m = linked @ copies[rows], linked.sum(1)
+                for i in np.flatnonzero(m):
+                    was = total.get(int(ids[i]), (0, 0))
+                    total[int(ids[i])] = was[0] + int(n[i]), was[1] + int(m[i])
         if total:
             yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()),
-                                              pa.array(list(total.values()), pa.int64())], ["class", "n"])
+                                              *(pa.array([t[k] for t in total.values()], pa.int64()) for k in (0, 1))],
+                                             ["class", "n", "m"])
+
+    found = (classes.mapInArrow(run, "class bigint, n bigint, m bigint").groupBy("class")
+             .agg(F.sum("n").alias("n"), F.sum("m").alias("m")).collect())
+    shared.destroy()
+    return {r["class"]: (r.n, r.m) for r in found}
+
+
+def n_few(audit: dict) -> int:
+    """How many audited classes have few links."""
+    return sum(m <= FEW for _, m in audit.values())
+
+
+def audit_sample(classes: DataFrame, threshold: float, sample: int = AUDIT, blocks: int = AUDIT_BLOCKS) -> dict:
+    """The exact links of classes drawn at random, block by block, until enough have few links."""
+    audit, last = {}, None
+    order = F.xxhash64("class", F.lit("audit"))
+    for _ in range(blocks):
+        rest = classes.select("class", "dim", "v", order.alias("at"))
+        if last is not None:
+            rest = rest.where((F.col("at") > last.at) | ((F.col("at") == last.at) & (F.col("class") > last["class"])))
+        drawn = rest.orderBy("at", "class").limit(sample).collect()
+        if drawn:
+            audit |= exact_links(classes, drawn, threshold)
+            last = drawn[-1]
+        if len(drawn) < sample or n_few(audit) >= ENOUGH:
+            break
+    return audit
+
+
+def audit_linked(classes: DataFrame, links: DataFrame, counts: DataFrame, threshold: float, sample: int = AUDIT) -> dict:
+    """The exact links of classes that the searches have linked from either end, those with few links first."""
+    nodes = links.where("a <> b").select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    drawn = (classes.select("class", "dim", "v").join(nodes, "class", "left_semi").join(counts, "class", "left")
+             .orderBy(F.coalesce("n", F.lit(0)) > FEW, F.xxhash64("class", F.lit("audit"))).limit(sample).collect())
+    return exact_links(classes, drawn, threshold) if drawn else {}
+
+
+def enough_found(audit: dict, found: dict, recall: float) -> bool:
+    """Whether the links found reach the recall, each audited class weighing the same, also where links are few."""
+    share = np.array([min(found.get(k, 0), n) / n for k, (n, _) in audit.items()])
+    few = np.array([m <= FEW for _, m in audit.values()], bool)
+    return all(s.mean() >= recall and (s >= recall).mean() >= recall for s in (share, share[few]) if len(s))
+
 
-    return classes.mapInArrow(run, "class bigint, n bigint").groupBy("class").agg(F.sum("n").alias("exact"))
+def found_links(counts: DataFrame, audit: dict) -> dict[int, int]:
+    """The links that the searches have found of the audited classes."""
+    asked = counts.sparkSession.createDataFrame([(k,) for k in audit], "class bigint")
+    return {r["class"]: r.n for r in counts.join(F.broadcast(asked), "class").collect()}
 
 
 def link_embeddings(rows: DataFrame, threshold: float = 0.95, vec_id: str = "vec_id", embedding: str = "embedding",
@@ -351,15 +427,20 @@ def link_embeddings(rows: DataFrame, threshold: float = 0.95, vec_id: str = "vec
     classes = staged(_classes(rows), "classes")
     total = classes.count()
     graphs = staged(build_shards(classes, max(MIN_SHARDS, -(-total // shard_rows))), "graphs")
-    exact = staged(audit_counts(classes, threshold), "audit")
-    wanted = exact.agg(F.sum("exact")).first()[0] or 0
+    audit = audit_sample(classes, threshold)
+    first = True
     while True:
         links = search_shards(classes, graphs, threshold, ef)
         counts = links.where("a = b").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
-        found = exact.join(counts, "class").agg(F.sum(F.least("n", "exact"))).first()[0] or 0
-        if found >= recall * wanted or ef >= max(total, 1):
+        if first and n_few(audit) < ENOUGH:
+            audit |= audit_linked(classes, links, counts, threshold)
+        if first and n_few(audit) < ENOUGH:
+            log.warning("op7_hnsw: of %d classes the audit met %d with links, %d with few", total, len(audit),
+                        n_few(audit))
+        first = False
+        if enough_found(audit, found_links(counts, audit), recall) or ef >= max(total, 1):
             break
-        ef *= 2
+        ef = max(total, 1)
     roots = connected_components(links.select("a", "b"))
     named = (classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
              .withColumn("root", F.coalesce("root", "class")))

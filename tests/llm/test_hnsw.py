@@ -80,3 +80,58 @@ def test_defined_cases(spark):
     assert got == sorted([("1", 4, 1), ("9", 4, 1), ("9", 4, 1), ("None", 4, 1), ("11", 4, 1), ("2", 0, 2), ("3", 0, 3),
                           ("4", 0, 4), ("5", 0, 5), ("6", 0, 6), ("7", 0, 7), ("8", 0, 8), ("10", 0, 10)])
     assert H.link_embeddings(df.where("false")).count() == 0
+
+
+def test_audit_weighs_each_class_the_same():
+    dense = {k: (1000, 1000) for k in range(100)}
+    pairs = {k: (1, 1) for k in range(100, 140)}
+    audit = dense | pairs
+    full = {k: n for k, (n, _) in audit.items()}
+    assert H.enough_found(audit, full, 0.99) and H.enough_found({}, {}, 0.99)
+    # 99.96 % of all links are found, but none of the pairs
+    assert not H.enough_found(audit, {k: 1000 for k in dense}, 0.99)
+    # classes with many links can't hide those with few, nor some classes that miss all the mean
+    many = {k: (10, 10) for k in range(10_000)} | {k: (1, 1) for k in range(10_000, 10_010)}
+    assert not H.enough_found(many, {k: 10 for k in range(10_000)}, 0.99)
+    assert not H.enough_found(dense, {k: 980 for k in dense} | {k: 1000 for k in range(95)}, 0.99)
+
+
+def test_audit_draws_until_it_meets_links(spark):
+    rng = np.random.default_rng(8)
+    x = rng.normal(size=(600, 24))
+    x[400:420] = x[:20] + 0.001 * rng.normal(size=(20, 24))  # few pairs among many rows
+    rows = spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)],
+                                 "vec_id bigint, v array<double>")
+    classes = H.staged(H._classes(rows), "classes")
+    assert len(H.audit_sample(classes, 0.95, sample=20, blocks=1)) < 40
+    audit = H.audit_sample(classes, 0.95, sample=20, blocks=100)
+    assert len(audit) == 40 and set(audit.values()) == {(1, 1)}
+    by_id = {r.least: r["class"] for r in classes.collect()}
+    a, b = by_id[0], by_id[400]
+    links = spark.createDataFrame([(a, a, 1), (a, b, 0)], "a bigint, b bigint, n bigint")
+    counts = links.where("a = b").selectExpr("a as class", "n")
+    # b, that its own search has not linked, is audited too
+    seen = H.audit_linked(classes, links, counts, 0.95)
+    assert seen == {a: (1, 1), b: (1, 1)}
+    assert not H.enough_found(seen, H.found_links(counts, seen), 0.99)
+
+
+def test_small_groups_beside_a_dense_one(spark):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 32))
+    x[:500] = x[0] + 0.02 * rng.normal(size=(500, 32))
+    x[1000:1200] = x[600:800] + 0.05 * rng.normal(size=(200, 32))  # pairs
+    x = H.unit(x)
+    n, _ = brute(x)
+    rows = [(k, [float(c) for c in v]) for k, v in enumerate(x)]
+    got = H.link_embeddings(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), ef=1).collect()
+    share = {r.vec_id: r.n_links / n[r.vec_id] for r in got if n[r.vec_id]}
+    few = [s for k, s in share.items() if n[k] <= H.FEW]
+    assert len(few) >= 400 and np.mean(few) >= 0.99 and np.mean(list(share.values())) >= 0.99
+
+
+def test_matrix_products_find_everything():
+    x = _vectors(7, 700)
+    q, node = H.HNSW(x).within(x[:300], 0.95, 700, np.arange(300))
+    assert set(zip(q.tolist(), node.tolist(), strict=True)) == set(
+        zip(*map(list, np.nonzero(x[:300] @ x.T >= 0.95)), strict=True))
