@@ -11,6 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emporia.llm import audit as _audit
 from emporia.llm import bpe as _bpe
 from emporia.llm import decontam as _decontam
 from emporia.llm import hnsw as _hnsw
@@ -139,3 +140,10 @@ def op7_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and component of every embedding (cosine 0.95 or more)."""
     found = _hnsw.link_embeddings(read_table(prepare(spark), sf_dir, "embeddings", "vec_id", "embedding"))
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
+
+
+@register("op12_filter_audit", _audit.audit_sql())
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their 120 orders, by language."""
+    docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text", "lang")
+    return _audit.audit_filters(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
