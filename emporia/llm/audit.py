@@ -73,12 +73,12 @@ class Diagram:
     equal pairs of one level are one node. ``total`` adds the leaves below a node.
     """
 
-    def __init__(self, cells: dict[int, tuple[int, ...]], n_filters: int):
+    def __init__(self, cells: dict[int, tuple[int, ...]], n_filters: int, n_counts: int = 3):
         self.nodes: list[tuple] = []
         self.totals: list[tuple[int, ...]] = []
         self.known: dict = {}
         self.order = list(range(n_filters))
-        self.zero = tuple([0] * len(next(iter(cells.values()), (0,))))
+        self.zero = (0,) * n_counts
         self.root = self._build(cells, 0, 0)
 
     def _build(self, cells, level, mask) -> int:

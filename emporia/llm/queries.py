@@ -22,6 +22,7 @@ from emporia.llm import quality as _quality
 from emporia.llm import shards as _shards
 from emporia.llm import simhash as _simhash
 from emporia.llm import toxicity as _toxicity
+from emporia.llm import variants as _variants
 from emporia.llm.common import bucket, prepare
 from emporia.sources.tables import read_table
 
@@ -147,3 +148,9 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What five filters remove in each of their 120 orders, by language."""
     docs = read_table(prepare(spark), sf_dir, "documents", "doc_id", "text", "lang")
     return _audit.audit_filters(docs, read_table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+
+
+@register("op13_variants")
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents with their near words, form and root."""
+    return _variants.group_variants(read_table(prepare(spark), sf_dir, "documents", "doc_id", "text"))
