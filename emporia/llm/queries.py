@@ -21,6 +21,7 @@ from emporia.llm import pii as _pii
 from emporia.llm import quality as _quality
 from emporia.llm import shards as _shards
 from emporia.llm import simhash as _simhash
+from emporia.llm import suffixes as _suffixes
 from emporia.llm import toxicity as _toxicity
 from emporia.llm import variants as _variants
 from emporia.llm.common import bucket, prepare
@@ -154,3 +155,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of all documents with their near words, form and root."""
     return _variants.group_variants(read_table(prepare(spark), sf_dir, "documents", "doc_id", "text"))
+
+
+@register("op11_suffix_dedup")
+def op11_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings that start in an earlier one."""
+    found = _suffixes.remove_repeats(read_table(prepare(spark), sf_dir, "documents", "doc_id", "text"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
