@@ -1,32 +1,31 @@
 """Licence scan: Dice coefficient over word bigrams against licence templates.
 
-Each line of a text, and each paragraph of several lines, is normalised (lower
-case, runs of letters and digits) and compared with the notices (``TEMPLATES``) by
-``2 |A n B| / (|A| + |B|)`` over their sets of word bigrams. Two sets can only
-reach the threshold t if neither is larger than (2 - t) / t times the other, so a
-segment meets the templates of its size only: an equality join on the size with
-a fixed table of (size, template) pairs, which is small by construction.
-
-A licence that no line or paragraph of a document states by a notice is looked
-for in its passages, by the notices, further ones (``NOTICES``) and the full texts
-in ``license_texts``: the whole text, its lines, paragraphs (lines without a letter or
-digit are blank), sentences, and every window of a template's number of words
-(the whole text if that is shorter); for a template of one sentence the windows
-within each sentence, since the end of a notice and the begin of its repetition
-can look like another one. ``dice`` is then the best passage's, and
-``n_segments`` the most matching segments, or runs of windows that begin at
-neighbouring words, of one template.
+Texts are normalised (lower case, runs of letters and digits) and compared with the
+templates - notices (``TEMPLATES``, ``NOTICES``) and the full texts in
+``license_texts`` - by ``2 |A n B| / (|A| + |B|)`` over their sets of word bigrams.
+What is compared are a text's passages: the whole text, its lines, its paragraphs
+(lines without a letter or digit are blank), its sentences, and every window of a
+template's number of words (the whole text if that is shorter); for a template of
+one sentence the windows within each sentence, since the end of a notice and the
+begin of its repetition can look like another one. Two sets can only reach the
+threshold t if neither is larger than (2 - t) / t times the other, so a passage is
+held against the templates of its size only.
+
+``dice`` is the best passage's. ``n_segments`` is the most passages of one kind
+(text, lines, paragraphs, sentences, windows) that match one template of the
+licence; windows that begin at neighbouring words are one.
 
 To reach t a set must hold t / (2 - t) of the template's bigrams, so it holds one
 of any larger share of them: only texts that hold one of a template's rarest
-bigrams (``anchors``) are cut into segments, only those with enough bigrams of one
-template into windows. No match is lost by this. The windows' sets are counted by a
-running sum: a bigram counts in the windows that begin after its occurrence before.
+bigrams (``anchors``) are kept, and only held against the templates of which they
+hold enough bigrams, which an equality join on the bigram counts. No match is lost by
+this. The windows' sets are counted by a running sum: a bigram counts in the windows
+that begin after its occurrence before.
 
 Built-in functions only. Defined cases: null and empty texts match nothing; a
 segment or template of one word has that word as its only item, and no windows;
-ties keep all licences; repeated rows count as further segments of their document;
-a null id is an id like any other.
+ties keep all licences; segments of repeated rows are added up for their document;
+a null id is an id like any other; other columns aren't read.
 """
 
 from __future__ import annotations
@@ -41,6 +40,8 @@ from pyspark.sql import functions as F
 from emporia.llm.common import staged
 
 THRESHOLD = 0.8
+#: Texts that one task cuts into windows.
+TEXTS_A_TASK = 1000
 
 # Licence notices by SPDX name.
 TEMPLATES = [
@@ -74,7 +75,7 @@ TEMPLATES = [
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 ]
 
-# Notices looked for in passages only.
+# Further notices.
 GNU = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU {}General "
        "Public License as published by the Free Software Foundation; either version {} of the License, or (at your "
        "option) any later version.")
@@ -118,6 +119,11 @@ def template_items(text: str) -> list[str]:
     return list(dict.fromkeys(pairs))
 
 
+def _several(template: str) -> bool:
+    """Has a template more than one sentence?"""
+    return bool(re.search(r"[.!?]\s+\w|\n\W*\n", template.strip()))
+
+
 def size_bounds(size: int, threshold: float) -> list[int]:
     """Sizes of the sets that can reach the threshold with a set of this size."""
     return [k for k in range(1, int(size * 2 / threshold) + 2) if 2 * min(k, size) >= threshold * (k + size)]
@@ -129,20 +135,14 @@ def anchors(own: list[str], threshold: float) -> list[str]:
     return sorted(own, key=lambda p: (sum(w in COMMON for w in p.split()), -len(p)))[:len(own) - least + 1]
 
 
-def segments(text: Column) -> Column:
-    """All lines, and the paragraphs that have more than one line."""
-    paragraphs = F.filter(F.split(text, r"\n[ \t\r]*\n"), lambda p: F.contains(p, F.lit("\n")))
-    return F.concat(F.split(text, "\n"), paragraphs)
-
-
 # Ends of paragraphs (lines without a letter or digit are blank) and of sentences.
 BLANK = r"\n[^\p{L}\p{N}]*\n"
 SENTENCE = BLANK + r"|(?<=[.!?])\s+|(?<=[\u3002\uff01\uff1f])"
 
 
 def passages(text: Column) -> Column:
-    """The whole text, its lines, its paragraphs and their sentences."""
-    return F.concat(F.array(text), F.split(text, "\n"), F.split(text, BLANK), F.split(text, SENTENCE))
+    """Four arrays: the whole text, its lines, its paragraphs and their sentences."""
+    return F.array(F.array(text), F.split(text, "\n"), F.split(text, BLANK), F.split(text, SENTENCE))
 
 
 def words(segment: Column) -> Column:
@@ -168,38 +168,42 @@ def _constant(items: list[str]) -> Column:
     return F.split(F.lit("\n".join(items)), "\n")
 
 
-def _stated(hot: DataFrame, templates, threshold: float) -> DataFrame:
-    """``(doc_id, license, dice)`` of every line and paragraph of several lines that matches."""
-    rows = [(n, name, own) for name, t in templates if (own := template_items(t))
-            for n in size_bounds(len(own), threshold)]
-    known = hot.sparkSession.createDataFrame(rows, "n int, license string, own array<string>")
-    largest = max((r[0] for r in rows), default=0)
-    # bigrams and their size bound stand within the generator: no filter above it computes them again
-    grams = F.filter(F.transform(segments(F.col("text")), bigrams), lambda g: F.size(g).between(1, largest))
-    sets = hot.select("doc_id", F.explode(grams).alias("grams")).withColumn("n", F.size("grams"))
-    shared = F.size(F.array_intersect("grams", "own"))
-    return (sets.join(F.broadcast(known), "n")
-            .select("doc_id", "license", (shared * 2.0 / (F.col("n") + F.size("own"))).alias("dice"))
-            .where(F.col("dice") >= threshold))
+def _candidates(hot: DataFrame, known: DataFrame, items: DataFrame) -> DataFrame:
+    """The kept texts with each template of which they hold enough bigrams.
+
+    ``items`` and ``known`` are the fixed templates, so their broadcasts don't grow with the data.
+    """
+    enough = (hot.select("row", F.explode("held").alias("gram")).join(F.broadcast(items), "gram")
+              .groupBy("row", "t").agg(F.count(F.lit(1)).alias("n_held"))
+              .join(F.broadcast(known.select("t", "least")), "t").where("n_held >= least")
+              .groupBy("row").agg(F.collect_list("t").alias("ts")))
+    return (hot.drop("held").join(enough, "row").withColumn("t", F.explode("ts")).drop("ts")
+            .join(F.broadcast(known), "t"))
 
 
 def _passages(hot: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
-    """``(doc_id, license, dice, n)``: the best passage and the number of passages of a template."""
-    items = known.select("t", F.explode("own").alias("gram"), F.lit(1).alias("own"))
+    """``(doc_id, license, dice, n)`` of each kept text: the best passage and the most matches of one kind."""
+    items = known.select("t", F.explode("own").alias("gram"))
     known = known.withColumn("n_own", F.size("own"))
-    here = hot.join(F.broadcast(known), (F.size("held") >= F.col("least"))
-                    & (F.size(F.array_intersect("held", "own")) >= F.col("least")))
+    # a task for so many texts: windows are far more work than their bytes say
+    tasks = max(8, hot.count() // TEXTS_A_TASK + 1)
+    here = staged(_candidates(hot, known, items).drop("own").repartition(tasks, "row", "t"), "licenses")
+    here = here.join(F.broadcast(known.select("t", "own")), "t")
+    items = items.withColumn("own", F.lit(1))
 
     def dice(shared, size):
         return shared * 2.0 / (size + F.col("n_own"))
 
-    sets = F.transform(passages(F.col("text")), bigrams)
-    near = F.filter(sets, lambda g: F.size(g).between(F.col("least"), F.col("most")))
-    scores = F.filter(F.transform(near, lambda g: dice(F.size(F.array_intersect(g, F.col("own"))), F.size(g))),
-                      lambda d: d >= threshold)
+    def matches(kind):
+        near = F.filter(F.transform(kind, bigrams), lambda g: F.size(g).between(F.col("least"), F.col("most")))
+        return F.filter(F.transform(near, lambda g: dice(F.size(F.array_intersect(g, F.col("own"))), F.size(g))),
+                        lambda d: d >= threshold)
+
+    scores = F.filter(F.transform(passages(F.col("text")), matches), lambda d: F.size(d) > 0)
     whole = (here.select("row", "doc_id", "license", F.explode(F.array(scores)).alias("scores"))
              .where(F.size("scores") > 0)
-             .select("row", "doc_id", "license", F.array_max("scores").alias("dice"), F.size("scores").alias("n")))
+             .select("row", "doc_id", "license", F.array_max(F.flatten("scores")).alias("dice"),
+                     F.array_max(F.transform("scores", lambda d: F.size(d))).alias("n")))
 
     # bigram i counts in the windows that begin after its occurrence before and hold i
     units = F.when(F.col("several"), F.array("text")).otherwise(F.split("text", SENTENCE))
@@ -213,7 +217,7 @@ def _passages(hot: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
             .withColumn("last", F.size("grams") - F.col("wide"))
             .select(*keys, "wide", F.posexplode("grams").alias("i", "gram"))
             .join(F.broadcast(items), ["t", "gram"], "left")
-            .repartition("row", "t")
+            .repartition(tasks, "row", "t")
             .withColumn("before", F.coalesce(F.lag("i").over(at), F.lit(-1)))
             .withColumn("low", F.greatest(F.col("before") + 1, F.col("i") - F.col("wide") + 1))
             .withColumn("high", F.least("i", "last")).where("low <= high"))
@@ -238,18 +242,16 @@ def _passages(hot: DataFrame, known: DataFrame, threshold: float) -> DataFrame:
 
 def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=None, doc_id: str = "doc_id",
                   text: str = "text") -> DataFrame:
-    """``(doc_id, license, dice, n_segments)``: the best match and the number of matching segments.
+    """``(doc_id, license, dice, n_segments)``: the best passage and the number of matching ones (see the module).
 
     ``templates`` replaces the notices and the full texts.
     """
-    notices = TEMPLATES if templates is None else templates
     rows = []
     for t, (name, body) in enumerate(passage_templates() if templates is None else templates):
         if own := template_items(body):
             sizes = size_bounds(len(own), threshold)
             n_words = len(re.findall(r"[^\W_]+", body))
-            several = bool(re.search(r"[.!?]\s+\w|\n\W*\n", body.strip()))
-            rows.append((t, name, own, n_words, several, sizes[0], sizes[-1]))
+            rows.append((t, name, own, n_words, _several(body), sizes[0], sizes[-1]))
     known = docs.sparkSession.createDataFrame(
         rows, "t int, license string, own array<string>, n_words int, several boolean, least int, most int")
     every = sorted({p for r in rows for p in r[2]})
@@ -266,39 +268,64 @@ def scan_licenses(docs: DataFrame, threshold: float = THRESHOLD, templates=None,
            .withColumn("held", F.array_intersect("held", _constant(every)))
            .withColumn("row", F.monotonically_increasing_id()))
     hot = staged(hot, "licenses")
-    stated = _stated(hot, notices, threshold).withColumn("stated", F.lit(True)).withColumn("n", F.lit(1).cast("bigint"))
-    found = stated.unionByName(_passages(hot, known, threshold).withColumn("stated", F.lit(False)))
-
-    def best(of, column):
-        return F.coalesce(of(F.when(F.col("stated"), F.col(column))), of(F.col(column)))
-
-    return (found.groupBy("doc_id", "license")
-            .agg(best(F.max, "dice").alias("dice"), best(F.sum, "n").alias("n_segments")))
+    return (_passages(hot, known, threshold).groupBy("doc_id", "license")
+            .agg(F.max("dice").alias("dice"), F.sum("n").alias("n_segments")))
 
 
 def scan_sql(threshold: float = THRESHOLD) -> str:
-    """The same result in DuckDB SQL over ``documents``."""
-    values = ", ".join("({}, {})".format(*("'" + x.replace("'", "''") + "'" for x in t)) for t in TEMPLATES)
+    """The same result in DuckDB SQL over ``documents``: every passage and window written out and compared."""
+    def quoted(x: str) -> str:
+        return "'" + x.replace("'", "''") + "'"
+
+    rows = [(t, name, body, len(re.findall(r"[^\W_]+", body)), str(_several(body)).lower())
+            for t, (name, body) in enumerate(passage_templates())]
+    values = ", ".join(f"({t}, {quoted(name)}, {quoted(body)}, {n}, {several})" for t, name, body, n, several in rows)
 
     def normal(column: str) -> str:
         return (f"list_filter(string_split(regexp_replace(lower({column}), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'), ' '), "
                 "lambda w: w <> '')")
 
-    pairs = ("list_distinct(case when len(w) > 1 then list_transform(range(1, len(w)), "
-             "lambda i: w[i] || ' ' || w[i + 1]) else w end)")
+    def grams(w: str) -> str:
+        return (f"list_distinct(case when len({w}) > 1 then list_transform(range(1, len({w})), "
+                f"lambda i: {w}[i] || ' ' || {w}[i + 1]) else {w} end)")
+
+    blank = "regexp_replace(text, '\\n[^\\p{L}\\p{N}]*\\n', chr(1), 'g')"
+    ends = (f"regexp_replace(regexp_replace({blank}, '([.!?])[ \\t\\n\\x0B\\f\\r]+', '\\1' || chr(1), 'g'), "
+            "'([\u3002\uff01\uff1f])', '\\1' || chr(1), 'g')")
     return f"""
-with t(license, body) as (values {values}),
-templates as (select license, {pairs} as own from (select license, {normal('body')} as w from t)),
+with templates as materialized (
+  select t, license, {grams('w')} as own, n_words, several
+  from (select t, license, n_words, several, {normal('body')} as w
+        from (values {values}) v(t, license, body, n_words, several))),
+docs as materialized (
+  select row_number() over () as r, doc_id, replace(text, chr(1), ' ') as text from documents where text is not null),
+held as (select r, {grams('w')} as held from (select r, {normal('text')} as w from docs)),
+here as materialized (
+  select r, t from (select r, unnest(held) as gram from held) join (select t, len(own) as n, unnest(own) as gram
+  from templates) using (gram) group by r, t, n having count(*) >= n * {threshold / (2 - threshold) - 1e-9}),
+cut as (
+  select r, doc_id, 'text' as kind, text as passage from docs
+  union all select r, doc_id, 'line', unnest(string_split(text, chr(10))) from docs
+  union all select r, doc_id, 'paragraph', unnest(string_split({blank}, chr(1))) from docs
+  union all select r, doc_id, 'sentence', unnest(string_split({ends}, chr(1))) from docs),
+hot as materialized (
+  select r, doc_id, kind, row_number() over () as unit, {normal('passage')} as w from cut where r in (select r from here)),
 segments as (
-  select doc_id, unnest(string_split(text, chr(10))) as segment from documents where text is not null
-  union all
-  select doc_id, segment from (
-    select doc_id, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')) as segment from documents
-    where text is not null) where contains(segment, chr(10))),
-sets as (select doc_id, {pairs} as grams from (select doc_id, {normal('segment')} as w from segments) where len(w) > 0),
+  select r, doc_id, t, kind, 2.0::double * len(list_intersect({grams('w')}, own)) / (len({grams('w')}) + len(own)) as dice,
+    1 as first from hot join here using (r) join templates using (t) where len(w) > 0),
+starts as (
+  select *, unnest(range(1, greatest(2, len(w) - n_words + 2))) as i from hot join here using (r) join templates using (t)
+  where kind = case when several then 'text' else 'sentence' end and n_words > 1 and len(w) > 1
+   and len(list_intersect({grams('w')}, own)) >= len(own) * {threshold / (2 - threshold) - 1e-9}),
+windows as (
+  select r, doc_id, t, unit, i, 2.0::double * len(list_intersect(g, own)) / (len(g) + len(own)) as dice
+  from (select *, {grams('part')} as g from (select *, list_slice(w, i, i + n_words - 1) as part from starts))),
+runs as (
+  select r, doc_id, t, 'window' as kind, dice,
+    (coalesce(lag(dice) over (partition by r, t, unit order by i), 0) < {threshold})::int as first from windows),
 found as (
-  select doc_id, license, len(list_intersect(grams, own)) * 2.0::double / (len(grams) + len(own)) as dice
-  from sets join templates on len(grams) <= len(own) * {(2 - threshold) / threshold + 0.01}
-    and len(own) <= len(grams) * {(2 - threshold) / threshold + 0.01})
-select doc_id, license, max(dice) as dice, count(*) as n_segments from found where dice >= {threshold}
-group by doc_id, license"""
+  select r, doc_id, license, t, kind, max(dice) as dice, sum(first) as n
+  from (select * from segments union all select * from runs) join templates using (t)
+  where dice >= {threshold} group by r, doc_id, license, t, kind),
+best as (select r, doc_id, license, max(dice) as dice, max(n) as n from found group by r, doc_id, license)
+select doc_id, license, max(dice) as dice, sum(n)::bigint as n_segments from best group by doc_id, license"""

@@ -121,7 +121,7 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("op4_licenses", _licenses.scan_sql())
 def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Licences that each document's lines or paragraphs state, by Dice over word bigrams."""
+    """Licences that each document's passages state, by Dice over word bigrams."""
     return _licenses.scan_licenses(read_table(spark, sf_dir, "documents", "doc_id", "text"))
 
 

@@ -1,39 +1,55 @@
+import random
+import re
+
+import duckdb
+import pandas as pd
+
+from emporia.llm import common
 from emporia.llm import licenses as L
+from emporia.plans.oracle_check import compare
+
+
+def held_against_sql(spark, rows):
+    """The result and its SQL, which writes out every passage and window of the same rows."""
+    con = duckdb.connect()
+    con.register("rows", pd.DataFrame(rows, columns=["doc_id", "text"]).astype({"doc_id": "Int64"}))
+    con.sql("CREATE VIEW documents AS SELECT * FROM rows")
+    found = L.scan_licenses(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3))
+    result = compare(found, con, L.scan_sql())
+    assert result["ok"], result
+    return {(r.doc_id, r.license): (r.dice, r.n_segments) for r in found.collect()}
 
 
-def brute(rows):
-    """Every segment against every template, no bounds."""
-    import re
-    out = {}
-    for i, text in rows:
-        if text is None:
-            continue
-        segs = text.split("\n") + [p for p in re.split(r"\n[ \t\r]*\n", text) if "\n" in p]
-        for s in segs:
-            g = set(L.template_items(s))
-            for name, t in L.TEMPLATES if g else ():
-                own = set(L.template_items(t))
-                dice = 2 * len(g & own) / (len(g) + len(own))
-                if dice >= L.THRESHOLD:
-                    best, n = out.get((i, name), (0, 0))
-                    out[i, name] = max(best, dice), n + 1
-    return out
-
-
-def test_against_brute_force(spark):
-    long_mit = L.TEMPLATES[2][1]
-    half = long_mit.split()
+def test_against_sql(spark):
+    half = L.TEMPLATES[2][1].split()
     rows = [(1, "Some text.\nReleased under the MIT License.\nMore."), (2, "RELEASED!! UNDER!! THE!! MIT!! LICENSE.!!"),
-            (3, long_mit), (4, "x\n\n" + " ".join(half[:30]) + "\n" + " ".join(half[30:]) + "\n\ny"),
+            (3, L.TEMPLATES[2][1]), (4, "x\n\n" + " ".join(half[:30]) + "\n" + " ".join(half[30:]) + "\n\ny"),
             (5, " ".join(half[:20])), (6, "Licensed under CC BY-NC 4.0.\nLicensed under CC BY-NC 4.0."),
             (7, "Licensed under the Apache License, Version 2.0 today."), (8, None), (9, ""), (10, "License"),
             (None, "Licensed under CC BY 4.0."), (1, "Released under the MIT License."),
-            (11, "the the the the MIT license " * 40), (12, "Licensed under the Apache Licence of the MIT.")]
-    df = spark.createDataFrame(rows, "doc_id bigint, text string")
-    got = {(r.doc_id, r.license): (r.dice, r.n_segments) for r in L.scan_licenses(df).collect()}
-    want = brute(rows)
-    assert got == want
-    assert {k for k, _ in got} == {1, 2, 3, 4, 6, 7, None}
+            (11, "the the the the MIT license " * 40), (12, "Licensed under the Apache Licence of the MIT."),
+            (13, "See the file LICENSE. Released under the MIT License. Thanks to all.")]
+    got = held_against_sql(spark, rows)
+    assert got[1, "MIT"] == (1.0, 2) and got[6, "CC-BY-NC-4.0"] == (1.0, 2) and got[13, "MIT"] == (1.0, 1)
+    assert {k for k, _ in got} == {1, 2, 3, 4, 6, 7, 13, None}
+
+
+def test_notices_in_all_places_against_sql(spark):
+    """Notices and full texts with changed words, within lines, over lines, in comment blocks, one after another."""
+    rng = random.Random(1)
+    known = [t for _, t in L.passage_templates()]
+    rows = []
+    for i in range(100):
+        parts = []
+        for _ in range(rng.randrange(1, 6)):
+            w = [rng.choice(["foo", "bar.", "the", "license", "mit!", "x"]) for _ in range(rng.randrange(1, 30))]
+            if rng.random() < 0.4:
+                w = rng.choice(known if rng.random() < 0.2 else known[:-13]).split()
+                for _ in range(rng.randrange(3)):
+                    w[rng.randrange(len(w))] = rng.choice(["x", "the", "license"])
+            parts.append(rng.choice([" ", " ", "\n", "\n# "]).join(w))
+        rows.append((rng.choice([None, i, i // 2]), rng.choice(["\n", " ", "\n\n", ". ", "\n#\n", "。"]).join(parts)))
+    assert len(held_against_sql(spark, rows)) > 50
 
 
 def test_size_bounds_lose_nothing():
@@ -42,10 +58,22 @@ def test_size_bounds_lose_nothing():
         assert ok == [k for k in range(1, 400) if 2 * min(k, size) / (k + size) >= 0.8]
 
 
-def test_plan_is_native_and_joins_on_the_size(spark):
+def test_plans_are_native_and_join_on_keys(spark, monkeypatch):
+    """Of the last query and of each table that is written before it."""
+    seen = []
+
+    def staged(df, name):
+        seen.append(df._jdf.queryExecution().executedPlan().toString())
+        return common.staged(df, name)
+
+    monkeypatch.setattr(L, "staged", staged)
     df = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    plan = L.scan_licenses(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Python" not in plan and "Arrow" not in plan and "BroadcastHashJoin" in plan and "Cartesian" not in plan
+    seen.append(L.scan_licenses(df)._jdf.queryExecution().executedPlan().toString())
+    assert len(seen) == 3
+    for plan in seen:
+        for node in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop"):
+            assert node not in plan, node
+    assert "BroadcastHashJoin" in seen[1]
 
 
 def test_defined_cases(spark, odd_docs, no_docs):
@@ -56,7 +84,6 @@ def test_defined_cases(spark, odd_docs, no_docs):
 
 def test_query_against_its_sql(spark, duck):
     from emporia.llm.queries import ORACLE, QUERIES
-    from emporia.plans.oracle_check import compare
 
     result = compare(QUERIES["op4_licenses"](spark, "/root/testdata/sf0.001"), duck, ORACLE["op4_licenses"])
     assert result["ok"] and result["spark_rows"] > 0, result
@@ -64,7 +91,6 @@ def test_query_against_its_sql(spark, duck):
 
 def brute_windows(text, template):
     """Best Dice over every window of the template's words, and the runs of neighbouring windows that match."""
-    import re
     w, k = re.findall(r"[^\W_]+", text.lower()), len(re.findall(r"[^\W_]+", template))
     own = set(L.template_items(template))
     dices = []
@@ -99,7 +125,6 @@ def test_notices_within_other_words(spark):
 
 
 def test_windows_against_brute_force(spark):
-    import random
     rng = random.Random(3)
     template = "a b c d e a b f g h i j k l m n o p"
     rows = []
@@ -115,11 +140,8 @@ def test_windows_against_brute_force(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
     got = {r.doc_id: (r.dice, r.n_segments) for r in L.scan_licenses(df, templates=[("T", template)]).collect()}
     want = {i: brute_windows(text, template) for i, text in rows}
-    whole = {i for (i, _) in _lines(rows, template)}
-    assert {i for i in got if i not in whole} == {i for i, (d, _) in want.items() if d >= L.THRESHOLD and i not in whole}
-    assert all(got[i] == want[i] for i in got if i not in whole) and len(set(got) - whole) > 20
-
-
-def _lines(rows, template):
+    # the text, its line, its paragraph and its sentence are one passage here
     own = set(L.template_items(template))
-    return [(i, t) for i, t in rows if 2 * len(own & (g := set(L.template_items(t)))) / (len(own) + len(g)) >= L.THRESHOLD]
+    whole = {i: 2 * len(own & (g := set(L.template_items(t)))) / (len(own) + len(g)) for i, t in rows}
+    want = {i: (max(d, whole[i]), max(n, int(whole[i] >= L.THRESHOLD))) for i, (d, n) in want.items()}
+    assert got == {i: w for i, w in want.items() if w[0] >= L.THRESHOLD} and len(got) > 20
