@@ -207,6 +207,36 @@ def q_lake_promote_replays(spark, sf_dir):
     return lake.read("processed", "transactions").select(*src.columns, "ingest_date")
 
 
+@register("lake_as_of", _W + """
+SELECT *, DATE '2031-01-01' AS ingest_date FROM weblogs""")
+def q_lake_as_of(spark, sf_dir):
+    """All events are promoted, then the day lands again without every fifth and is promoted again; the first
+    version still holds all."""
+    src = weblogs(spark, sf_dir)
+    lake = Lake(spark, scratch_path(spark, "lake"))
+    lake.ingest_raw("weblogs", src, date="2031-01-01")
+    first = lake.promote("weblogs", src.schema)
+    lake.ingest_raw("weblogs", src.where("event_id % 5 <> 0"), date="2031-01-01")
+    lake.promote("weblogs", src.schema, date="2031-01-01")
+    return lake.as_of("weblogs", first)
+
+
+@register("lake_lookup_customer", _W + """
+SELECT *, CAST("timestamp" AS DATE) AS ingest_date FROM weblogs
+WHERE customer_id IN (SELECT customer_id FROM weblogs WHERE customer_id IS NOT NULL
+                      GROUP BY customer_id ORDER BY count(*) DESC, customer_id LIMIT 1)""")
+def q_lake_lookup_customer(spark, sf_dir):
+    """All rows of the most active customer: the promoted days are clustered by customer, and only files whose
+    range and Bloom filter admit the id are read."""
+    lake, schema = _lake_with_weblogs(spark, sf_dir)
+    lake.promote("weblogs", schema)
+    rows = lake.read("processed", "weblogs")
+    most = (rows.where("customer_id IS NOT NULL").groupBy("customer_id").count()
+            .orderBy(F.desc("count"), "customer_id").limit(1).collect())
+    lake.cluster("weblogs", n_files=spark.sparkContext.defaultParallelism)
+    return lake.lookup("weblogs", [r.customer_id for r in most])
+
+
 @register("publish_views", _REV_BY_CAT)
 def q_publish_views(spark, sf_dir):
     from emporia.plans.publish import publish_table

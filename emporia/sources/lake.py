@@ -10,6 +10,11 @@ when a day is read. Re-ingesting a day replaces that day and nothing else.
 * quarantine zone: rejected records, Parquet, with one schema for batch and
   stream: ``key``, ``raw_value`` (the text as landed), ``reject_reason``.
 
+The processed and quarantine zones of a source are one snapshot table
+(``emporia.sources.snapshots``) under ``<root>/snapshots/<source>``: a promotion is
+one commit of both, readers see it whole or not at all, and earlier versions stay
+readable. Only the raw zone has the folders above.
+
 Streams land in ``<root>/stream/<zone>/<source>``: the streaming file sink keeps
 a log of its own there, which batch writers must not touch and readers of a
 shared folder would take for the whole truth. ``read`` unites both folders.
@@ -29,9 +34,14 @@ from pyspark.sql import types as T
 from emporia.schemas import RECORD_KEY, SOURCES, check_source
 from emporia.session import scratch_path
 from emporia.sources.files import CORRUPT, TEXT_TIME_OPTIONS, encode_json_column, with_corrupt_column
+from emporia.sources.snapshots import Change, Snapshots
 
 ZONES = ("raw", "processed", "quarantine")
 PART = "ingest_date"
+QUARANTINE = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "raw_value", "reject_reason")]
+                          + [T.StructField(PART, T.DateType())])
+#: Id columns that the files of the snapshot tables are described by.
+CUSTOMER = "customer_id"
 
 
 def _as_date_col(date) -> Column:
@@ -131,25 +141,24 @@ class Lake:
     def _fmt(self, zone: str) -> str:
         return self.raw_format if zone == "raw" else "parquet"
 
-    def _write(self, df: DataFrame, zone: str, source: str, whole: bool = False) -> None:
-        """Replace the days of ``df``, or with ``whole`` the zone."""
+    def snapshots(self, source: str) -> Snapshots:
+        """The versions of a source's processed and quarantine zones."""
+        source = check_source(source)
+        ids = tuple(c for c in (RECORD_KEY[source], CUSTOMER) if c)
+        return Snapshots(self.spark, f"{self.root}/snapshots/{source}", PART, ids)
+
+    def _write(self, df: DataFrame, zone: str, source: str) -> None:
+        """Replace the days of ``df``."""
         # ``rebalance`` on the day: small days get one file, a hot day is split
         # across tasks by AQE (no single task writes a 2 TB day).
         w = (df.hint("rebalance", PART).write.mode("overwrite")
-               .option("partitionOverwriteMode", "static" if whole else "dynamic")
+               .option("partitionOverwriteMode", "dynamic")
                .partitionBy(PART)
                .format(self._fmt(zone)))
         if self._fmt(zone) != "parquet":
             w = w.options(**TEXT_TIME_OPTIONS)
         w.save(self.path(zone, source))
 
-    def _write_day(self, df: DataFrame, zone: str, source: str, day: str) -> None:
-        """Replace one day, also by nothing."""
-        w = df.drop(PART).hint("rebalance").write.mode("overwrite").format(self._fmt(zone))
-        if self._fmt(zone) != "parquet":
-            w = w.options(**TEXT_TIME_OPTIONS)
-        w.save(f"{self.path(zone, source)}/{PART}={day}")
-
     def ingest_raw(self, source: str, df: DataFrame, date=None) -> None:
         """Land records of one source. ``date``: a day (str/date), a column
         giving each record's day (e.g. ``F.col("timestamp")``), or None for today."""
@@ -166,11 +175,13 @@ class Lake:
         return fs.exists(p)
 
     def exists(self, zone: str, source: str) -> bool:
+        if zone != "raw" and self.snapshots(source).files(zone) is not None:
+            return True
         return self._present(self.path(zone, source)) or self._present(self.stream_path(zone, source))
 
     def dates(self, zone: str, source: str) -> list[str]:
-        """Days present, from the folders' names (no row is read)."""
-        found = set()
+        """Days present, from the folders' names and the manifests (no row is read)."""
+        found = set() if zone == "raw" else set(self.snapshots(source).days(zone))
         for path in (self.path(zone, source), self.stream_path(zone, source)):
             fs, p = self._fs(path)
             if fs.exists(p):
@@ -179,25 +190,36 @@ class Lake:
         return sorted(found)
 
     def read(self, zone: str, source: str, schema: T.StructType | None = None,
-             date=None) -> DataFrame:
+             date=None, version: int | None = None) -> DataFrame:
         """A zone of one source, batch and stream landings together, optionally
-        one day (a partition filter that prunes folders). A missing zone gives
-        an empty DataFrame with the schema."""
+        one day (only that day's folders or files are read). A missing zone gives
+        an empty DataFrame with the schema. ``version`` reads the processed or
+        quarantine zone as of an earlier commit (what streams landed isn't versioned)."""
         fmt = self._fmt(zone)
         full = None
         if schema is not None:
             full = T.StructType([f for f in schema.fields if f.name != PART]
                                 + [T.StructField(PART, T.DateType())])
+        parts = []
+        if zone != "raw":
+            if zone not in ZONES:
+                raise ValueError(f"unknown zone {zone!r}")
+            done = self.snapshots(source).read(zone, version, None if date is None else _as_date_col(date))
+            if done is not None:
+                parts.append(done if full is None else done.select(*[
+                    (F.col(f.name) if f.name in done.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                    for f in full.fields]))
+        elif version is not None:
+            raise ValueError("the raw zone has no versions")
         paths = [p for p in (self.path(zone, source), self.stream_path(zone, source)) if self._present(p)]
-        if not paths:
+        if not paths and not parts:
             if full is None:
                 raise FileNotFoundError(self.path(zone, source))
             return self.spark.createDataFrame([], full)
         if full is None and zone == "quarantine":
-            full = T.StructType.fromDDL(f"key string, raw_value string, reject_reason string, {PART} date")
-        elif full is None and not self.dates(zone, source):
+            full = QUARANTINE
+        elif full is None and paths and not self.dates(zone, source):
             full = T.StructType(SOURCES[check_source(source)].fields + [T.StructField(PART, T.DateType())])
-        parts = []
         for path in paths:
             reader = self.spark.read.format(fmt)
             if fmt == "parquet" and full is not None:
@@ -206,11 +228,31 @@ class Lake:
                 reader = reader.options(**TEXT_TIME_OPTIONS)
                 if full is not None:
                     reader = reader.schema(full).option("columnNameOfCorruptRecord", CORRUPT)
-            parts.append(reader.load(path))
-        df = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-        if date is not None:
-            df = df.filter(F.col(PART) == _as_date_col(date))
-        return df
+            landed = reader.load(path)
+            parts.append(landed if date is None else landed.filter(F.col(PART) == _as_date_col(date)))
+        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+    def as_of(self, source: str, version: int, zone: str = "processed") -> DataFrame:
+        """A zone as the commit of that number left it."""
+        found = self.snapshots(source).read(zone, version)
+        if found is None:
+            raise ValueError(f"version {version} of {source!r} has no zone {zone!r}")
+        return found
+
+    def lookup(self, source: str, values: list, column: str = CUSTOMER, zone: str = "processed") -> DataFrame:
+        """Rows of some customers (or record ids): reads only the files that can hold them."""
+        return self.snapshots(source).lookup(zone, column, values)
+
+    def cluster(self, source: str, n_files: int, column: str = CUSTOMER, zone: str = "processed") -> int:
+        """Write a zone's rows again in ``n_files`` ranges of (day, column), as one commit; the rows stay the same.
+
+        Lookups by the column then read about one file a day. Returns the new version.
+        """
+        snapshots = self.snapshots(source)
+        base = snapshots.version()
+        rows = snapshots.read(zone, base)
+        adds = snapshots.write_files(zone, rows, cluster_by=column, n_files=n_files)
+        return snapshots.commit("cluster", {zone: Change(adds, snapshots.files(zone, base))}, base)
 
     def partitions(self, zone: str, source: str, schema: T.StructType | None = None) -> DataFrame:
         """Days present with their row counts (reads the rows; ``dates`` doesn't)."""
@@ -218,7 +260,7 @@ class Lake:
                 .agg(F.count(F.lit(1)).alias("rows")).orderBy(PART))
 
     def promote(self, source: str, schema: T.StructType | None = None, date=None,
-                order: list[str] | None = None) -> None:
+                order: list[str] | None = None) -> int:
         """Raw -> processed: trim, validate and keep one version of each record.
 
         Rejects go to quarantine with the text as landed: lines that don't
@@ -230,10 +272,15 @@ class Lake:
         are separate lines.
 
         Without ``date`` the whole zone is replaced; with it that day, and the
-        earlier days' records that it supersedes are taken out. Either way a day
-        that has become empty is emptied. The raw text is parsed once, into a
-        work table in the shared scratch folder.
+        earlier days' records that it supersedes are taken out: the files that
+        hold one are written again without them, in one job for all days. Either
+        way a day that has become empty is emptied. Both zones change in one commit,
+        so readers meet the state before or after it, and a job that dies
+        changes nothing. The raw text is parsed once, into a work table in the
+        shared scratch folder. Returns the version.
         """
+        snapshots = self.snapshots(source)
+        base = snapshots.version()
         raw = self.read("raw", source, None if schema is None else with_corrupt_column(schema), date)
         bad_line = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
         cols = [c for c in raw.columns if c != CORRUPT]
@@ -259,24 +306,32 @@ class Lake:
         if key:
             by = order or [c for c in ("timestamp",) if c in good.columns]
             good = dedup_latest(good.drop("__id"), key, [PART] + by).withColumn("__id", F.col(key))
-        if date is None:
-            self._write(good.drop("__id").select(*cols), "processed", source, whole=True)
-            self._write(bad, "quarantine", source, whole=True)
-            return
-        day = self.spark.range(1).select(_as_date_col(date).alias("d")).first().d.isoformat()
-        if self._present(self.path("processed", source)) and any(
-                d != day for d in self.dates("processed", source)):
-            done = self.spark.read.parquet(self.path("processed", source)).select(*cols)
-            done = done.withColumn("__id", F.col(key) if key else F.sha2(
-                encode_json_column(done, [c for c in cols if c != PART]), 256))
-            later = done.filter(F.col(PART) > F.lit(day).cast("date")).select("__id")
-            good = good.join(later, "__id", "left_anti")
+        good_schema = T.StructType([good.schema[c] for c in cols])
+        gone, gone_bad = snapshots.files("processed", base), snapshots.files("quarantine", base)
+        kept = None
+        if date is not None and gone is not None:
+            day = self.spark.range(1).select(_as_date_col(date).alias("d")).first().d
+            others, gone, gone_bad = gone.where(F.col("day") != day), gone.where(F.col("day") == day), gone_bad.where(
+                F.col("day") == day)
+
+            def known(files: DataFrame) -> DataFrame:
+                rows = snapshots.read_files(files, good_schema)
+                return rows.withColumn("__id", F.col(key) if key else F.sha2(
+                    encode_json_column(rows, [c for c in cols if c != PART]), 256))
+
+            earlier = others.where(F.col("day") < day)
+            good = good.join(known(others.where(F.col("day") > day)).select("__id"), "__id", "left_anti")
             ids = good.select("__id").distinct()
-            hit = done.filter(F.col(PART) < F.lit(day).cast("date")).join(ids, "__id", "left_semi")
-            for r in hit.select(PART).distinct().collect():  # days that hold a superseded record
-                kept = scratch_path(self.spark, f"kept-{source}")
-                (done.filter(F.col(PART) == F.lit(r[0])).join(ids, "__id", "left_anti").drop("__id")
-                 .write.parquet(kept))
-                self._write_day(self.spark.read.parquet(kept), "processed", source, r[0].isoformat())
-        self._write_day(good.drop("__id").select(*cols), "processed", source, day)
-        self._write_day(bad, "quarantine", source, day)
+            hit = (known(earlier).select("__id", F.col("_metadata.file_path").alias("path"))
+                   .join(ids, "__id", "left_semi").select("path").distinct()) if not earlier.isEmpty() else None
+            if hit is not None:
+                path = scratch_path(self.spark, f"superseded-{source}")
+                hit.write.parquet(path)
+                hit = earlier.join(self.spark.read.schema(hit.schema).parquet(path), "path", "left_semi")
+                kept = known(hit).join(ids, "__id", "left_anti").select(*cols)
+                gone = gone.unionByName(hit)
+        good = good.select(*cols)
+        adds = snapshots.write_files("processed", good if kept is None else good.unionByName(kept))
+        return snapshots.commit("promote", {
+            "processed": Change(adds, gone, good_schema),
+            "quarantine": Change(snapshots.write_files("quarantine", bad), gone_bad, QUARANTINE)}, base)

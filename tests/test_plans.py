@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry
+from emporia.plans import registry
 from tests.conftest import SF_SMALL
 
 # Streams and round trips execute jobs while they are built; their read-back
@@ -15,7 +16,7 @@ def plan_of(df):
 
 
 def analytic_names():
-    return sorted(n for n in entry.queries() if not n.startswith(SKIP_PREFIXES))
+    return sorted(n for n in registry.queries() if not n.startswith(SKIP_PREFIXES))
 
 
 @pytest.mark.parametrize("name", analytic_names())
