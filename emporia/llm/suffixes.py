@@ -53,14 +53,22 @@ def _ranked(*keys: np.ndarray) -> np.ndarray:
     for key in keys[1:]:
         width = int(key.max(initial=0)) + 1
         if int(packed.max(initial=0)) >= (1 << 62) // width:
-            packed = np.unique(packed, return_inverse=True)[1]
+            packed = _ranked(packed)
         packed = packed * width + key
-    return np.unique(packed, return_inverse=True)[1]
+    if int(packed.max(initial=0)) < 4 * len(packed) + 1024:         # few values: count instead of sorting
+        there = np.bincount(packed) > 0
+        return (np.cumsum(there) - 1)[packed]
+    order = np.argsort(packed)
+    found = packed[order]
+    rank = np.empty(len(packed), np.int64)
+    rank[order] = np.cumsum(np.concatenate([[False], found[1:] != found[:-1]]))
+    return rank
 
 
 def _less(ranks: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """How many of ``among`` are smaller than each rank."""
-    return np.searchsorted(np.sort(among), ranks, "left")
+    """How many of ``among`` are smaller than each rank (ranks are not much larger than their number)."""
+    size = int(max(ranks.max(initial=0), among.max(initial=0))) + 1
+    return (np.cumsum(np.bincount(among, minlength=size)) - np.bincount(among, minlength=size))[ranks]
 
 
 def positions(symbols: np.ndarray, depth: int) -> np.ndarray:
@@ -75,6 +83,8 @@ def positions(symbols: np.ndarray, depth: int) -> np.ndarray:
     end = n + (n % 3 == 1)                       # a triple of end marks parts the two halves of the recursion
     one, two, rest = np.arange(1, end, 3), np.arange(2, end, 3), np.arange(0, n, 3)
     sample = np.concatenate([one, two])
+    if t.max() > 4 * n:                         # symbols as ranks, so that few of them make few triples
+        t[:n] = _ranked(symbols) + 1
     names = _ranked(t[sample], t[sample + 1], t[sample + 2]) + 1
     if depth > 3 and names.max() < len(names):
         names = positions(names, -(-depth // 3)) + 1
@@ -121,11 +131,12 @@ def least_owner(runs: list[bytes], owner: np.ndarray, length: int) -> tuple[np.n
     sizes = np.array([len(r) for r in runs], np.int64)
     begin = np.cumsum(sizes + 1) - sizes - 1
     text = np.frombuffer(b"\0".join(runs) + b"\0", np.uint8)
-    symbols = text.astype(np.int64) + 2
-    symbols[begin + sizes] = 1
+    symbols = text.astype(np.int64) + 1
+    symbols[begin + sizes] = 0
+    symbols = _ranked(symbols) + 1
     place = positions(symbols, length)
     starts = _ragged(begin, sizes - length + 1)
-    order = np.argsort(place[starts], kind="stable")
+    order = np.argsort(place[starts])
     starts = starts[order]
     group = np.flatnonzero(np.concatenate([[True], ~_adjacent_equal(text, starts, length)]))
     owners = np.repeat(owner, sizes - length + 1)[order]
