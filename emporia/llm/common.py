@@ -58,6 +58,14 @@ def bucket(column: Column | str, modulus: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % modulus
 
 
+def fit_passage(text: str, most: int, seed: str) -> Column:
+    """For a fit alone: a text of at most ``most`` characters, or so many of a longer one, from a place that the hash of
+    its ``doc_id`` tells. So no class drops out of a bounded sample because its texts are long."""
+    n = F.length(text)
+    start = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.greatest(n - most + 1, F.lit(1))).cast("int") + 1
+    return F.when(n > most, F.substring(F.col(text), start, F.lit(most))).otherwise(F.col(text))
+
+
 def utf8_buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts end to end, and where each begins (one more at the end)."""
     texts = pc.fill_null(texts, "").cast(pa.large_string())

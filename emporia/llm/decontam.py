@@ -12,10 +12,9 @@ its answer (fewer words: the whole sequence).
 
 Words are runs of letters and digits, lower-cased, so marks around a word don't
 hide a leak. Defined cases: null or wordless texts leak nothing; wordless items
-are never found; repeated items and rows are reported like any other; an item of
+are never found; an item without an id is found as a null; repeated items and rows are reported like any other; an item of
 one sentence is a question without an answer. A benchmark with more than
-``INDEX_PIECES`` pieces is searched in several passes, each with an index of
-that bound.
+``INDEX_PIECES`` pieces is searched index after index, each of that bound.
 """
 
 from __future__ import annotations
@@ -25,6 +24,7 @@ import re
 from bisect import bisect_left
 from collections import Counter
 from collections.abc import Iterable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, LongType, StructField
 
 from emporia.llm.common import staged, strings, with_columns
+from emporia.session import scratch_path
 
 PIECE = 64
 BLOCK = 4
@@ -157,7 +158,7 @@ class Index:
             for piece, _ in self.retrieve(terms) if len(terms) else ():
                 if not out.issuperset(self.items[piece]) and self.verified(piece, ids, k * PIECE):
                     out.update(self.items[piece])
-        return sorted(out)
+        return sorted(out, key=lambda i: (i is None, i or 0))
 
 
 def grams_of(seq: list[int], n: int) -> set[tuple]:
@@ -177,16 +178,29 @@ def _pieces(rows: Iterable) -> Iterable[tuple]:
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, name: str = "items", text: str = "text",
                threshold: float = THRESHOLD, index_pieces: int = INDEX_PIECES) -> DataFrame:
-    """``docs`` with the ids of the benchmark items that each whole text contains (empty: none)."""
+    """``docs`` with the ids of the benchmark items that each whole text contains (empty: none).
+
+    An item without an id stands in the result as a null. An index holds at most ``index_pieces`` pieces and is a
+    broadcast of bounded size; a benchmark of one index is searched in place, a larger one index after index, each a job
+    of its own that writes (digest of the text, ids) of what it found and lets its index go. Plan and memory are the
+    same for any number of items.
+    """
     spark = docs.sparkSession
     distinct = staged(benchmark.where("text is not null").groupBy("text")
-                      .agg(F.collect_set("item_id").alias("items")).where(F.size("items") > 0).orderBy("text"), "items")
-    out = docs.withColumn(name, F.array().cast("array<bigint>"))
-    held: list[tuple] = []
-
-    def search(out, pieces):
-        shared = spark.sparkContext.broadcast(Index(pieces, threshold))
-
+                      .agg(F.transform(F.collect_set(F.struct("item_id")), lambda i: i["item_id"]).alias("items"))
+                      .orderBy("text"), "items")
+
+    def indexes():
+        held: list[tuple] = []
+        for piece in _pieces(distinct.toLocalIterator()):
+            held.append(piece)
+            if len(held) == index_pieces:
+                yield Index(held, threshold)
+                held = []
+        if held:
+            yield Index(held, threshold)
+
+    def search(df, shared):
         def make():
             index = shared.value
 
@@ -194,11 +208,24 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, name: str = "items", text:
                 return [pa.array([index.leaks(t) for t in strings(texts)], pa.list_(pa.int64()))]
             return apply
 
-        found = with_columns(out, [StructField("__found", ArrayType(LongType()))], make, text)
-        return found.withColumn(name, F.array_sort(F.array_union(name, "__found"))).drop("__found")
-
-    for piece in _pieces(distinct.toLocalIterator()):
-        held.append(piece)
-        if len(held) == index_pieces:
-            out, held = search(out, held), []
-    return search(out, held) if held else out
+        return with_columns(df, [StructField(name, ArrayType(LongType()))], make, text)
+
+    todo = indexes()
+    first, second = next(todo, None), next(todo, None)
+    if first is None:
+        return docs.withColumn(name, F.array().cast("array<bigint>"))
+    if second is None:
+        return search(docs, spark.sparkContext.broadcast(first))
+    path = scratch_path(spark, "leaks")
+    digest, leaks = (f"{c}_{path[-12:]}" for c in ("digest", "leaks"))       # names that no table of the caller has
+    key = F.sha2(F.col(f"`{text}`").cast("binary"), 256).alias(digest)
+    for index in chain((first, second), todo):
+        shared = spark.sparkContext.broadcast(index)
+        (search(docs.select(F.col(f"`{text}`")), shared).where(F.size(name) > 0).select(key, F.col(name).alias(leaks))
+         .dropDuplicates([digest]).write.mode("append").parquet(path))
+        shared.destroy()
+    found = (spark.read.schema(f"{digest} string, {leaks} array<bigint>").parquet(path).groupBy(digest)
+             .agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(leaks)))).alias(leaks)))
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c != name], key)
+    return (kept.join(found, digest, "left")
+            .withColumn(name, F.coalesce(leaks, F.array().cast("array<bigint>"))).drop(digest, leaks))

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField
 
-from emporia.llm.common import bucket, strings, with_columns
+from emporia.llm.common import bucket, fit_passage, strings, with_columns
 
 MAX_N = 3
 #: At most so many texts of a language fit the model, and only those up to this length ...
@@ -163,20 +163,22 @@ def fit_language(docs: DataFrame, modulus: int = 4, held_out: int = 2, rows: int
     """Fit on at most ``rows`` texts of each language.
 
     Rows whose crc32(doc_id) mod ``modulus`` is ``held_out`` are never learned
-    from. The sample is the ids with the smallest hashes of each language.
+    from. The sample is the ids with the smallest hashes of each language; of a text
+    of more than FIT_CHARS characters so many are learned, whatever its language.
     """
     known = (docs.where(F.col("lang").isNotNull() & (bucket("doc_id", modulus) != held_out))
              .select("doc_id", "lang", F.xxhash64("doc_id", F.lit("language")).alias("h")))
     counts = known.groupBy("lang").count()
     # a little more than `rows` ids of each language by the hash, so that the exact choice is among few
     share = F.least(F.lit(1.0), F.lit(4.0 * rows) / F.col("count"))
-    few = (known.join(counts, "lang").where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
+    # one row a language, so they may be broadcast: ids are filtered where they are read, not brought together by language
+    few = (known.join(F.broadcast(counts), "lang").where(F.pmod("h", F.lit(1 << 30)) < share * (1 << 30))
            .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
            .where(F.col("place") <= rows).select("doc_id", "lang", "h"))
     n_languages = counts.count()
     # at most rows * languages ids: their size is known, so they may be broadcast
-    found = (docs.select("doc_id", "text", F.col("lang").alias("__lang"))
-             .where(F.length("text") <= FIT_CHARS).join(F.broadcast(few), "doc_id")
+    found = (docs.select("doc_id", fit_passage("text", FIT_CHARS, "language").alias("text"), F.col("lang").alias("__lang"))
+             .where("text IS NOT NULL").join(F.broadcast(few), "doc_id")
              .where("__lang = lang").orderBy("h", "doc_id", "text").limit(rows * max(1, n_languages))
              .select("lang", "text").collect())
     found = [r for r in found if any(c.isalpha() for c in r.text)]

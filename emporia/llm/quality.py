@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, StructField
 
-from emporia.llm.common import bucket, text_steps, utf8_buffers, with_columns
+from emporia.llm.common import bucket, fit_passage, text_steps, utf8_buffers, with_columns
 
 PASSAGE_WORDS = 64
 #: At most so many labelled documents of each class fit the model ...
@@ -218,7 +218,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modu
 
     Rows whose crc32(doc_id) mod ``modulus`` is ``held_out`` are never learned
     from. The sample is the ids with the smallest hashes, so it does not depend
-    on the partitioning.
+    on the partitioning. Of a text of more than FIT_CHARS characters so many are
+    learned.
     """
     known = (labels.where(F.col(label).isNotNull() & (bucket("doc_id", modulus) != held_out))
              .groupBy("doc_id").agg((F.avg(label) >= 0.5).cast("int").alias("target")))
@@ -226,8 +227,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, label: str = "quality", modu
     picked = [known.where(F.col("target") == k).orderBy(*order).limit(rows) for k in (0, 1)]
     # at most 2 * rows pairs of numbers: their size is known, so they may be broadcast
     sample = F.broadcast(picked[0].unionByName(picked[1]))
-    found = (docs.select("doc_id", "text")
-             .where(F.length("text") <= FIT_CHARS).join(sample, "doc_id").select("target", "text")
+    found = (docs.select("doc_id", fit_passage("text", FIT_CHARS, "quality").alias("text"))
+             .where("text IS NOT NULL").join(sample, "doc_id").select("target", "text")
              .mapInArrow(_encoded, "target int, x binary")
              # copies of an id would break the bound; the order makes the fit repeatable
              .orderBy(F.xxhash64("x"), "target").limit(2 * rows).collect())

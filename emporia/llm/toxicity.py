@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, IntegerType, StructField
 
-from emporia.llm.common import bucket, strings, with_columns
+from emporia.llm.common import bucket, fit_passage, strings, with_columns
 
 GRADES = 3
 #: At most so many labelled documents, toxic and clean, fit the model, up to this length each.
@@ -153,7 +153,10 @@ class SeverityModel:
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", graded: bool = False,
                  modulus: int = 5, held_out: int | None = 0) -> SeverityModel:
-    """Fit on at most FIT_TOXIC toxic and FIT_CLEAN clean labelled documents, by the smallest hashes of their ids."""
+    """Fit on at most FIT_TOXIC toxic and FIT_CLEAN clean labelled documents, by the smallest hashes of their ids.
+
+    Of a text of more than FIT_CHARS characters so many are learned.
+    """
     known = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
     if held_out is not None:
         known = known.where(bucket("doc_id", modulus) != held_out)
@@ -162,7 +165,8 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", grade
     # a bounded number of ids, so they may be broadcast
     sample = F.broadcast(known.where("target > 0").orderBy(*order).limit(FIT_TOXIC).unionByName(
         known.where("target <= 0").orderBy(*order).limit(FIT_CLEAN)))
-    found = (docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARS).join(sample, "doc_id")
+    found = (docs.select("doc_id", fit_passage("text", FIT_CHARS, "toxicity").alias("text"))
+             .where("text IS NOT NULL").join(sample, "doc_id")
              .orderBy(F.xxhash64("doc_id", "text")).limit(FIT_TOXIC + FIT_CLEAN).select("target", "text").collect())
     return SeverityModel().fit([r.text for r in found], np.array([r.target for r in found], int), graded)
 

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from emporia.llm import decontam as D
 
@@ -85,3 +86,26 @@ def test_defined_cases(spark, odd_docs, no_docs):
     assert all(r["items"] == ([4, 5] if (r.text or "").startswith("The quick") else []) for r in rows)
     assert D.find_leaks(no_docs, bench).count() == 0
     assert {len(r["items"]) for r in D.find_leaks(odd_docs, bench.where("false")).collect()} == {0}
+
+
+@pytest.mark.parametrize("bound", [512, 1])
+def test_items_without_an_id_are_found(spark, bound):
+    text = "which of these numbers is the largest prime below one hundred? it is ninety seven of course"
+    docs = spark.createDataFrame([(1, f"before it {text} and after"), (2, "nothing of the kind"), (3, None)],
+                                 "doc_id bigint, text string")
+    bench = spark.createDataFrame([(None, text), (7, text), (None, "some other words that stand nowhere at all"),
+                                   (9, "and one more that nobody ever wrote down")], "item_id bigint, text string")
+    got = {r.doc_id: r["items"] for r in D.find_leaks(docs, bench, index_pieces=bound).collect()}
+    assert got == {1: [7, None], 2: [], 3: []}
+    only = D.find_leaks(docs, bench.where("item_id IS NULL"), index_pieces=bound)
+    assert [r.doc_id for r in only.where(F.size("items") == 0).collect()] == [2, 3]
+
+
+def test_plan_does_not_grow_with_the_benchmark(spark):
+    items, docs = _corpus(60, 10)
+    plans = []
+    for n in (20, 60):
+        found = D.find_leaks(spark.createDataFrame(docs, "doc_id bigint, text string"),
+                             spark.createDataFrame(items[:n], "item_id bigint, text string"), index_pieces=5)
+        plans.append(found._jdf.queryExecution().executedPlan().toString().count("+-"))
+    assert plans[0] == plans[1]

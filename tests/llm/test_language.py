@@ -69,3 +69,33 @@ def test_held_out_accuracy(spark, sf):
     rows = QUERIES["op1_language"](spark, sf).join(
         spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.98
+
+
+def test_a_language_of_long_texts_is_learned(spark):
+    """All texts of one class are longer than the bound of the fit."""
+    rows = [(i, "de", "der hund und die katze sind nicht im haus gewesen " * 2) for i in range(200)]
+    rows += [(1000 + i, "en", "the dog and the cat were not inside of the house " * 190) for i in range(200)]
+    df = spark.createDataFrame(rows, "doc_id bigint, lang string, text string")
+    model = L.fit_language(df)
+    assert model.languages == ["de", "en"]
+    found = L.predict_language(df, model)
+    assert found.where("lang = lang_pred").count() == 400
+
+
+def test_no_language_is_brought_together_in_one_task(spark, monkeypatch):
+    """Even where nothing is small enough to be broadcast by its size, ids meet the counts without a shuffle."""
+    seen = []
+    df = spark.createDataFrame([(i, "xy"[i % 2], "some words") for i in range(50)], "doc_id bigint, lang string, text string")
+    real = type(df).collect
+
+    def collect(frame):
+        seen.append(frame._jdf.queryExecution().executedPlan().toString())
+        return real(frame)
+
+    monkeypatch.setattr(type(df), "collect", collect)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        L.fit_language(df)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert seen and "SortMergeJoin" not in "".join(seen)

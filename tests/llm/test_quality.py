@@ -69,3 +69,12 @@ def test_defined_cases(spark, odd_docs, no_docs):
     empty = Q.fit_quality(no_docs, labels)
     assert {r.score for r in Q.score_quality(odd_docs, empty).collect()} == {0.5}
     assert Q.fit_quality(docs, labels.where("quality = 1")).base == 1.0
+
+
+def test_classes_of_long_texts_are_learned(spark):
+    """All texts are longer than the bound of the fit, and scores aren't one constant."""
+    rows = [(i, ("#$ 99 || XX && " if i % 2 else "a quiet sentence, well formed. ") * 1500) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, 1 - i % 2) for i in range(120)], "doc_id bigint, quality int")
+    found = Q.score_quality(docs, Q.fit_quality(docs, labels))
+    assert found.where("predicted = 1 - doc_id % 2").count() == 120

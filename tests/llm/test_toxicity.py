@@ -54,3 +54,12 @@ def test_defined_cases(spark, odd_docs, no_docs):
     assert T.score_toxicity(no_docs, model).count() == 0
     blank = T.fit_toxicity(docs, labels.where("false"))
     assert {r.severity for r in T.score_toxicity(odd_docs, blank).collect()} == {0.0}
+
+
+def test_classes_of_long_texts_are_learned(spark):
+    """All texts are longer than the bound of the fit, and the classes are still told apart."""
+    rows = [(i, ("vile hateful rubbish " if i % 2 else "kind gentle letters ") * 700) for i in range(120)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(120)], "doc_id bigint, toxic int")
+    found = T.score_toxicity(docs, T.fit_toxicity(docs, labels))
+    assert found.where("toxic = (doc_id % 2 = 1)").count() == 120
