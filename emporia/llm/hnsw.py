@@ -1,18 +1,19 @@
 """Embedding near-duplicates: hierarchical navigable small-world graphs per shard.
 
 Equal vectors are one class with a number of copies. The classes are dealt by
-hash to shards of at most ``SHARD_ROWS``; each shard grows an HNSW graph in one
-task. Every class then searches every shard: the shards are broadcast one after
+hash to shards of at most ``SHARD_ROWS`` and ``SHARD_BYTES``; each shard grows an
+HNSW graph in one task. Every class then searches every shard: the shards are broadcast one after
 another (their size is bounded), and blocks of queries walk each graph together.
-A query whose beam is full of links widens its own beam until it isn't. All hits
-are verified by cosine in double precision. Then an audit counts the links of
+A query whose beam is full of links stands in a crowd that beams would have to walk node by node: it is
+compared with that shard by a matrix product, in steps of bounded bytes. All hits
+are verified by cosine in double precision, and a link counts for both ends, whichever of
+them found it. Then an audit counts the links of
 classes by brute force over all rows: blocks of a random sample, until enough classes
 with few links are among them or ``AUDIT_BLOCKS`` are drawn, then also classes that the
 searches have linked. Each audited class with links weighs the same: while their
 searches have found less than ``RECALL`` of a class's links on average, or so much
 for less than that share of the classes, among all or among those with few links,
-every shard is compared with all queries by matrix products, which finds everything
-and costs less than wider beams, as shards are bounded. An audit that meets no links says so in the log. Links join into
+all beams are widened to twice their width and searched again. An audit that meets no links says so in the log. Links join into
 components; a task sends a spanning forest of its links and one count for each
 query, never pairs.
 
@@ -36,7 +37,9 @@ from emporia.llm.common import staged
 from emporia.llm.graph import connected_components
 from emporia.session import scratch_path
 
-SHARD_ROWS = 50_000
+SHARD_ROWS, SHARD_BYTES = 50_000, 64 << 20
+#: Bytes of similarities that one matrix product makes.
+PRODUCT_BYTES = 32 << 20
 MIN_SHARDS = 4
 M, EF_BUILD, EF = 12, 48, 32
 BLOCK = 512
@@ -201,39 +204,38 @@ class HNSW:
             frm, to = frm[~now], to[~now]
 
     def within(self, q: np.ndarray, threshold: float, ef: int, own: np.ndarray | None = None):
-        """``(query rows, nodes)`` with a cosine of at least the threshold that the search finds.
+        """``(query rows, nodes, crowded)``: pairs with a cosine of at least the threshold that the search finds, and
+        which queries were compared with all nodes, since more than a beam is near them.
 
         ``own``: each query's node in this graph, or -1; it is a start node too.
         """
+        none = np.zeros(0, np.int64)
         if self.entry < 0 or not len(q):
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+            return none, none, np.zeros(len(q), bool)
         if ef >= len(self.x):
-            return self.all_within(q, threshold)
+            return *self.all_within(q, threshold), np.ones(len(q), bool)
         q32 = q.astype(np.float32)
         start = np.full((len(q), 1), self.entry, np.int64)
         for k in range(len(self.links) - 1, 0, -1):
             start = self.beam(q32, start, 1, k)[0]
         if own is not None:
             start = np.concatenate([start, np.where(own == start[:, 0], -1, own)[:, None]], 1)
-        found_q, found_n = [], []
-        rows = np.arange(len(q))
-        while len(rows):
-            ids, sims = self.beam(q32[rows], start, ef, 0)
-            # a beam that holds links only may have cut some off
-            full = (sims[:, -1] >= threshold - 1e-4) & (ef < len(self.x))
-            r, c = np.nonzero((sims >= threshold - 1e-4) & ~full[:, None])
-            found_q.append(rows[r])
-            found_n.append(ids[r, c])
-            rows, start, ef = rows[full], ids[full], 2 * ef
-        rows, nodes = np.concatenate(found_q), np.concatenate(found_n)
+        ids, sims = self.beam(q32, start, ef, 0)
+        # a beam that holds links only may have cut some off
+        crowded = sims[:, -1] >= threshold - 1e-4
+        rows, c = np.nonzero((sims >= threshold - 1e-4) & ~crowded[:, None])
+        nodes = ids[rows, c]
         sure = self._sure(q, rows, nodes, threshold)
-        return rows[sure], nodes[sure]
+        full = np.flatnonzero(crowded)
+        full_rows, full_nodes = self.all_within(q[full], threshold)
+        return np.concatenate([rows[sure], full[full_rows]]), np.concatenate([nodes[sure], full_nodes]), crowded
 
     def all_within(self, q: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
         """All ``(query rows, nodes)`` with a cosine of at least the threshold, by matrix products."""
-        q32, found_q, found_n = q.astype(np.float32), [], []
-        for lo in range(0, len(q), BLOCK // 4):
-            sims = q32[lo:lo + BLOCK // 4] @ self.x.T
+        q32, found_q, found_n = q.astype(np.float32), [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        step = max(1, PRODUCT_BYTES // (4 * max(1, len(self.x))))
+        for lo in range(0, len(q), step):
+            sims = q32[lo:lo + step] @ self.x.T
             r, c = np.nonzero(sims >= threshold - 1e-4)
             near = np.flatnonzero(sims[r, c] < threshold + 1e-4)  # single precision can't tell
             keep = np.ones(len(r), bool)
@@ -283,6 +285,10 @@ def _classes(rows: DataFrame) -> DataFrame:
             .select(F.monotonically_increasing_id().alias("class"), "v", F.size("v").alias("dim"), "copies", "least"))
 
 
+def shard_of(node: str, shards: int):
+    return F.pmod(F.xxhash64(node), F.lit(shards)).cast("int")
+
+
 def build_shards(classes: DataFrame, shards: int) -> DataFrame:
     """One row for each shard and vector length: its classes, copies and graph."""
     def build(table: pa.Table) -> pa.Table:
@@ -294,49 +300,72 @@ def build_shards(classes: DataFrame, shards: int) -> DataFrame:
         return pa.table({"dim": pa.array([dim], pa.int32()), "shard": pa.array([shard], pa.int32()),
                          "graph": pa.array([raw], pa.large_binary()).cast(pa.binary())})
 
-    dealt = classes.withColumn("shard", F.pmod(F.xxhash64("class"), F.lit(shards)).cast("int"))
+    dealt = classes.withColumn("shard", shard_of("class", shards))
     return dealt.groupBy("dim", "shard").applyInArrow(build, "dim int, shard int, graph binary")
 
 
-def _search(shared, threshold: float, ef: int):
+_LINKS = "shard int, a bigint, b bigint, n_a bigint, n bigint"
+
+
+def _search(shared, threshold: float, ef: int, shard: int):
     def run(batches):
         ids, copies, graph = pickle.loads(shared.value)
         for batch in batches:
-            key = batch.column("class").to_numpy()
+            key, own_copies = batch.column("class").to_numpy(), batch.column("copies").to_numpy()
             q = _vectors(batch)
             place = np.minimum(np.searchsorted(ids, key), len(ids) - 1)
             own = np.where(ids[place] == key, place, -1)
             for lo in range(0, len(key), BLOCK):
                 part = slice(lo, lo + BLOCK)
-                r, node = graph.within(q[part], threshold, ef, own[part])
-                k = key[part]
+                r, node, crowded = graph.within(q[part], threshold, ef, own[part])
+                k, c = key[part], own_copies[part]
                 other = k[r] != ids[node]
                 r, node = r[other], node[other]
-                n = np.bincount(r, copies[node], len(k)).astype(np.int64)
-                some = np.flatnonzero(n)
-                a, b = forest(k[r], ids[node]) if len(r) else (k[:0], k[:0])
-                if len(some):
+                # a crowded query sends its count and a spanning forest, any other its links
+                many = crowded[r]
+                n = np.bincount(r[many], copies[node[many]], len(k)).astype(np.int64)
+                some = np.flatnonzero(crowded)
+                a, b = forest(k[r[many]], ids[node[many]]) if many.any() else (k[:0], k[:0])
+                zero = np.zeros(len(a), np.int64)
+                r, node = r[~many], node[~many]
+                columns = [np.concatenate(x) for x in ((k[some], a, k[r]), (k[some], b, ids[node]),
+                                                       (c[some], zero, c[r]), (n[some], zero, copies[node]))]
+                if len(columns[0]):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate([k[some], a])),
-                         pa.array(np.concatenate([k[some], b])),
-                         pa.array(np.concatenate([n[some], np.zeros(len(a), np.int64)]))], ["a", "b", "n"])
+                        [pa.array(np.full(len(columns[0]), shard, np.int32)), *map(pa.array, columns)],
+                        ["shard", "a", "b", "n_a", "n"])
     return run
 
 
 def search_shards(classes: DataFrame, graphs: DataFrame, threshold: float, ef: int) -> DataFrame:
-    """``(a, b, n)``: rows with a = b count the linked copies of class a, others are links; a written table."""
+    """``(shard, a, b, n_a, n)``, a written table: links a-b with the copies of both, links without copies that only
+    join components, and for a = b the linked copies of a class that was compared with the whole shard."""
     spark = classes.sparkSession
     path = scratch_path(spark, "links")
-    schema = "a bigint, b bigint, n bigint"
-    spark.createDataFrame([], schema).write.parquet(path)
+    spark.createDataFrame([], _LINKS).write.parquet(path)
     keys = [(r.dim, r.shard) for r in graphs.select("dim", "shard").orderBy("dim", "shard").collect()]
     for dim, shard in keys:
         here = (F.col("dim") == dim) & (F.col("shard") == shard)
         shared = spark.sparkContext.broadcast(bytes(graphs.where(here).first().graph))
-        (classes.where(F.col("dim") == dim).select("class", "v").mapInArrow(_search(shared, threshold, ef), schema)
-         .write.mode("append").parquet(path))
+        (classes.where(F.col("dim") == dim).select("class", "copies", "v")
+         .mapInArrow(_search(shared, threshold, ef, shard), _LINKS).write.mode("append").parquet(path))
         shared.destroy()
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(_LINKS).parquet(path)
+
+
+def link_counts(links: DataFrame, shards: int) -> DataFrame:
+    """``(class, n)``: the linked copies of each class, each link counted once for both its ends.
+
+    What b's search didn't find but a's did counts for b too, unless b was compared with all of a's shard.
+    """
+    whole = links.where("a = b").select(F.col("a").alias("class"), "shard", "n")
+    found = links.where("a <> b AND n > 0")
+    back = (found.select(F.col("b").alias("class"), F.col("a").alias("other"), F.col("n_a").alias("n"),
+                         shard_of("a", shards).alias("shard"))
+            .join(whole.select("class", "shard"), ["class", "shard"], "left_anti").select("class", "other", "n"))
+    single = found.select(F.col("a").alias("class"), F.col("b").alias("other"), "n").unionByName(back)
+    return (single.dropDuplicates(["class", "other"]).select("class", "n").unionByName(whole.select("class", "n"))
+            .groupBy("class").agg(F.sum("n").alias("n")))
 
 
 def exact_links(classes: DataFrame, queries: list, threshold: float) -> dict[int, tuple[int, int]]:
@@ -425,13 +454,15 @@ def link_embeddings(rows: DataFrame, threshold: float = 0.95, vec_id: str = "vec
     rows = staged(rows.withColumn("v", F.transform("v", lambda c: F.when(c == 0, c * 0 + F.abs(c * 0)).otherwise(c))),
                   "vectors")
     classes = staged(_classes(rows), "classes")
-    total = classes.count()
-    graphs = staged(build_shards(classes, max(MIN_SHARDS, -(-total // shard_rows))), "graphs")
+    total, dim = classes.agg(F.count(F.lit(1)), F.max("dim")).first()
+    most = max(1, min(shard_rows, SHARD_BYTES // (8 * (dim or 1))))
+    shards = max(MIN_SHARDS, -(-total // most))
+    graphs = staged(build_shards(classes, shards), "graphs")
     audit = audit_sample(classes, threshold)
     first = True
     while True:
         links = search_shards(classes, graphs, threshold, ef)
-        counts = links.where("a = b").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("n"))
+        counts = staged(link_counts(links, shards), "link-counts")
         if first and n_few(audit) < ENOUGH:
             audit |= audit_linked(classes, links, counts, threshold)
         if first and n_few(audit) < ENOUGH:
@@ -440,7 +471,7 @@ def link_embeddings(rows: DataFrame, threshold: float = 0.95, vec_id: str = "vec
         first = False
         if enough_found(audit, found_links(counts, audit), recall) or ef >= max(total, 1):
             break
-        ef = max(total, 1)
+        ef *= 2
     roots = connected_components(links.select("a", "b"))
     named = (classes.join(roots.withColumnRenamed("node", "class"), "class", "left")
              .withColumn("root", F.coalesce("root", "class")))

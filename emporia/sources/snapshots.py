@@ -49,8 +49,8 @@ class Change:
 
 
 class Snapshots:
-    """Versions of the zones under one root. ``day`` is the date column that files are cut by, ``ids`` the id columns
-    that files are described by (those that a zone has)."""
+    """Versions of the zones under one root. ``day`` is the column that files are cut by (a date, or a bucket number),
+    ``ids`` the id columns that files are described by (those that a zone has)."""
 
     def __init__(self, spark: SparkSession, root: str, day: str, ids: tuple[str, ...] = ()):
         self.spark, self.root, self.day, self.ids = spark, root.rstrip("/"), day, ids
@@ -157,7 +157,7 @@ class Snapshots:
         """Days that have files, from the manifests."""
         files = self.files(zone, version)
         return [] if files is None else sorted(
-            r.day.isoformat() for r in files.where("day IS NOT NULL").select("day").distinct().collect())
+            str(r.day) for r in files.where("day IS NOT NULL").select("day").distinct().collect())
 
     def write_files(self, zone: str, df: DataFrame, cluster_by: str | None = None, n_files: int | None = None) -> DataFrame:
         """Write rows as files of one day each, not yet part of any version -> what ``commit`` adds.
@@ -197,10 +197,11 @@ class Snapshots:
 
     # ---------------------------------------------------------------- commit
 
-    def commit(self, operation: str, changes: dict[str, Change], read_version: int) -> int:
+    def commit(self, operation: str, changes: dict[str, Change], read_version: int, note: dict | None = None) -> int:
         """Publish changes that were made from ``read_version`` as one new version, and return it.
 
-        If others committed meanwhile the version moves on, unless they touched a day of this change.
+        If others committed meanwhile the version moves on, unless they touched a day of this change. ``note`` is
+        kept in the marker (see ``note``): how far a reader of another table has got, say.
         """
         ident = uuid.uuid4().hex
         zones, days, manifests = {}, {}, {}
@@ -233,7 +234,7 @@ class Snapshots:
             if version % FULL_EVERY == 0:
                 for zone in manifests:
                     self._write_full(zone, zones[zone], manifests[zone], seen, f"{self.root}/log/{ident}/{zone}/all-{version}")
-            if self._publish({"version": version, "operation": operation, "zones": zones,
+            if self._publish({"version": version, "operation": operation, "zones": zones, "note": note or {},
                               "committed": _dt.datetime.now(_dt.timezone.utc).isoformat()}):
                 return version
 
@@ -247,6 +248,14 @@ class Snapshots:
         change.write.parquet(path)
         part.update(manifest=path, full=True)
 
+    def note(self, key: str, default=None):
+        """The latest commit's note of this name."""
+        for v in reversed(self.versions()):
+            found = self.marker(v).get("note", {})
+            if key in found:
+                return found[key]
+        return default
+
     def changed_days(self, zone: str, after: int, upto: int | None = None) -> list[str]:
         """Days of a zone that commits after one version (up to another) wrote, replaced or emptied."""
         found = set()

@@ -1,5 +1,6 @@
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from emporia.llm import hnsw as H
 
@@ -26,7 +27,7 @@ def _vectors(seed=0, n=1500, dim=24):
 
 def test_search_finds_the_links():
     x = _vectors()
-    q, node = H.HNSW(x).within(x, 0.95, 16, np.arange(len(x)))
+    q, node, _ = H.HNSW(x).within(x, 0.95, 16, np.arange(len(x)))
     got = set(zip(q.tolist(), node.tolist(), strict=True))
     want = set(zip(*map(list, np.nonzero(x @ x.T >= 0.95)), strict=True))
     assert len(got) == len(q) and got <= want and len(got) >= 0.99 * len(want)
@@ -132,6 +133,49 @@ def test_small_groups_beside_a_dense_one(spark):
 
 def test_matrix_products_find_everything():
     x = _vectors(7, 700)
-    q, node = H.HNSW(x).within(x[:300], 0.95, 700, np.arange(300))
+    q, node, crowded = H.HNSW(x).within(x[:300], 0.95, 700, np.arange(300))
+    assert crowded.all()
     assert set(zip(q.tolist(), node.tolist(), strict=True)) == set(
         zip(*map(list, np.nonzero(x[:300] @ x.T >= 0.95)), strict=True))
+
+
+def test_crowded_queries_are_compared_in_steps_of_bounded_bytes(monkeypatch):
+    """A third of a shard in one group of different near copies: every link is found, and soon."""
+    import time
+
+    rng = np.random.default_rng(12)
+    x = rng.normal(size=(6000, 64))
+    x[:2000] = x[0] + 0.02 * rng.normal(size=(2000, 64))
+    x = H.unit(x)
+    graph = H.HNSW(x)
+    monkeypatch.setattr(H, "PRODUCT_BYTES", 1 << 20)
+    began = time.process_time()
+    q, node, crowded = graph.within(x[:512], 0.95, 32, np.arange(512))
+    assert time.process_time() - began < 20        # node by node it took more than a minute
+    assert crowded.all() and len(q) == (x[:512] @ x.T >= 0.95).sum()
+
+
+def test_a_link_found_from_one_end_counts_for_both(spark):
+    shards = 4
+    shard = {r.c: r.s for r in spark.range(40).select(F.col("id").alias("c"), H.shard_of("id", shards).alias("s")).collect()}
+    a, b, c, d = 1, 2, 3, 4
+    rows = [(shard[b], a, b, 2, 5),                                        # only a found b
+            (shard[c], a, c, 2, 1), (shard[a], c, a, 1, 2),                # both found the other
+            (shard[a], d, d, 1, 7), (shard[d], a, d, 2, 1),                # d saw all of a's shard: a is in its 7
+            (shard[a], d, b, 0, 0)]                                        # joins components only
+    links = spark.createDataFrame(rows, H._LINKS)
+    got = {r["class"]: r.n for r in H.link_counts(links, shards).collect()}
+    assert got == {a: 5 + 1 + 1, b: 2, c: 2, d: 7}
+
+
+def test_counts_are_exact_at_both_ends(spark):
+    """With beams of one node some links are found from one end only; every vector that is linked counts them."""
+    x = _vectors(5, 900)
+    n, label = brute(x)
+    got = H.link_embeddings(spark.createDataFrame([(k, [float(c) for c in v]) for k, v in enumerate(x)],
+                                                  "vec_id bigint, embedding array<double>"), recall=0.0, ef=4).collect()
+    size = {}
+    for r in got:
+        size[r.component_id] = size.get(r.component_id, 0) + 1
+    assert all(r.n_links <= n[r.vec_id] for r in got)
+    assert all((r.n_links > 0) == (size[r.component_id] > 1) for r in got)
