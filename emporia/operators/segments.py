@@ -58,18 +58,26 @@ def spend_quantiles_checked(c360: DataFrame, accuracy: int = 10_000) -> DataFram
     return c360.sparkSession.createDataFrame(rows, "prob double, customers long, within_bound boolean")
 
 
-def segments_checked(c360: DataFrame) -> DataFrame:
-    """Exact segments, and whether the approximate one agrees or the spend lies
-    between the exact and the approximate threshold (ends included)."""
+def segments_checked(c360: DataFrame, accuracy: int = 10_000) -> DataFrame:
+    """Exact segments, and whether the approximate segment is as good as the sketch promises.
+
+    ``within_bound`` needs two things: between each exact threshold and its approximation lie at most ``n / accuracy + 1``
+    customers (ties with either not counted), and a customer whose two segments differ is one of them or tied.
+    The first is counted in the rows and fails if a sketch is worse than its bound.
+    """
     exact, rough = spend_thresholds(c360, "exact").first(), spend_thresholds(c360, "approx").first()
     x = F.col("total_spend")
+    pairs = [(min(exact[p], rough[p]), max(exact[p], rough[p])) for p in ("p75", "p50") if exact[p] is not None]
+    counts = c360.agg(F.count(x).alias("n"), *[F.count_if((x > lo) & (x < hi)).alias(f"between{i}")
+                                               for i, (lo, hi) in enumerate(pairs)]).first()
+    kept = all(counts[f"between{i}"] <= counts["n"] / accuracy + 1 for i in range(len(pairs)))
     near = F.lit(False)
-    for p in ("p75", "p50"):
-        if exact[p] is not None:
-            near = near | x.between(min(exact[p], rough[p]), max(exact[p], rough[p]))
+    for lo, hi in pairs:
+        near = near | x.between(lo, hi)
     own, other = (segment_of(x, F.lit(t["p75"]).cast("double"), F.lit(t["p50"]).cast("double"))
                   for t in (exact, rough))
-    return c360.select("customer_id", "total_spend", own.alias("segment"), ((own == other) | near).alias("within_bound"))
+    return c360.select("customer_id", "total_spend", own.alias("segment"),
+                       (F.lit(kept) & ((own == other) | near)).alias("within_bound"))
 
 
 def _with_thresholds(df: DataFrame, c360: DataFrame, method: str) -> DataFrame:

