@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from emporia.functions.money import cents, cents_to_double, net_amount, net_cents
 from emporia.functions.rules import is_completed, is_not_cancelled
+from emporia.operators.asof import as_of_join
 from emporia.operators.shares import value_counts, with_share
+from emporia.operators.trends import trending_growth
 
 
 def with_net_amount(t: DataFrame) -> DataFrame:
@@ -94,3 +96,23 @@ def status_distribution(t: DataFrame) -> DataFrame:
         .orderBy(F.desc("count"), "status")
 
 
+def monthly_features(t: DataFrame) -> DataFrame:
+    """Feature snapshots at the end of each month with an order of the customer: ``customer_id, as_of, lines_so_far,
+    spend_so_far`` (gross); orders without a customer or a time don't count."""
+    monthly = (t.where("customer_id IS NOT NULL AND timestamp IS NOT NULL")
+               .groupBy("customer_id", F.trunc(F.to_date("timestamp"), "month").alias("mon"))
+               .agg(F.count(F.lit(1)).alias("n"), F.sum(cents("total_amount")).alias("spend")))
+    so_far = Window.partitionBy("customer_id").orderBy("mon")   # a row a customer and month
+    return monthly.select("customer_id", F.add_months("mon", 1).alias("as_of"), F.sum("n").over(so_far).alias("lines_so_far"),
+                          cents_to_double(F.sum("spend").over(so_far)).alias("spend_so_far"))
+
+
+def features_as_of(t: DataFrame) -> DataFrame:
+    """Each order line with its customer's last monthly snapshot at or before it."""
+    lines = t.select("order_id", "product_id", "customer_id", F.to_date("timestamp").alias("order_date"))
+    return as_of_join(lines, monthly_features(t), "customer_id", "order_date", "as_of", block_days=365)
+
+
+def trending_products(t: DataFrame) -> DataFrame:
+    """Products whose sales in the latest year stand out most against the three years before."""
+    return trending_growth(t.select("product_id", F.year("timestamp").alias("year")), "product_id", "year")

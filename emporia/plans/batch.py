@@ -49,6 +49,8 @@ SOURCE_RESULTS = {
     "daily_revenue": ("transactions", tx.daily_revenue),
     "revenue_by_category_completed": ("transactions", tx.revenue_by_category_completed),
     "status_distribution": ("transactions", tx.status_distribution),
+    "features_as_of": ("transactions", tx.features_as_of),
+    "trending_growth": ("transactions", tx.trending_products),
     "sentiment_summary": ("reviews", rv.sentiment_summary),
     "rating_distribution": ("reviews", rv.rating_distribution),
     "product_ratings": ("reviews", rv.product_ratings),

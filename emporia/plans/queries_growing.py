@@ -8,14 +8,12 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emporia.functions import sketches as sk
-from emporia.functions.money import cents, cents_to_double
 from emporia.operators import sessions as ss
-from emporia.operators.asof import as_of_join
-from emporia.operators.trends import trending_growth
+from emporia.operators import transactions as tx
 from emporia.plans.incremental import VIEWS, IncrementalViews
 from emporia.plans.queries_c360 import C360_SQL
 from emporia.plans.queries_stream import LANDING_FILES
@@ -104,15 +102,7 @@ SELECT t.order_id, t.product_id, t.customer_id, CAST(t."timestamp" AS DATE) AS o
 FROM transactions t ASOF LEFT JOIN snap s ON t.customer_id = s.customer_id AND CAST(t."timestamp" AS DATE) >= s.as_of""")
 def q_features_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each order line with its customer's last monthly feature snapshot before it."""
-    t = transactions(spark, sf_dir)
-    monthly = (t.where("customer_id IS NOT NULL AND timestamp IS NOT NULL")
-               .groupBy("customer_id", F.trunc(F.to_date("timestamp"), "month").alias("mon"))
-               .agg(F.count(F.lit(1)).alias("n"), F.sum(cents("total_amount")).alias("spend")))
-    so_far = Window.partitionBy("customer_id").orderBy("mon")
-    snap = monthly.select("customer_id", F.add_months("mon", 1).alias("as_of"), F.sum("n").over(so_far).alias("lines_so_far"),
-                          cents_to_double(F.sum("spend").over(so_far)).alias("spend_so_far"))
-    lines = t.select("order_id", "product_id", "customer_id", F.to_date("timestamp").alias("order_date"))
-    return as_of_join(lines, snap, "customer_id", "order_date", "as_of", block_days=365)
+    return tx.features_as_of(transactions(spark, sf_dir))
 
 
 @register("trending_growth", _T + """,
@@ -125,8 +115,7 @@ SELECT item, mentions, before, CAST(mentions * 3 + 3 AS DOUBLE) / (before + 3) A
 FROM c WHERE mentions >= 5 ORDER BY growth DESC, mentions DESC, item LIMIT 20""")
 def q_trending_growth(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The products whose sales in the latest year stand out most against the three years before."""
-    t = transactions(spark, sf_dir).select("product_id", F.year("timestamp").alias("year"))
-    return trending_growth(t, "product_id", "year")
+    return tx.trending_products(transactions(spark, sf_dir))
 
 
 @register("spend_quantiles_by_range", _T + """,
