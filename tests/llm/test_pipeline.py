@@ -65,7 +65,7 @@ def test_entry_works_without_the_subpackage(tmp_path):
     entry = importlib.util.module_from_spec(spec)
     spec.loader.exec_module(entry)
     names = entry.queries()
-    assert {f"op{n}" for n in range(1, 11)} == {k.split("_")[0] for k in names if k.startswith("op")}
+    assert {f"op{n}" for n in range(1, 14)} == {k.split("_")[0] for k in names if k.startswith("op")}
     assert "pipeline" in names and "op4_licenses" in entry.oracle_sql()
 
 
