@@ -1,28 +1,36 @@
 """PII: every detected entity gets a keyed surrogate of its own kind and format.
 
-Mail addresses, phone numbers, IPv4 addresses, card and account numbers, IBANs,
-US social security numbers, quoted secrets (``token = "..."``) and names after a
-title. Numbers, addresses and secrets go through a keyed permutation of all
-strings of their format (a Feistel network with cycle-walking), so two of a kind
-never share a surrogate; digits stay digits, letters stay letters of their
-script and case, check digits stay valid. Name parts draw from lists by gender
-(from the title) and script.
+Mail addresses, phone numbers, IPv4 and IPv6 addresses, card and account numbers,
+IBANs, US social security numbers, quoted secrets (``token = "..."``) and names
+after a title. Everything goes through a keyed permutation of all strings of its
+format (a Feistel network with cycle-walking), so two of a kind never share a
+surrogate; digits stay digits, letters stay letters of their script and case,
+check digits stay valid. In names vowels stay vowels and consonants consonants
+of their script, and given names keep or get an ending of their gender (from the
+title; ``Dr.`` and the like have none).
 
 Coreference: the surrogate depends on the key and the entity's canonical form
 (case and separators don't matter) and nothing else, so an entity has the same
 surrogate in every document. Collision checks run on the table of distinct
 entities: a surrogate that is itself an entity of the corpus, or that another
 entity of the kind holds already, is drawn again with the next attempt number
-until none collides. Only entities with a later attempt (normally very few)
-are joined back, to the documents that hold them.
+until none collides; neither check is ever left out. Mail addresses and names
+grow from the second attempt on and phone numbers from the 17th, as short formats
+may be crowded; should the corpus hold nearly all strings of another format, the
+run fails after 64 attempts rather than let an entity stand. Only entities with a
+later attempt are joined back, to the documents that hold them.
 
 Entities never reach over a line end. Defined cases: null texts stay null, texts
-without entities are returned unchanged, repeated rows alike.
+without entities are returned unchanged, repeated rows alike. A number of 13 to
+19 digits is a card or account number whatever its check digit, unless it is an
+ISBN; four numbers after ``version`` or ``release`` are no address. Letters of
+other scripts than those of ``_RANGES`` stay in names as they are.
 """
 
 from __future__ import annotations
 
 import hashlib
+import ipaddress
 import math
 import re
 import unicodedata
@@ -35,47 +43,55 @@ from pyspark.sql.types import IntegerType, StringType, StructField
 
 from emporia.llm.common import staged, text_steps
 
-#: Attempts after which a surrogate may be an entity of the corpus, and after which the run fails.
-RELAXED, MOST = 16, 64
+#: Attempts after which phone numbers get further digits, and after which the run fails.
+CROWDED, MOST = 16, 64
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"[^\W\d_a-zà-öø-ÿа-яα-ω][\w'’-]+"
-# Titles by gender, and the names that surrogates draw from.
+# Titles by gender ("n": any).
 TITLES = {"f": ("Mrs.", "Ms.", "Frau", "Madame", "Mme.", "Señora", "Sra.", "Г-жа", "Κυρία"),
-          "m": ("Mr.", "Herr", "Monsieur", "Señor", "Sr.", "Г-н", "Κύριος")}
-NAMES = {
-    ("f", "latin"): "Anna Clara Elena Emma Ines Julia Laura Lena Lucia Maria Marta Nina Olga Paula Rosa Sara Sofia Vera",
-    ("m", "latin"): "Adam Bruno David Emil Felix Hugo Ivan Jonas Karl Leo Lucas Martin Oscar Pablo Paul Simon Tomas Victor",
-    ("f", "cyrillic"): "Анна Вера Галина Дарья Елена Ирина Мария Нина Ольга София",
-    ("m", "cyrillic"): "Антон Борис Виктор Денис Иван Максим Олег Павел Роман Сергей",
-    ("f", "greek"): "Άννα Δήμητρα Ειρήνη Ελένη Ζωή Μαρία Νίκη Σοφία",
-    ("m", "greek"): "Αλέξης Γιάννης Δημήτρης Κώστας Μάριος Νίκος Πέτρος Σπύρος",
-    ("", "latin"): "Albers Barros Castel Dorn Ebner Ferrer Garnier Holm Jansen Keller Lorca Marin Novak Olsen Pascal "
-                   "Reyes Sander Tellier Urban Vidal Weber Zeller",
-    ("", "cyrillic"): "Белов Волков Громов Зайцев Козлов Лебедев Морозов Новиков Орлов Соколов",
-    ("", "greek"): "Βλάχος Γεωργίου Ιωάννου Κωνσταντίνου Νικολάου Παππάς Σταύρου Χρήστου",
-}
-NAMES = {k: v.split() for k, v in NAMES.items()}
+          "m": ("Mr.", "Herr", "Monsieur", "Señor", "Sr.", "Г-н", "Κύριος"),
+          "n": ("Dr.", "Prof.", "Professor", "Д-р")}
+# Last letters that given names of a gender keep, and the one that others get.
+ENDINGS = {("f", "latin"): ("ae", "a"), ("f", "cyrillic"): ("ая", "а"), ("f", "greek"): ("αάηήωώ", "α"),
+           ("m", "latin"): ("iou", "n"), ("m", "cyrillic"): ("", "н"), ("m", "greek"): ("σ", "σ")}
+# Vowels and consonants that stand for one another in names, and what a crowded name grows by.
+_NAME_ALPHABETS = ["aeiou", "bcdfghjklmnpqrstvwxyz", "àáâãäåèéêëìíîïòóôõöøùúûü", "çčćđłñňřšśžźż",
+                   "аеёиоуыэюя", "бвгджзйклмнпрстфхцчшщ", "αεηιουω", "βγδζθκλμνξπρστφχψ", "άέήίόύώ"]
+_GROWTH = {"latin": "na", "cyrillic": "на", "greek": "να"}
+# First and last letters of further scripts (Armenian to Hangul).
+_RANGES = ["աֆ", "את", "ءغ", "في", "अह", "กฮ", "აჰ", "ぁゖ", "ァヺ", "一鿿", "가힣"]
+_NAME_ALPHABETS += ["".join(map(chr, range(ord(r[0]), ord(r[1]) + 1))) for r in _RANGES]
+_NAME_ALPHABET = {c: a for a in _NAME_ALPHABETS for c in a}
 
 _ENTITY = re.compile(
     r"(?P<email>(?<![\w.+-])[\w.+-]*\w@\w[\w-]*(?:\.\w[\w-]*)*\.[^\W\d_]{2,})"
     r"|(?P<lead>\b(?i:token|secret|password|api[_-]?key)[ \t]*[=:][ \t]*[\"'])(?P<secret>[^\"'\s]{8,})(?=[\"'])"
     r"|(?P<iban>(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w))"
     rf"|(?P<ip>(?<![\w.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\w|\.\d))"
+    r"|(?P<ip6>(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+    r"|(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]))"
     r"|(?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))"
     r"|(?P<phone>(?<![\w+])\+\d{1,3}(?:[ .-]?\(?\d{2,4}\)?){2,4}(?!\w)"
     r"|(?<![\w+-])(?:\(\d{3}\) ?|\d{3}[-. ])\d{3}[-. ]\d{4}(?![\w-]))"
     r"|(?P<card>(?<!\w)(?:\d{4}[ -]){3}\d{4}(?!\w)|(?<!\w)\d{13,19}(?!\w))"
     rf"|(?P<title>(?<!\w)(?:{'|'.join(re.escape(t) for ts in TITLES.values() for t in ts)}) )"
     rf"(?P<name>{_NAME}(?: {_NAME})?)")
+_HEX = re.compile("[0-9a-fA-F]+")
 _DIGIT = re.compile(r"[@\d]|[=:][ \t]*[\"']")
 _TITLE_WORDS = tuple(t + " " for ts in TITLES.values() for t in ts)
 _GENDER = {t: g for g, ts in TITLES.items() for t in ts}
+_VERSION = re.compile(r"\b(?i:version|ver|release)[.:]?[ \t]*$")
 
 
 def script_of(word: str) -> str:
-    name = unicodedata.name(word[0], "")
-    return "cyrillic" if name.startswith("CYRILLIC") else "greek" if name.startswith("GREEK") else "latin"
+    """``latin``, ``cyrillic``, ``greek``, ``cjk``, ``hebrew`` and so on, by the first letter."""
+    return unicodedata.name(word[0], "latin").split()[0].lower()
+
+
+def is_isbn(digits: str) -> bool:
+    return (len(digits) == 13 and digits[:3] in ("978", "979")
+            and sum(int(d) * (3 if k % 2 else 1) for k, d in enumerate(digits)) % 10 == 0)
 
 
 def luhn(digits: str) -> bool:
@@ -113,9 +129,9 @@ _ALPHABETS = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTU
 _ALPHABET = {c: a for a in _ALPHABETS for c in a}
 
 
-def permute_text(key: bytes, tweak: str, text: str, alphabet: str | None = None) -> str:
-    """Permute all texts of this format: each known character keeps its alphabet, others stay."""
-    kinds = [alphabet if alphabet and c in alphabet else _ALPHABET.get(c) for c in text]
+def permute_text(key: bytes, tweak: str, text: str, alphabet: str | None = None, table: dict = _ALPHABET) -> str:
+    """Permute all texts of this format: each character of ``table`` keeps its alphabet, others stay."""
+    kinds = [alphabet if alphabet and c in alphabet else table.get(c) for c in text]
     value, size, shape = 0, 1, ""
     for c, k in zip(text, kinds, strict=True):
         if k:
@@ -141,6 +157,8 @@ def canonical(kind: str, value: str) -> str:
         return value.replace(" ", "")
     if kind == "secret":
         return value.lower() if re.fullmatch(r"[0-9a-fA-F]+", value) else value
+    if kind == "ip6":
+        return str(ipaddress.IPv6Address(value))
     return value.lower() if kind == "email" else value
 
 
@@ -157,9 +175,11 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "ip":
         number = int.from_bytes(bytes(map(int, value.split("."))), "big")
         return ".".join(map(str, permute(key, tweak, number, 1 << 32).to_bytes(4, "big")))
+    if kind == "ip6":
+        return str(ipaddress.IPv6Address(permute(key, tweak, int(ipaddress.IPv6Address(value)), 1 << 128)))
     if kind == "phone":
         code = (2 if value[1] in "17" else 3) if value[0] == "+" else 0  # the country code stays
-        return value[:code] + permute_text(key, tweak, value[code:])
+        return value[:code] + permute_text(key, tweak, value[code:] + "0" * max(0, attempt - CROWDED))
     if kind == "card":
         valid, out = luhn(value), permute_text(key, tweak, value)
         while luhn(out) != valid:
@@ -172,18 +192,24 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return permute_text(key, tweak, value, "0123456789abcdef" if re.fullmatch("[0-9a-f]+", value) else None)
     if kind == "ssn":
         return permute_text(key, tweak, value)
-    gender = kind[-1] if kind[-2:] in ("-f", "-m") else ""
-    script = script_of(value)
-    names = NAMES[gender, script]
-    # a Cyrillic family name in -a is the feminine form of the name without it
-    feminine = "а" if kind == "family" and script == "cyrillic" and value.endswith("а") else ""
-    value = value.removesuffix("а") if feminine else value
-    at = int.from_bytes(hashlib.shake_256(key + tweak.encode() + value.casefold().encode()).digest(16), "big")
-    parts = []
-    for _ in range(attempt + 1):
-        at, k = divmod(at, len(names))
-        parts.append(names[k] + feminine)
-    return "-".join(parts)
+    return name_surrogate(key, kind, value, tweak, more)
+
+
+def name_surrogate(key: bytes, kind: str, value: str, tweak: str, more: int = 0) -> str:
+    """A name of the same script, vowels and consonants; given names end as their gender does."""
+    script, gender, last = script_of(value), kind[-1], value[-1]
+    stem, end = value, ""
+    if kind == "family":
+        # a Cyrillic family name in -a is the feminine form of the name without it
+        if script == "cyrillic" and last == "а":
+            stem, end = value[:-1], "а"
+    elif (gender, script) in ENDINGS:
+        own, extra = ENDINGS[gender, script]
+        if last in own:
+            stem, end = value[:-1], last
+        elif gender == "f" or script == "greek" or _NAME_ALPHABET.get(last, "")[:1] in ("a", "а"):
+            end, tweak = extra, tweak + "+"
+    return permute_text(key, tweak, stem + _GROWTH.get(script, last) * more, table=_NAME_ALPHABET) + end
 
 
 def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
@@ -204,6 +230,15 @@ def entities(text: str) -> Iterator[tuple[int, int, str, str]]:
             kind = m.lastgroup
             if kind == "iban" and iban_rest(m["iban"].replace(" ", "")) != 1:
                 continue
+            if kind == "card" and is_isbn(m["card"]) or kind == "ip" and _VERSION.search(text, at, m.start()):
+                continue
+            if kind == "ip6":
+                try:
+                    ipaddress.IPv6Address(m["ip6"])
+                except ValueError:
+                    continue
+                if len(re.findall(r"[0-9A-Fa-f]+", m["ip6"])) < 3 or not re.search(r"\d", m["ip6"]):
+                    continue  # names joined by two colons
             if kind == "phone" and not 8 <= len(re.sub(r"\D", "", m["phone"])) <= 15:
                 continue
             if kind != "name":
@@ -221,16 +256,21 @@ def _fit(original: str, out: str, kind: str) -> str:
     """Write a canonical surrogate as the original was written: case and separators."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(out.lstrip("+"))
-        return "".join(next(digits) if c.isdigit() else c for c in original)
+        return "".join([next(digits) if c.isdigit() else c for c in original]) + "".join(digits)
     if kind == "iban":
         chars = iter(out)
         return "".join(" " if c == " " else next(chars) for c in original)
     if kind == "email":
         return "".join(n.upper() if o.isupper() else n for o, n in zip(original.ljust(len(out)), out, strict=True))
+    if kind == "ip6":
+        out = out if "::" in original else ":".join(f"{int(x, 16):x}" for x in ipaddress.IPv6Address(out).exploded.split(":"))
+    if kind == "family" or kind[:5] == "given":
+        out = re.sub("σ(?![^\\W\\d_])", "ς", out)
+        if not original.isupper() or len(original) == 1:
+            return "".join(n.upper() if o.isupper() else n for o, n in zip(original.ljust(len(out)), out))
     letters = [c for c in original if c.isalpha()]
-    if kind == "family" or kind[:5] == "given" or re.fullmatch(r"[0-9a-fA-F]+", original):
-        if letters and all(c.isupper() for c in letters):
-            return out.upper()
+    if letters and all(c.isupper() for c in letters) and (kind[:5] in ("given", "famil", "ip6") or _HEX.fullmatch(original)):
+        return out.upper()
     return out
 
 
@@ -283,8 +323,7 @@ def later_attempts(found: DataFrame, key: bytes) -> DataFrame:
         entity = found.select("kind", F.col("value").alias("new"))
         # of several entities with one surrogate the first keeps it
         good = drawn.groupBy("kind", "new").agg(F.min("value").alias("value"))
-        if attempt < RELAXED:
-            good = good.join(entity, ["kind", "new"], "left_anti")
+        good = good.join(entity, ["kind", "new"], "left_anti")
         if taken is not None:
             good = good.join(taken, ["kind", "new"], "left_anti")
         good = staged(good.select("kind", "value", "new"), "surrogates")
@@ -316,10 +355,11 @@ def pseudonymise(docs: DataFrame, key: bytes, text: str = "text", count: str | N
                                                          ["__text", "kind", "value"])
 
         held = docs.select(F.col(text).alias("text")).mapInArrow(
-            holders, "__text string, kind string, value string").distinct()
+            holders, "__text string, kind string, value string")
         entry = F.struct(F.concat_ws("\0", "kind", "value"), "attempt")
-        maps = staged(held.join(later, ["kind", "value"]).groupBy("__text")
-                      .agg(F.map_from_entries(F.collect_list(entry)).alias("__map")), "attempts")
+        # repeated texts give equal entries
+        maps = staged(held.join(staged(later, "later"), ["kind", "value"]).groupBy("__text")
+                      .agg(F.map_from_entries(F.collect_set(entry)).alias("__map")), "attempts")
         rows = (rows.withColumn("__text", F.sha2(F.col(text).cast("binary"), 256)).join(maps, "__text", "left")
                 .withColumn("__later", F.col("__map")).drop("__text", "__map"))
     fields = [f for f in rows.schema.fields if f.name not in ("__later", text)]
