@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from emporia.operators import customer360 as c3
 from emporia.operators import segments as sg
+from emporia.operators.clusters import rfm_clusters_checked
 from emporia.plans.queries_batch import ratio_sql
 from emporia.plans.registry import register
 from emporia.session import scratch_path
@@ -195,6 +196,15 @@ def q_rfm_scores(spark, sf_dir):
     return sg.rfm_scores(c360)
 
 
+@register("rfm_clusters", _RFM_CTE + """
+SELECT customer_id, recency_days, frequency, monetary, TRUE AS within_bound FROM b""")
+def q_rfm_clusters(spark, sf_dir):
+    """Six clusters of buyers by k-means||, and whether they are what Lloyd's steps must end in."""
+    path = scratch_path(spark, "rfm")
+    sg.rfm_scores(c3.finish_360(_core_checkpointed(spark, sf_dir), notebook=False)).write.parquet(path)
+    return rfm_clusters_checked(spark.read.parquet(path))
+
+
 _FEAT_SQL = SEG_CTE.replace(_ALL + _PARTS, _ALL + _PARTS + ",\nfull360 AS (" + c360_select(False) + ")", 1) + """,
 a AS (SELECT max(CAST(last_purchase_date AS DATE)) + 1 AS as_of_date FROM full360 WHERE total_orders > 0),
 b AS (SELECT customer_id,

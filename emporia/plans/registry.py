@@ -47,6 +47,7 @@ def _load_all():
     from emporia.plans import queries_batch  # noqa: F401
     from emporia.plans import queries_c360  # noqa: F401
     from emporia.plans import queries_growing  # noqa: F401
+    from emporia.plans import queries_infer  # noqa: F401
     from emporia.plans import queries_io  # noqa: F401
     from emporia.plans import queries_stream  # noqa: F401
 
