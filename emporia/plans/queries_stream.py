@@ -25,6 +25,7 @@ from emporia.sources.fixtures import load_sources, weblogs, with_sources
 from emporia.sources.lake import Lake
 from emporia.sources.tables import read_table
 from emporia.streaming import customer360 as sc3
+from emporia.streaming import dedup as sd
 from emporia.streaming import operators as so
 from emporia.streaming.operators import STREAM_CONF
 from emporia.streaming.sources import (
@@ -253,6 +254,21 @@ def q_stream_dedup(spark, sf_dir):
     return _sink_back(spark, out.drop("t"), "stream-dedup")
 
 
+@register("stream_dedup_merged", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def q_stream_dedup_merged(spark, sf_dir):
+    """Every event of a third of the users arrives five times; replays are merged in their batch before the state."""
+    events = read_table(spark, sf_dir, "events")
+    times = F.when(F.expr("user_id % 3 = 0"), 5).otherwise(1)
+    replayed = events.withColumn("n", F.explode(F.sequence(F.lit(1), times))).drop("n")
+    stream = _events_stream(spark, sf_dir, replayed)
+    base = scratch_path(spark, "stream-merged")
+    staging = f"{base}/staged"
+    (stream.writeStream.foreachBatch(sd.staged_sink(staging, "t", "event_id"))
+     .option("checkpointLocation", f"{base}/staged-checkpoint").trigger(availableNow=True).start().awaitTermination())
+    out = so.dedup_by_id(sd.staged_rows(spark, staging, stream.schema), "t", "event_id", DELAY)
+    return _sink_back(spark, out.drop("t"), "stream-dedup-merged")
+
+
 @register("stream_customer_360", C360_SQL)
 def q_stream_customer_360(spark, sf_dir):
     s = load_sources(spark, sf_dir)
