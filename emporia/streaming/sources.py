@@ -109,7 +109,7 @@ def wall_time(col: str | Column, spark: SparkSession) -> Column:
 
 
 def land_in_time_order(df: DataFrame, path: str, time_col: str, slices: int = 4,
-                       max_rows_per_file: int = 5_000_000, accuracy: int = 10_000) -> int:
+                       max_rows_per_file: int = 250_000, accuracy: int = 10_000) -> int:
     """Replay helper: write ``df`` into ``path`` as consecutive time slices.
 
     Slice bounds are approximate quantiles of ``time_col``, so slices hold
