@@ -4,7 +4,7 @@ Layout: ``<root>/<zone>/<source>/ingest_date=YYYY-MM-DD/part-*``. Hive-style
 folders let Spark discover the ``ingest_date`` column and prune partitions
 when a day is read. Re-ingesting a day replaces that day and nothing else.
 
-* raw zone: records as landed, JSON lines (the wire format);
+* raw zone: records as landed, JSON lines (the wire format), gzipped;
 * processed zone: cleaned records (trimmed, validated, one version per record
   id: the one that landed last), Parquet;
 * quarantine zone: rejected records, Parquet, with one schema for batch and
@@ -34,12 +34,16 @@ from pyspark.sql import types as T
 from emporia.schemas import RECORD_KEY, SOURCES, check_source
 from emporia.session import scratch_path
 from emporia.sources.files import CORRUPT, TEXT_TIME_OPTIONS, encode_json_column, with_corrupt_column
-from emporia.sources.snapshots import Change, Snapshots
+from emporia.sources.snapshots import FILE_ROWS, Change, Snapshots
 
 ZONES = ("raw", "processed", "quarantine")
 PART = "ingest_date"
 QUARANTINE = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "raw_value", "reject_reason")]
                           + [T.StructField(PART, T.DateType())])
+#: What the folder of rows without a day is called.
+NO_DAY = "__HIVE_DEFAULT_PARTITION__"
+#: The reason of lines that don't parse and of fields that don't fit the schema.
+UNREADABLE = "unreadable record"
 #: Id columns that the files of the snapshot tables are described by.
 CUSTOMER = "customer_id"
 
@@ -109,14 +113,17 @@ def dedup_latest(df: DataFrame, key: str, order: list[str]) -> DataFrame:
               .select(*df.columns))
 
 
+def reject_reason(source: str, cols: list[str]) -> Column:
+    """The first rule that a row breaks, null for a valid row."""
+    rules = _validity(source, cols)
+    if not rules:
+        return F.lit(None).cast("string")
+    return reduce(lambda acc, rc: acc.when(rc[1], F.lit(rc[0])), rules[1:], F.when(rules[0][1], F.lit(rules[0][0])))
+
+
 def validate(source: str, df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(valid rows, rejected rows with ``reject_reason``)."""
-    rules = _validity(source, df.columns)
-    if not rules:
-        return df, df.withColumn("reject_reason", F.lit(None).cast("string")).limit(0)
-    reason = reduce(lambda acc, rc: acc.when(rc[1], F.lit(rc[0])),
-                    rules[1:], F.when(rules[0][1], F.lit(rules[0][0])))
-    tagged = df.withColumn("reject_reason", reason)
+    tagged = df.withColumn("reject_reason", reject_reason(source, df.columns))
     return (tagged.filter(F.col("reject_reason").isNull()).drop("reject_reason"),
             tagged.filter(F.col("reject_reason").isNotNull()))
 
@@ -147,23 +154,25 @@ class Lake:
         ids = tuple(c for c in (RECORD_KEY[source], CUSTOMER) if c)
         return Snapshots(self.spark, f"{self.root}/snapshots/{source}", PART, ids)
 
-    def _write(self, df: DataFrame, zone: str, source: str) -> None:
+    def _write(self, df: DataFrame, zone: str, source: str, one_day: bool = False) -> None:
         """Replace the days of ``df``."""
         # ``rebalance`` on the day: small days get one file, a hot day is split
-        # across tasks by AQE (no single task writes a 2 TB day).
-        w = (df.hint("rebalance", PART).write.mode("overwrite")
+        # across tasks by AQE (no single task writes a 2 TB day). Rows of one day
+        # are written by the tasks that hold them.
+        w = ((df if one_day else df.hint("rebalance", PART)).write.mode("overwrite")
                .option("partitionOverwriteMode", "dynamic")
+               .option("maxRecordsPerFile", FILE_ROWS)
                .partitionBy(PART)
                .format(self._fmt(zone)))
         if self._fmt(zone) != "parquet":
-            w = w.options(**TEXT_TIME_OPTIONS)
+            w = w.options(**TEXT_TIME_OPTIONS).option("compression", "gzip")
         w.save(self.path(zone, source))
 
     def ingest_raw(self, source: str, df: DataFrame, date=None) -> None:
         """Land records of one source. ``date``: a day (str/date), a column
         giving each record's day (e.g. ``F.col("timestamp")``), or None for today."""
         check_source(source)
-        self._write(df.withColumn(PART, _as_date_col(date)), "raw", source)
+        self._write(df.withColumn(PART, _as_date_col(date)), "raw", source, one_day=not isinstance(date, Column))
 
     def _fs(self, path: str):
         jvm = self.spark.sparkContext._jvm
@@ -284,54 +293,84 @@ class Lake:
         raw = self.read("raw", source, None if schema is None else with_corrupt_column(schema), date)
         bad_line = F.col(CORRUPT) if CORRUPT in raw.columns else F.lit(None).cast("string")
         cols = [c for c in raw.columns if c != CORRUPT]
-        text = F.coalesce(bad_line, encode_json_column(raw, [c for c in cols if c != PART]))
-        tagged = raw.withColumn("__raw", text).withColumn("__bad", bad_line.isNotNull())
+        data = [c for c in cols if c != PART]
+        landed = raw.withColumn("__line", bad_line).withColumn("__landed", F.struct(*data))
+        checked = clean(landed, keep=("__line",)).select(*cols, "__line", "__landed", F.when(
+            F.col("__line").isNotNull(), F.lit(UNREADABLE)).otherwise(reject_reason(source, cols)).alias("reject_reason"))
         path = scratch_path(self.spark, f"promote-{source}")
-        clean(tagged, keep=("__raw",)).select(*cols, "__raw", "__bad").write.parquet(path)
+        # only rejects carry their text
+        text = F.coalesce("__line", F.to_json("__landed", TEXT_TIME_OPTIONS))
+        checked.select(*cols, "reject_reason", F.when(F.col("reject_reason").isNotNull(), text).alias("__raw")).write.parquet(path)
         rows = self.spark.read.parquet(path)
-        good, broken = validate(source, rows.filter(~F.col("__bad")))
         key = RECORD_KEY[source] if RECORD_KEY[source] in rows.columns else None
-        key_text = F.col(key).cast("string") if key else F.lit(None).cast("string")
-        rejected = broken.select(key_text.alias("key"), F.col("__raw").alias("raw_value"), "reject_reason", PART)
-        unread = rows.filter("__bad").select(F.lit(None).cast("string").alias("key"),
-                                             F.col("__raw").alias("raw_value"),
-                                             F.lit("unreadable record").alias("reject_reason"), PART)
-        bad = rejected.unionByName(unread)
-        good = good.drop("__raw", "__bad")
-        ident = F.col(key) if key else F.sha2(encode_json_column(good, [c for c in good.columns if c != PART]), 256)
-        good = good.withColumn("__id", ident)
-        if date is None:
-            last = good.groupBy("__id").agg(F.max(PART).alias(PART))
-            good = good.join(last, ["__id", PART], "left_semi")
-        if key:
-            by = order or [c for c in ("timestamp",) if c in good.columns]
-            good = dedup_latest(good.drop("__id"), key, [PART] + by).withColumn("__id", F.col(key))
+        key_text = F.when(F.col("reject_reason") != UNREADABLE, F.col(key).cast("string")) if key else F.lit(None).cast("string")
+        bad = rows.where("reject_reason IS NOT NULL").select(
+            key_text.alias("key"), F.col("__raw").alias("raw_value"), "reject_reason", PART)
+        good = rows.where("reject_reason IS NULL").select(*cols)
         good_schema = T.StructType([good.schema[c] for c in cols])
+
+        def with_id(df: DataFrame) -> DataFrame:
+            return df.withColumn("__id", F.col(key) if key else F.unhex(F.sha2(encode_json_column(df, data), 256)))
+
+        if date is not None:
+            day = self.spark.range(1).select(_as_date_col(date).alias("d")).first().d
+            one_day = F.lit(day)
+        else:
+            good = good.where(F.col(PART).isNotNull())
+            days = self.dates("raw", source)
+            one_day = F.lit(days[0]).cast("date") if len(days) == 1 and days[0] != NO_DAY else None
+            days = [d for d in days if d != NO_DAY]
+            if not key and len(days) > 1:
+                # nothing supersedes the last day's rows; those of earlier days stay if none of a later day is the same
+                newest = F.col(PART) == F.lit(days[-1]).cast("date")
+                last = with_id(good).groupBy("__id").agg(F.max(PART).alias(PART))
+                early = with_id(good.where(~newest)).join(last.where(~newest), ["__id", PART], "left_semi")
+                good = good.where(newest).unionByName(early.select(*cols))
+        if key:
+            good = self._one_version(good, key, [PART] + (order or [c for c in ("timestamp",) if c in good.columns]))
         gone, gone_bad = snapshots.files("processed", base), snapshots.files("quarantine", base)
         kept = None
         if date is not None and gone is not None:
-            day = self.spark.range(1).select(_as_date_col(date).alias("d")).first().d
             others, gone, gone_bad = gone.where(F.col("day") != day), gone.where(F.col("day") == day), gone_bad.where(
                 F.col("day") == day)
 
             def known(files: DataFrame) -> DataFrame:
-                rows = snapshots.read_files(files, good_schema)
-                return rows.withColumn("__id", F.col(key) if key else F.sha2(
-                    encode_json_column(rows, [c for c in cols if c != PART]), 256))
-
-            earlier = others.where(F.col("day") < day)
-            good = good.join(known(others.where(F.col("day") > day)).select("__id"), "__id", "left_anti")
-            ids = good.select("__id").distinct()
-            hit = (known(earlier).select("__id", F.col("_metadata.file_path").alias("path"))
-                   .join(ids, "__id", "left_semi").select("path").distinct()) if not earlier.isEmpty() else None
-            if hit is not None:
+                return with_id(snapshots.read_files(files, good_schema))
+
+            earlier, later = others.where(F.col("day") < day), others.where(F.col("day") > day)
+            if not later.isEmpty():
+                good = with_id(good).join(known(later).select("__id"), "__id", "left_anti").select(*cols)
+            if not earlier.isEmpty():
+                ids = with_id(good).select("__id").distinct()
+                hit = (known(earlier).select("__id", F.col("_metadata.file_path").alias("path"))
+                       .join(ids, "__id", "left_semi").select("path").distinct())
                 path = scratch_path(self.spark, f"superseded-{source}")
                 hit.write.parquet(path)
                 hit = earlier.join(self.spark.read.schema(hit.schema).parquet(path), "path", "left_semi")
                 kept = known(hit).join(ids, "__id", "left_anti").select(*cols)
                 gone = gone.unionByName(hit)
-        good = good.select(*cols)
-        adds = snapshots.write_files("processed", good if kept is None else good.unionByName(kept))
+        if kept is None:
+            adds = snapshots.write_files("processed", good, one_day=one_day)
+        else:
+            adds = snapshots.write_files("processed", good.unionByName(kept))
         return snapshots.commit("promote", {
             "processed": Change(adds, gone, good_schema),
-            "quarantine": Change(snapshots.write_files("quarantine", bad), gone_bad, QUARANTINE)}, base)
+            "quarantine": Change(snapshots.write_files("quarantine", bad, one_day=one_day), gone_bad, QUARANTINE)}, base)
+
+    def _one_version(self, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+        """``dedup_latest``, but records that come once are passed on as they are: only the ids are grouped for them.
+
+        The ids that come more than once are kept in a work table; where they are most of the rows, all rows are
+        grouped at once.
+        """
+        path = scratch_path(self.spark, "repeated")
+        rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").write.parquet(path)
+        repeated = self.spark.read.schema(f"`{key}` {rows.schema[key].dataType.simpleString()}, __n long").parquet(path)
+        n = repeated.agg(F.sum("__n")).first()[0]
+        if not n:
+            return rows
+        if 4 * n > rows.count():
+            return dedup_latest(rows, key, order)
+        again = rows.join(repeated.select(key), key, "left_semi").select(*rows.columns)
+        return rows.join(repeated.select(key), key, "left_anti").select(*rows.columns).unionByName(
+            dedup_latest(again, key, order))

@@ -11,8 +11,9 @@ One log serves several zones: a commit changes all of them or none. Every ``FULL
 all live files, so reading a version meets at most that many manifests. What the driver holds is names of files and
 days, as Spark's own file listing does; rows, statistics and filters are computed by jobs.
 
-The Bloom filters are blocked: an id has one block of 32,768 bits and ``BITS`` bits in it, made by
-``bitmap_construct_agg``; a lookup reads one block a file.
+The Bloom filters are blocked: an id has one block of 32,768 bits and ``BITS`` bits in it; a lookup reads one block a
+file. A task sets the bits of the file it reads in one array and sends on whole blocks, so neither its memory nor what
+is shuffled follows the number of ids times the bits of each.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from pyspark.sql import types as T
 FULL_EVERY = 10
 #: Bits of a block, bits set for an id, bits planned for an id.
 BLOCK, BITS, BITS_AN_ID = 32768, 4, 12
+#: Rows of a file at most, which bounds the array that its filter is made in.
+FILE_ROWS = 1_000_000
 
 
 class CommitConflict(RuntimeError):
@@ -163,19 +166,22 @@ class Snapshots:
         return [] if files is None else sorted(
             str(r.day) for r in files.where("day IS NOT NULL").select("day").distinct().collect())
 
-    def write_files(self, zone: str, df: DataFrame, cluster_by: str | None = None, n_files: int | None = None) -> DataFrame:
+    def write_files(self, zone: str, df: DataFrame, cluster_by: str | None = None, n_files: int | None = None,
+                    one_day: Column | None = None) -> DataFrame:
         """Write rows as files of one day each, not yet part of any version -> what ``commit`` adds.
 
         By default tasks hold the days that AQE makes of them; with ``cluster_by`` rows are dealt to ``n_files``
-        ranges of (day, column), which makes the ranges of that column in the files narrow.
+        ranges of (day, column), which makes the ranges of that column in the files narrow. Rows that are known to be
+        of ``one_day`` (a literal) are written by the tasks that hold them, without a shuffle.
         """
         ident = uuid.uuid4().hex
         path = f"{self.root}/data/{ident}"
         if cluster_by:
             rows = df.repartitionByRange(n_files or 1, self.day, cluster_by).sortWithinPartitions(self.day, cluster_by)
         else:
-            rows = df.hint("rebalance", self.day)
-        rows.withColumn("_day", F.col(self.day)).write.partitionBy("_day").parquet(path)
+            rows = df.hint("rebalance", self.day) if one_day is None else df
+        (rows.withColumn("_day", F.col(self.day) if one_day is None else one_day)
+         .write.option("maxRecordsPerFile", FILE_ROWS).partitionBy("_day").parquet(path))
         ids = [c for c in self.ids if c in df.columns]
         log = f"{self.root}/log/{ident}/{zone}"
         written = self.spark.read.schema(df.schema).option("recursiveFileLookup", "true").parquet(path)
@@ -189,12 +195,13 @@ class Snapshots:
         most = stats.agg(F.max("rows")).first()[0] or 0
         n_blocks = 1 << max(0, math.ceil(math.log2(max(1, most) * BITS_AN_ID / BLOCK)))
         if ids and most:
-            keys = written.select("__path", F.explode(F.array(*[
-                F.struct(F.lit(c).alias("id_column"), F.col(c).cast("string").alias("id")) for c in ids])).alias("k")
-                ).where("k.id IS NOT NULL")
-            (keys.select(F.col("__path").alias("path"), "k.id_column", _block(F.col("k.id"), n_blocks).alias("block"),
-                         F.explode(_bits(F.col("k.id"))).alias("bit"))
-             .groupBy("path", "id_column", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
+            places = written.select(F.xxhash64("__path").alias("file"), *[
+                F.when(text.isNotNull(), _block(text, n_blocks).cast("long") * BLOCK + bit).alias(f"{c}_{i}")
+                for c in ids for text in [F.col(c).cast("string")] for i, bit in enumerate(_bits(text, as_list=True))])
+            blocks = places.mapInArrow(_filter_blocks(ids, n_blocks), _BLOCKS)
+            # a file that several tasks read has blocks from each
+            (blocks.join(stats.select("path", F.xxhash64("path").alias("file")), "file")
+             .groupBy("path", "id_column", "block").agg(F.bitmap_or_agg("bits").alias("bits"))
              .write.parquet(f"{log}/blooms"))
         return stats.withColumn("blooms", F.lit(f"{log}/blooms" if ids and most else None).cast("string")).withColumn(
             "n_blocks", F.lit(n_blocks))
@@ -300,8 +307,48 @@ def _block(ident: Column, n_blocks) -> Column:
     return F.pmod(F.xxhash64(ident), n_blocks if isinstance(n_blocks, Column) else F.lit(n_blocks)).cast("int")
 
 
-def _bits(ident: Column) -> Column:
-    return F.array(*[F.pmod(F.xxhash64(ident, F.lit(i)), F.lit(BLOCK)) for i in range(BITS)])
+def _bits(ident: Column, as_list: bool = False):
+    bits = [F.pmod(F.xxhash64(ident, F.lit(i)), F.lit(BLOCK)) for i in range(BITS)]
+    return bits if as_list else F.array(*bits)
+
+
+_BLOCKS = "file long, id_column string, block int, bits binary"
+
+
+def _filter_blocks(ids: list[str], n_blocks: int):
+    """Blocks of Bloom filters from the places of bits (``<id>_<i>``, null without an id), a file's rows after each other."""
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        kinds = pa.schema([("file", pa.int64()), ("id_column", pa.string()), ("block", pa.int32()), ("bits", pa.binary())])
+
+        def blocks(file, held):
+            for c, places in held.items():
+                packed = np.packbits(places, bitorder="little").reshape(n_blocks, -1)
+                found = np.flatnonzero(packed.any(axis=1))
+                for at in range(0, len(found), 256):
+                    part = found[at:at + 256]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array([file] * len(part), pa.int64()), pa.array([c] * len(part), pa.string()),
+                        pa.array(part, pa.int32()), pa.array([packed[k].tobytes() for k in part], pa.binary())], schema=kinds)
+
+        current, held = None, {}
+        for batch in batches:
+            files = batch.column(0).to_numpy()
+            cuts = [0, *(np.flatnonzero(files[1:] != files[:-1]) + 1), len(files)]
+            for lo, hi in zip(cuts[:-1], cuts[1:]):
+                if lo == hi:
+                    continue
+                if current is None or files[lo] != current:
+                    yield from blocks(current, held)
+                    current, held = int(files[lo]), {c: np.zeros(n_blocks * BLOCK, bool) for c in ids}
+                rows = batch.slice(lo, hi - lo)
+                for k, c in enumerate(ids):
+                    for i in range(BITS):
+                        held[c][rows.column(1 + k * BITS + i).drop_null().to_numpy()] = True
+        yield from blocks(current, held)
+    return run
 
 
 def _bit_set(bits: Column, at: Column) -> Column:
