@@ -120,6 +120,13 @@ def q_json_quarantine(spark, sf_dir):
     return bad
 
 
+def once(df):
+    """A source that a query lands several times, joined once into a work table."""
+    path = scratch_path(df.sparkSession, "source")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _lake_with_weblogs(spark, sf_dir):
     src = weblogs(spark, sf_dir)
     lake = Lake(spark, scratch_path(spark, "lake"))
@@ -180,7 +187,7 @@ FROM weblogs WHERE event_id % 5 <> 0""")
 def q_lake_promote_replaced(spark, sf_dir):
     """Day 1 lands all events (each twice), is promoted, lands again without every fifth and is promoted
     again; day 2 replays every third, of which the fifths are broken, and day 1 gives those up."""
-    src = weblogs(spark, sf_dir)
+    src = once(weblogs(spark, sf_dir))
     lake = Lake(spark, scratch_path(spark, "lake"))
     kept = src.where("event_id % 5 <> 0")
     lake.ingest_raw("weblogs", src.unionByName(src), date="2031-01-01")
@@ -199,7 +206,7 @@ SELECT *, DATE '2031-01-02' AS ingest_date FROM transactions
 WHERE order_id IS NOT NULL AND total_amount >= 0 AND quantity > 0 AND discount_pct BETWEEN 0 AND 100""")
 def q_lake_promote_replays(spark, sf_dir):
     """All order lines land on two days; the whole zone is promoted and holds each line once."""
-    src = transactions(spark, sf_dir)
+    src = once(transactions(spark, sf_dir))
     lake = Lake(spark, scratch_path(spark, "lake"))
     lake.ingest_raw("transactions", src, date="2031-01-01")
     lake.ingest_raw("transactions", src, date="2031-01-02")
@@ -212,7 +219,7 @@ SELECT *, DATE '2031-01-01' AS ingest_date FROM weblogs""")
 def q_lake_as_of(spark, sf_dir):
     """All events are promoted, then the day lands again without every fifth and is promoted again; the first
     version still holds all."""
-    src = weblogs(spark, sf_dir)
+    src = once(weblogs(spark, sf_dir))
     lake = Lake(spark, scratch_path(spark, "lake"))
     lake.ingest_raw("weblogs", src, date="2031-01-01")
     first = lake.promote("weblogs", src.schema)
