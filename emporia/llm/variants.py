@@ -9,7 +9,8 @@ can't touch both halves) and takes its vector from the other half alone; this ke
 pairs. What meets is verified by the edit distance inside the join, so only near pairs leave it.
 
 All of it is built-in functions and joins: a word crosses the network with 12 signatures for replacements and 8 for
-insertions, whatever the text behind it.
+insertions, whatever the text behind it. Every join is a merge join: the tables grow with the vocabulary, and Spark sizes
+them by compressed files, signatures even by the file of their words, so it would broadcast a dozen rows a word.
 """
 
 from __future__ import annotations
@@ -90,12 +91,13 @@ def near_pairs(words: DataFrame) -> DataFrame:
 
     # of l code points one is replaced: l - 1 stay, so a half of ceil((l - 1) / 2) is whole
     half = F.expr("length(word) div 2").cast("int")
-    same = signed(n, half, replaced, 2, "a").join(signed(n, half, replaced, 2, "b"), "signature")
+    same = signed(n, half, replaced, 2, "a").join(signed(n, half, replaced, 2, "b").hint("merge"), "signature")
     # the l code points of the shorter word all stay, so a half of ceil(l / 2) is whole
     short = signed(n, F.expr("(length(word) + 1) div 2").cast("int"), inserted, 1, "a")
     long = signed(n - 1, F.expr("length(word) div 2").cast("int"), inserted, 1, "b")
     one_edit = F.levenshtein("a", "b", 1) == 1
-    found = same.where((F.col("a") < F.col("b")) & one_edit).unionByName(short.join(long, "signature").where(one_edit))
+    found = same.where((F.col("a") < F.col("b")) & one_edit).unionByName(
+        short.join(long.hint("merge"), "signature").where(one_edit))
     return found.drop("signature").distinct()
 
 
@@ -107,7 +109,7 @@ def last_forms(forms: DataFrame) -> DataFrame:
     known = staged(forms.select("word", F.col("form").alias("root")), "roots")
     while True:
         ahead = known.select(F.col("word").alias("root"), F.col("root").alias("ahead"))
-        step = staged(known.join(ahead, "root", "left")
+        step = staged(known.join(ahead.hint("merge"), "root", "left")
                       .select("word", F.coalesce("ahead", "root").alias("root"),
                               F.col("ahead").isNotNull().alias("moved")), "roots")
         known = step.select("word", "root")
@@ -131,12 +133,12 @@ def group_variants(docs: DataFrame, min_length: int = MIN_LENGTH, min_count: int
         pairs.select(F.col("b").alias("word"), F.col("a").alias("near"), F.col("n_a").alias("near_n")))
     best = both.groupBy("word").agg(F.count(F.lit(1)).alias("n_near"),
                                     F.min(F.struct((-F.col("near_n")).alias("minus_n"), "near")).alias("best"))
-    rows = words.join(best, "word", "left")
+    rows = words.join(best.hint("merge"), "word", "left")
     has_form = -F.col("best.minus_n") >= 2 * F.col("n")
     rows = staged(rows.select(
         "word", "n", F.coalesce("n_near", F.lit(0)).cast("long").alias("n_near"),
         F.when(has_form, F.col("best.near")).alias("form"),
         F.when(has_form, -F.col("best.minus_n")).alias("form_n")), "variants")
     roots = last_forms(rows.where("form IS NOT NULL").select("word", "form"))
-    return rows.join(roots, "word", "left").select(
+    return rows.join(roots.hint("merge"), "word", "left").select(
         "word", "n", "n_near", "form", "form_n", F.coalesce("root", "word").alias("root"))

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+from emporia.llm import variants
 from emporia.llm.variants import group_variants, near_pairs
 
 RUN = re.compile("[A-Za-zÀ-ÿ]+")
@@ -97,3 +98,21 @@ def test_odd_rows(spark, odd_docs, no_docs):
     clash = odd_docs.withColumns({c: F.lit("old") for c in ("word", "n", "form", "__run", "__id", "signature")})
     assert result(group_variants(clash)) == brute([(r["doc_id"], r["text"]) for r in odd_docs.collect()])
     assert group_variants(no_docs).count() == 0
+
+
+def test_no_word_table_is_broadcast(spark, monkeypatch):
+    """The files of a vocabulary are small, its signatures a dozen times as many rows: none may be sent to the driver."""
+    plans, staged = [], variants.staged
+
+    def noted(df, name):
+        plans.append((name, df._jdf.queryExecution().executedPlan().toString()))
+        return staged(df, name)
+
+    monkeypatch.setattr(variants, "staged", noted)
+    docs = [(i, "hello hello hello hello hello hello hallo hallo hallo halloo world") for i in range(9)]
+    got = group_variants(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    plans.append(("result", got._jdf.queryExecution().executedPlan().toString()))
+    assert {name for name, _ in plans} == {"vocabulary", "near-words", "variants", "roots", "result"}
+    assert [name for name, plan in plans if "Broadcast" in plan] == []
+    assert sum(plan.count("SortMergeJoin") for _, plan in plans) >= 5
+    assert result(got) == brute(docs)
