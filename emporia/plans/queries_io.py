@@ -7,13 +7,15 @@ declared schema and returns it; the oracle is the same data in SQL.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import functions as F
 
 from emporia.operators import transactions as tx
 from emporia.operators import weblogs as wl
 from emporia.plans.queries_batch import NET
 from emporia.plans.registry import register
-from emporia.session import scratch_path
+from emporia.session import remove_scratch, scratch_path, shuffles_freed
 from emporia.sources import files
 from emporia.sources.fixtures import reviews, social, transactions, weblogs, with_sources
 from emporia.sources.lake import Lake
@@ -120,11 +122,14 @@ def q_json_quarantine(spark, sf_dir):
     return bad
 
 
+@contextmanager
 def once(df):
-    """A source that a query lands several times, joined once into a work table."""
+    """A source that a query lands several times, joined once into a work table, which goes when it has landed."""
     path = scratch_path(df.sparkSession, "source")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    with shuffles_freed(df.sparkSession):
+        df.write.option("compression", "zstd").parquet(path)
+    yield df.sparkSession.read.schema(df.schema).parquet(path)
+    remove_scratch(df.sparkSession, path)
 
 
 def _lake_with_weblogs(spark, sf_dir):
@@ -187,16 +192,16 @@ FROM weblogs WHERE event_id % 5 <> 0""")
 def q_lake_promote_replaced(spark, sf_dir):
     """Day 1 lands all events (each twice), is promoted, lands again without every fifth and is promoted
     again; day 2 replays every third, of which the fifths are broken, and day 1 gives those up."""
-    src = once(weblogs(spark, sf_dir))
     lake = Lake(spark, scratch_path(spark, "lake"))
-    kept = src.where("event_id % 5 <> 0")
-    lake.ingest_raw("weblogs", src.unionByName(src), date="2031-01-01")
-    lake.promote("weblogs", src.schema, date="2031-01-01")
-    lake.ingest_raw("weblogs", kept.unionByName(kept), date="2031-01-01")
-    lake.promote("weblogs", src.schema, date="2031-01-01")
-    broken = src.withColumn("duration_sec", F.when(F.col("event_id") % 5 == 0, F.lit(-1).cast("bigint"))
-                            .otherwise(F.col("duration_sec")))
-    lake.ingest_raw("weblogs", broken.where("event_id % 3 = 0"), date="2031-01-02")
+    with once(weblogs(spark, sf_dir)) as src:
+        kept = src.where("event_id % 5 <> 0")
+        lake.ingest_raw("weblogs", src.unionByName(src), date="2031-01-01")
+        lake.promote("weblogs", src.schema, date="2031-01-01")
+        lake.ingest_raw("weblogs", kept.unionByName(kept), date="2031-01-01")
+        lake.promote("weblogs", src.schema, date="2031-01-01")
+        broken = src.withColumn("duration_sec", F.when(F.col("event_id") % 5 == 0, F.lit(-1).cast("bigint"))
+                                .otherwise(F.col("duration_sec")))
+        lake.ingest_raw("weblogs", broken.where("event_id % 3 = 0"), date="2031-01-02")
     lake.promote("weblogs", src.schema, date="2031-01-02")
     return lake.read("processed", "weblogs").select(*src.columns, "ingest_date")
 
@@ -206,10 +211,10 @@ SELECT *, DATE '2031-01-02' AS ingest_date FROM transactions
 WHERE order_id IS NOT NULL AND total_amount >= 0 AND quantity > 0 AND discount_pct BETWEEN 0 AND 100""")
 def q_lake_promote_replays(spark, sf_dir):
     """All order lines land on two days; the whole zone is promoted and holds each line once."""
-    src = once(transactions(spark, sf_dir))
     lake = Lake(spark, scratch_path(spark, "lake"))
-    lake.ingest_raw("transactions", src, date="2031-01-01")
-    lake.ingest_raw("transactions", src, date="2031-01-02")
+    with once(transactions(spark, sf_dir)) as src:
+        lake.ingest_raw("transactions", src, date="2031-01-01")
+        lake.ingest_raw("transactions", src, date="2031-01-02")
     lake.promote("transactions", src.schema)
     return lake.read("processed", "transactions").select(*src.columns, "ingest_date")
 
@@ -219,11 +224,11 @@ SELECT *, DATE '2031-01-01' AS ingest_date FROM weblogs""")
 def q_lake_as_of(spark, sf_dir):
     """All events are promoted, then the day lands again without every fifth and is promoted again; the first
     version still holds all."""
-    src = once(weblogs(spark, sf_dir))
     lake = Lake(spark, scratch_path(spark, "lake"))
-    lake.ingest_raw("weblogs", src, date="2031-01-01")
-    first = lake.promote("weblogs", src.schema)
-    lake.ingest_raw("weblogs", src.where("event_id % 5 <> 0"), date="2031-01-01")
+    with once(weblogs(spark, sf_dir)) as src:
+        lake.ingest_raw("weblogs", src, date="2031-01-01")
+        first = lake.promote("weblogs", src.schema)
+        lake.ingest_raw("weblogs", src.where("event_id % 5 <> 0"), date="2031-01-01")
     lake.promote("weblogs", src.schema, date="2031-01-01")
     return lake.as_of("weblogs", first)
 

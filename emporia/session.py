@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -84,3 +85,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/emporia/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def shuffles_freed(spark: SparkSession):
+    """Jobs run inside lose their shuffle files as each of them ends, not when the driver next collects garbage.
+
+    For chains of jobs that hand on written tables; a DataFrame that is run again shuffles again.
+    """
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Remove a work table that this session wrote under ``scratch_path`` and that nothing reads any more."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

@@ -25,6 +25,7 @@ shared folder would take for the whole truth. ``read`` unites both folders.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from emporia.schemas import RECORD_KEY, SOURCES, check_source
-from emporia.session import scratch_path
+from emporia.session import scratch_path, shuffles_freed
 from emporia.sources.files import CORRUPT, TEXT_TIME_OPTIONS, encode_json_column, with_corrupt_column
 from emporia.sources.snapshots import FILE_ROWS, Change, Snapshots
 
@@ -44,6 +45,8 @@ QUARANTINE = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "ra
 NO_DAY = "__HIVE_DEFAULT_PARTITION__"
 #: The reason of lines that don't parse and of fields that don't fit the schema.
 UNREADABLE = "unreadable record"
+#: Parts that the ids of several days are compared in.
+ID_PARTS = 4
 #: Id columns that the files of the snapshot tables are described by.
 CUSTOMER = "customer_id"
 
@@ -288,6 +291,10 @@ class Lake:
         changes nothing. The raw text is parsed once, into a work table in the
         shared scratch folder. Returns the version.
         """
+        with shuffles_freed(self.spark):
+            return self._promote(source, schema, date, order)
+
+    def _promote(self, source: str, schema: T.StructType | None, date, order: list[str] | None) -> int:
         snapshots = self.snapshots(source)
         base = snapshots.version()
         raw = self.read("raw", source, None if schema is None else with_corrupt_column(schema), date)
@@ -300,7 +307,8 @@ class Lake:
         path = scratch_path(self.spark, f"promote-{source}")
         # only rejects carry their text
         text = F.coalesce("__line", F.to_json("__landed", TEXT_TIME_OPTIONS))
-        checked.select(*cols, "reject_reason", F.when(F.col("reject_reason").isNotNull(), text).alias("__raw")).write.parquet(path)
+        (checked.select(*cols, "reject_reason", F.when(F.col("reject_reason").isNotNull(), text).alias("__raw"))
+         .write.option("compression", "zstd").parquet(path))
         rows = self.spark.read.parquet(path)
         key = RECORD_KEY[source] if RECORD_KEY[source] in rows.columns else None
         key_text = F.when(F.col("reject_reason") != UNREADABLE, F.col(key).cast("string")) if key else F.lit(None).cast("string")
@@ -310,8 +318,11 @@ class Lake:
         good_schema = T.StructType([good.schema[c] for c in cols])
 
         def with_id(df: DataFrame) -> DataFrame:
-            return df.withColumn("__id", F.col(key) if key else F.unhex(F.sha2(encode_json_column(df, data), 256)))
+            # half of the 256 bits tells rows apart; every row sends its id to disk
+            return df.withColumn("__id", F.col(key) if key else F.unhex(F.substring(
+                F.sha2(encode_json_column(df, data), 256), 1, 32)))
 
+        days: list[str] = []
         if date is not None:
             day = self.spark.range(1).select(_as_date_col(date).alias("d")).first().d
             one_day = F.lit(day)
@@ -320,12 +331,6 @@ class Lake:
             days = self.dates("raw", source)
             one_day = F.lit(days[0]).cast("date") if len(days) == 1 and days[0] != NO_DAY else None
             days = [d for d in days if d != NO_DAY]
-            if not key and len(days) > 1:
-                # nothing supersedes the last day's rows; those of earlier days stay if none of a later day is the same
-                newest = F.col(PART) == F.lit(days[-1]).cast("date")
-                last = with_id(good).groupBy("__id").agg(F.max(PART).alias(PART))
-                early = with_id(good.where(~newest)).join(last.where(~newest), ["__id", PART], "left_semi")
-                good = good.where(newest).unionByName(early.select(*cols))
         if key:
             good = self._one_version(good, key, [PART] + (order or [c for c in ("timestamp",) if c in good.columns]))
         gone, gone_bad = snapshots.files("processed", base), snapshots.files("quarantine", base)
@@ -349,7 +354,15 @@ class Lake:
                 hit = earlier.join(self.spark.read.schema(hit.schema).parquet(path), "path", "left_semi")
                 kept = known(hit).join(ids, "__id", "left_anti").select(*cols)
                 gone = gone.unionByName(hit)
-        if kept is None:
+        if kept is None and not key and len(days) > 1:
+            # nothing supersedes the last day's rows, which are written as they lie; those of earlier days stay if none
+            # of a later day is the same
+            newest = F.lit(days[-1]).cast("date")
+            early = self._not_replayed(good, with_id, newest)
+            adds = snapshots.write_files("processed", good.where(F.col(PART) == newest), one_day=newest)
+            if early is not None:
+                adds = adds.unionByName(snapshots.write_files("processed", early))
+        elif kept is None:
             adds = snapshots.write_files("processed", good, one_day=one_day)
         else:
             adds = snapshots.write_files("processed", good.unionByName(kept))
@@ -357,6 +370,36 @@ class Lake:
             "processed": Change(adds, gone, good_schema),
             "quarantine": Change(snapshots.write_files("quarantine", bad, one_day=one_day), gone_bad, QUARANTINE)}, base)
 
+    def _not_replayed(self, rows: DataFrame, with_id: Callable[[DataFrame], DataFrame], newest: Column) -> DataFrame | None:
+        """Rows of the days before ``newest`` that are on no later day, None if there are none.
+
+        Ids are grouped and counted first, a part of them after the other, so that the ids of one part are on disk at a
+        time: rows cross the network only where some days' rows stay and others go, and then meet the fewer of both.
+        """
+        def grouped(some: DataFrame) -> DataFrame:
+            return (with_id(some).select("__id", PART).groupBy("__id")
+                    .agg(F.min(PART).alias("__first"), F.max(PART).alias("__last")))
+
+        ids = grouped(rows)
+        stay, gone = F.col("__last") < newest, F.col("__first") < F.col("__last")
+        # equal rows are in one part, whatever columns tell it
+        plain = [f.name for f in rows.schema if f.name != PART and not isinstance(
+            f.dataType, (T.ArrayType, T.MapType, T.StructType, T.VariantType))]
+        part = F.pmod(F.xxhash64(F.lit(0), *plain), F.lit(ID_PARTS))
+        counts = [grouped(rows.where(part == k)).agg(F.count_if(stay), F.count_if(gone)).first() for k in range(ID_PARTS)]
+        n_stay, n_gone = map(sum, zip(*counts))
+        early = rows.where(F.col(PART) < newest)
+        if not n_stay:
+            return None
+        if not n_gone:
+            return early
+        if n_stay <= n_gone:
+            found = with_id(early).join(ids.where(stay).select("__id", F.col("__last").alias(PART)), ["__id", PART], "left_semi")
+        else:
+            later = ids.where(gone).select(F.col("__id").alias("__gone"), "__last")
+            found = with_id(early).join(later, (F.col("__id") == F.col("__gone")) & (F.col(PART) < F.col("__last")), "left_anti")
+        return found.select(*rows.columns)
+
     def _one_version(self, rows: DataFrame, key: str, order: list[str]) -> DataFrame:
         """``dedup_latest``, but records that come once are passed on as they are: only the ids are grouped for them.
 
