@@ -29,6 +29,8 @@ from emporia.operators import shares as sh
 from emporia.operators import social as so
 from emporia.operators import transactions as tx
 from emporia.operators import weblogs as wl
+from emporia.operators.clusters import rfm_clusters_checked
+from emporia.plans import queries_infer as qi
 from emporia.plans.publish import publish_views
 
 # result name -> (source, function)
@@ -117,6 +119,9 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], out_root: str,
     c360 = c3.finish_360(core, notebook=False)
     nb = c3.finish_360(core, notebook=True)
     seg = sg.customer_segments(nb, quantiles)
+    rfm_path = f"{out_root}/_rfm_scores"
+    sg.rfm_scores(c360, as_of).write.mode("overwrite").parquet(rfm_path)
+    rfm = spark.read.parquet(rfm_path)
     derived = {
         "customer_360": c360,
         "customer_360_notebook": nb,
@@ -124,10 +129,13 @@ def run_all(spark: SparkSession, sources: dict[str, DataFrame], out_root: str,
         "segment_share": sg.segment_share(seg),
         "segment_summary": sg.segment_summary(seg),
         "segment_avg_spend": sg.segment_avg_spend(seg),
-        "rfm_scores": sg.rfm_scores(c360, as_of),
+        "rfm_scores": rfm,
+        "rfm_clusters": rfm_clusters_checked(rfm),
         "customer_features": sg.customer_features(core, nb, c360, quantiles, as_of),
     }
     derived["source_row_counts"] = sh.source_row_counts(sources)
+    derived["infer_schema_report"] = qi.schema_report(spark, sources["weblogs"])
+    derived["infer_csv_report"] = qi.csv_report(spark, sources["weblogs"])
     # one snapshot a day: a run replaces its own day and keeps the others
     published.update(publish_views(spark, derived, out_root, database=database,
                                    partitions={"customer_features": "snapshot_date"},

@@ -14,13 +14,14 @@ from emporia.sources.fixtures import weblogs, with_sources
 _W = with_sources("weblogs")
 
 
-def _land_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _land_mixed(spark: SparkSession, w: DataFrame) -> DataFrame:
     """The web events as JSON lines: every seventh has its duration as text, every eleventh is cut short."""
-    w = weblogs(spark, sf_dir).select("event_id", "page", "duration_sec", (F.col("event_id") % 3).alias("campaign"))
+    number = F.col("event_id").try_cast("bigint")
+    w = w.select("event_id", "page", "duration_sec", (number % 3).alias("campaign"))
     whole = F.to_json(F.struct("event_id", "page", "duration_sec", "campaign"))
     as_text = F.to_json(F.struct("event_id", "page", F.concat(F.col("duration_sec").cast("string"), F.lit(" s")).alias("duration_sec")))
-    line = (F.when(F.expr("event_id % 11 = 0"), F.substring(whole, 1, 12))
-            .when(F.expr("event_id % 7 = 0"), as_text).otherwise(whole))
+    line = (F.when(number % 11 == 0, F.substring(whole, 1, 12))
+            .when(number % 7 == 0, as_text).otherwise(whole))
     path = scratch_path(spark, "mixed-lines")
     w.select(line.alias("value")).write.text(path)
     return spark.read.text(path)
@@ -42,9 +43,13 @@ r AS (SELECT 'event_id' AS field, count(event_id) AS present, 'BIGINT' AS types,
 SELECT field, CAST(present AS BIGINT) AS present, CAST(0 AS BIGINT) AS nulls, types, inferred, declared,
        CAST(unreadable AS BIGINT) AS unreadable, drift FROM r""")
 def q_infer_schema_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return schema_report(spark, weblogs(spark, sf_dir))
+
+
+def schema_report(spark: SparkSession, w: DataFrame) -> DataFrame:
     """Types inferred from landed lines of mixed types, against the declared schema of the web events."""
     kept = type(WEBLOGS)([f for f in WEBLOGS.fields if f.name in ("event_id", "page", "duration_sec", "country")])
-    return infer.json_report(_land_mixed(spark, sf_dir), kept)
+    return infer.json_report(_land_mixed(spark, w), kept)
 
 
 @register("scan_json_widened", _MIXED + """
@@ -52,7 +57,7 @@ SELECT event_id, page, CAST(duration_sec AS VARCHAR) || CASE WHEN as_text THEN '
        CASE WHEN NOT as_text THEN event_id % 3 END AS campaign FROM l""")
 def q_scan_json_widened(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same lines read with the types that were inferred from them: the mixed column as text, nothing lost."""
-    lines = _land_mixed(spark, sf_dir)
+    lines = _land_mixed(spark, weblogs(spark, sf_dir))
     return infer.read_widened(lines, infer.inferred_fields(infer.json_report(lines, type(WEBLOGS)([]))))
 
 
@@ -68,12 +73,17 @@ r AS (SELECT 'event_id' AS field, n, 0 AS nulls, 'bigint' AS inferred, 'string'
 SELECT field, CAST(n AS BIGINT) AS present, CAST(nulls AS BIGINT) AS nulls, inferred, declared,
        CAST(unreadable AS BIGINT) AS unreadable, drift FROM r""")
 def q_infer_csv_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return csv_report(spark, weblogs(spark, sf_dir))
+
+
+def csv_report(spark: SparkSession, w: DataFrame) -> DataFrame:
     """Column types of a CSV export whose every seventh duration is text, against the declared schema."""
     seconds = F.col("duration_sec").cast("string")
-    out = weblogs(spark, sf_dir).select(
+    number = F.col("event_id").try_cast("bigint")
+    out = w.select(
         "event_id", "page", "timestamp",
-        F.when(F.expr("event_id % 7 = 0"), F.concat(seconds, F.lit(" s"))).otherwise(seconds).alias("duration_sec"),
-        F.expr("event_id % 2 = 0").alias("bot"))
+        F.when(number % 7 == 0, F.concat(seconds, F.lit(" s"))).otherwise(seconds).alias("duration_sec"),
+        (number % 2 == 0).alias("bot"))
     path = scratch_path(spark, "csv-export")
     out.write.options(**infer.CSV_OPTIONS).option("header", True).csv(path)
     kept = type(WEBLOGS)([f for f in WEBLOGS.fields
