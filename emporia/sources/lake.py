@@ -374,7 +374,7 @@ class Lake:
         """Rows of the days before ``newest`` that are on no later day, None if there are none.
 
         Ids are grouped and counted first, a part of them after the other, so that the ids of one part are on disk at a
-        time: rows cross the network only where some days' rows stay and others go, and then meet the fewer of both.
+        time: rows are joined only where some days' rows stay and others go, and then meet the fewer of both.
         """
         def grouped(some: DataFrame) -> DataFrame:
             return (with_id(some).select("__id", PART).groupBy("__id")
